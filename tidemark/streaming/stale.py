@@ -13,41 +13,56 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 
 class _Quiet(StatefulProcessor):
-    """Keeps a key's last version and change time; a timer reports the end of the allowed quiet."""
+    """Keeps a key's last version and change time, and whether its quiet was reported.
 
-    def __init__(self, duration_ms: int, key_name: str, key_type: T.DataType):
+    A quiet period is over the limit once a later row of the key, or the watermark through
+    a timer, is past it; so the reports do not depend on how rows fall into batches.
+    """
+
+    def __init__(self, duration_ms: int, key_name: str):
         self.duration_ms, self.key_name = duration_ms, key_name
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        kind = T.StructType([T.StructField("version", T.LongType()), T.StructField("changed_ms", T.LongType())])
+        kind = T.StructType(
+            [
+                T.StructField("version", T.LongType()),
+                T.StructField("changed_ms", T.LongType()),
+                T.StructField("reported", T.BooleanType()),
+            ]
+        )
         self.state = handle.getValueState("seen", kind)
 
-    def _report(self, key, changed_ms: int | None) -> pd.DataFrame:
-        return pd.DataFrame({self.key_name: [key[0]], "changed_ms": pd.array([changed_ms], dtype="Int64")})
+    def _reports(self, key, changes: list[int | None]) -> pd.DataFrame:
+        return pd.DataFrame({self.key_name: [key[0]] * len(changes), "changed_ms": pd.array(changes, dtype="Int64")})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        version, changed = self.state.get() if self.state.exists() else (None, None)
         known = self.state.exists()
-        before = changed
-        never_owned = False
+        version, changed, reported = self.state.get() if known else (None, None, False)
+        reports: list[int | None] = []
+        # a key's share of one micro-batch; the trigger's size limit bounds it
         for row in pd.concat(list(rows), ignore_index=True).sort_values("seen_ms", kind="stable").itertuples():
+            if changed is not None and not reported and row.seen_ms > changed + self.duration_ms:
+                reports.append(changed)
+                reported = True
             if not known and row.owner is None:
-                never_owned, version, known = True, row.version, True
+                known, version, changed, reported = True, row.version, None, True
+                reports.append(None)
             elif not known or row.version != version:
-                version, changed, known, never_owned = row.version, int(row.seen_ms), True, False
-        if never_owned and changed is None:
-            yield self._report(key, None)
-        self.state.update((int(version), changed))
-        if changed is not None and changed != before:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
+                known, version, changed, reported = True, row.version, int(row.seen_ms), False
+        if reports:
+            yield self._reports(key, reports)
+        self.state.update((int(version), changed, reported))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if changed is not None and not reported:
             self.handle.registerTimer(changed + self.duration_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        _, changed = self.state.get()
-        if changed is not None and expiredTimerInfo.getExpiryTimeInMs() == changed + self.duration_ms:
-            yield self._report(key, changed)
+        version, changed, reported = self.state.get()
+        if changed is not None and not reported:
+            self.state.update((version, changed, True))
+            yield self._reports(key, [changed])
 
     def close(self) -> None:
         pass
@@ -75,7 +90,7 @@ def stream_stale_keys(
         seen.withWatermark("event_time", delay)
         .groupBy(key)
         .transformWithStateInPandas(
-            statefulProcessor=_Quiet(int(duration.total_seconds() * 1000), key, scans.schema[key].dataType),
+            statefulProcessor=_Quiet(int(duration.total_seconds() * 1000), key),
             outputStructType=schema,
             outputMode="Append",
             timeMode="EventTime",
