@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,12 +62,12 @@ def same_key(keys: Sequence[str]) -> Column:
     return same
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], rows_per_range: int | None = None) -> tuple[DataFrame, int] | None:
-    """The keys with more than ``rows_per_range`` rows and the number of their rows; None if there are none.
+def find_hot_keys(df: DataFrame, keys: Sequence[str], rows_per_range: int | None = None) -> DataFrame | None:
+    """The keys with more than ``rows_per_range`` rows; None if there are none.
 
     The count reads only the key columns and combines map-side. The result is a local
-    table of at most MAX_HOT_KEYS rows with columns ``__hot0``, ... and ``__wanted``,
-    the number of ranges to cut the key into.
+    table of at most MAX_HOT_KEYS rows: ``__hot0``, ... for the key, ``__wanted`` for the
+    number of ranges to cut it into and ``__rate`` for the share of its rows to sample.
     """
     rows_per_range = rows_per_range or ROWS_PER_RANGE
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
@@ -79,10 +80,13 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], rows_per_range: int | None
         [
             *[T.StructField(n, df.schema[k].dataType) for n, k in zip(hot_names(keys), keys)],
             T.StructField("__wanted", T.IntegerType()),
+            T.StructField("__rate", T.DoubleType()),
         ]
     )
-    local = df.sparkSession.createDataFrame([(*[r[k] for k in keys], n) for r, n in zip(hot, wanted)], schema)
-    return local, sum(row["__rows"] for row in hot)
+    table = [
+        (*[row[k] for k in keys], n, min(1.0, SAMPLED_PER_RANGE * n / row["__rows"])) for row, n in zip(hot, wanted)
+    ]
+    return df.sparkSession.createDataFrame(table, schema)
 
 
 def find_hot_ranges(
@@ -93,18 +97,14 @@ def find_hot_ranges(
     The edges come from a sample of the hot keys' rows. What reaches the driver is bounded
     whatever the size of ``df``: MAX_HOT_KEYS keys and at most two edges per wanted range.
     """
-    found = find_hot_keys(df, keys, rows_per_range)
-    if found is None:
+    hot_keys = find_hot_keys(df, keys, rows_per_range)
+    if hot_keys is None:
         return None
-    hot_keys, hot_rows = found
-    spark = df.sparkSession
     names = hot_names(keys)
-    wanted = sum(row["__wanted"] for row in hot_keys.select("__wanted").collect())
-    rate = min(1.0, SAMPLED_PER_RANGE * wanted / hot_rows)
     sampled = (
         df.select(*keys, F.struct(*order).alias(AT))
         .join(F.broadcast(hot_keys), same_key(keys))
-        .where(F.rand(seed=7) < rate)
+        .where(F.rand(seed=7) < F.col("__rate"))
     )
     # windows over the sample: a key has about SAMPLED_PER_RANGE rows per wanted range in it
     by_order = Window.partitionBy(*names).orderBy(AT)
@@ -112,16 +112,23 @@ def find_hot_ranges(
     edges = (
         sampled.withColumn("__n", F.row_number().over(by_order))
         .withColumn("__every", every)
-        .where((F.col("__n") % F.col("__every") == 0))
+        .where(F.col("__n") % F.col("__every") == 0)
         .select(*names, AT)
         .distinct()
+        .orderBy(*names, AT)
     )
-    following = F.lead(AT).over(by_order)
-    bounds = edges.select(*names, F.col(AT).alias("__lo"), following.alias("__hi")).unionByName(
-        edges.groupBy(*names).agg(F.lit(None).cast(edges.schema[AT].dataType).alias("__lo"), F.min(AT).alias("__hi"))
-    )
-    numbered = bounds.withColumn(
-        RANGE, F.row_number().over(Window.partitionBy(*names).orderBy(F.col("__lo").asc_nulls_first()))
+    # collected once: a second evaluation might sample other rows and leave gaps
+    ranges = []
+    for key, rows in groupby(edges.collect(), key=lambda row: tuple(row)[:-1]):
+        cuts = [None, *(row[AT] for row in rows), None]
+        ranges += [(*key, lo, hi, n) for n, (lo, hi) in enumerate(zip(cuts, cuts[1:]))]
+    kind = edges.schema[AT].dataType
+    schema = T.StructType(
+        [
+            *[T.StructField(n, df.schema[k].dataType) for n, k in zip(names, keys)],
+            T.StructField("__lo", kind),
+            T.StructField("__hi", kind),
+            T.StructField(RANGE, T.IntegerType()),
+        ]
     )
-    rows = numbered.collect()
-    return HotRanges(spark.createDataFrame(rows, numbered.schema), tuple(keys), tuple(order))
+    return HotRanges(df.sparkSession.createDataFrame(ranges, schema), tuple(keys), tuple(order))

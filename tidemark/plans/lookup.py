@@ -23,7 +23,7 @@ def join_one_per_key(
     if found is None:
         return rows.join(one_per_key, list(keys), "left")
     # at most hot_ranges.MAX_HOT_KEYS rows
-    hot = F.broadcast(found[0].drop("__wanted"))
+    hot = F.broadcast(found.drop("__wanted", "__rate"))
     names = hot_names(keys)
     singles = one_per_key.join(hot, same_key(keys), "left_semi")
     of_hot = rows.join(hot, same_key(keys), "left_semi").join(F.broadcast(singles), list(keys), "left")
