@@ -8,12 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.sequence import AT_TIMESTAMP, INITIAL_POSITIONS, LATEST, SHARD_END, TRIM_HORIZON, seq_key
-from tidemark.plans.durable import cut_lineage
-
-# After this many rounds the parts found so far are written as one table.
-ROUNDS_PER_COMPACTION = 16
+from tidemark.plans.durable import cut_lineage, work_folder
 
 KEEP, DELETE, INCONSISTENT = "keep", "delete", "inconsistent"
 ABSENT, NOT_CLOSED, NO_CHILDREN, COVERED, NOT_COVERED = "absent", "not closed", "no children", "covered", "not covered"
@@ -133,26 +131,33 @@ def order_keys(state: DataFrame, nodes: DataFrame, key: str = "key") -> DataFram
 def _reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """Nodes reachable from ``seeds`` (id) along ``edges`` (from, to) with their least depth.
 
-    One round per level. Each round joins only the nodes found in the last one and
-    writes the new ones to the shared folder, so a round's plan does not grow.
+    One round per level. Each round joins only the nodes found in the last one with the
+    edges and writes the new ones as one more partition of a table in the shared folder,
+    so plans do not grow with the depth and nothing is recomputed.
     """
-    frontier = cut_lineage(seeds.distinct().withColumn("depth", F.lit(0)), "reach")
-    reached, depth = frontier, 0
+    spark = seeds.sparkSession
+    folder = work_folder(spark, "reach")
+    ids = T.StructType([T.StructField("id", seeds.schema["id"].dataType)])
+    table = T.StructType([*ids.fields, T.StructField("depth", T.IntegerType())])
+
+    def level(depth: int) -> str:
+        return f"{folder}/depth={depth}"
+
+    depth = 0
+    seeds.select("id").distinct().write.parquet(level(depth))
+    frontier = spark.read.schema(ids).parquet(level(depth))
     while not frontier.isEmpty():
-        depth += 1
         found = (
             frontier.select(F.col("id").alias("from"))
             .join(edges, "from")
             .select(F.col("to").alias("id"))
             .distinct()
-            .join(reached, "id", "left_anti")
-            .withColumn("depth", F.lit(depth))
+            .join(spark.read.schema(table).parquet(folder), "id", "left_anti")
         )
-        frontier = cut_lineage(found, "reach")
-        reached = reached.unionByName(frontier)
-        if depth % ROUNDS_PER_COMPACTION == 0:
-            reached = cut_lineage(reached, "reach")
-    return reached
+        depth += 1
+        found.write.parquet(level(depth))
+        frontier = spark.read.schema(ids).parquet(level(depth))
+    return spark.read.schema(table).parquet(folder)
 
 
 def lineage_closure(nodes: DataFrame, seeds: DataFrame, direction: str) -> DataFrame:

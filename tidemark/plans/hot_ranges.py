@@ -42,7 +42,9 @@ class HotRanges:
     order: tuple[str, ...]
 
     def tag(self, df: DataFrame) -> DataFrame:
-        """Add the range number, rising in order; null for rows of other keys."""
+        """Add the range number, rising in order; null for rows of other keys. Tagged rows stay as they are."""
+        if RANGE in df.columns:
+            return df
         at = F.col(AT)
         inside = (F.col("__lo").isNull() | (at >= F.col("__lo"))) & (F.col("__hi").isNull() | (at < F.col("__hi")))
         inside = same_key(self.keys) & inside

@@ -102,7 +102,7 @@ def running(
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[m.local(window).alias(name) for name, m in measures.items()])
 
-    tagged = df if RANGE in df.columns else ranges.tag(df)
+    tagged = ranges.tag(df)
     window = Window.partitionBy(*keys, RANGE).orderBy(*order)
     inside = tagged.select("*", *[m.local(window).alias(f"__in_{name}") for name, m in measures.items()])
 
