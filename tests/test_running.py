@@ -130,3 +130,18 @@ def test_split_plan_shuffles_the_rows_once(events):
     plan = df._jdf.queryExecution().executedPlan().toString()
     main = plan.split("BroadcastExchange")[0]
     assert main.count("Exchange hashpartitioning(key") == 1
+
+
+def test_rows_partitioned_by_key_are_spread_again(spark, events):
+    """A shuffled join on the key must not leave a hot key's ranges in one task."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        names = events.where("key is not null").groupBy("key").agg(F.max("kind").alias("name"))
+        joined = events.join(names, "key")
+        ranges = find_hot_ranges(joined, ["key"], ["pos"], 150)
+        df = running(joined, ["key"], ["pos"], {"n": row_count()}, ranges)
+        main = df._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+        assert "Exchange hashpartitioning(key" in main and "__range" in main.split("Exchange hashpartitioning(key")[1].split(")")[0]
+        assert same(df, running(joined, ["key"], ["pos"], {"n": row_count()}, None))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

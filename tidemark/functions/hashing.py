@@ -7,61 +7,36 @@ from pyspark.sql import functions as F
 
 DEFAULT_QUEUES = 8
 
-_LIMB_DIGITS = 9
-_LIMB = 10**_LIMB_DIGITS
-_WORD = 2**32
-
-
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _divide_by_word(limbs: Column) -> Column:
-    """Divide decimal limbs (most significant first) by 2^32; fields rest and limbs."""
-    start = F.struct(
-        F.lit(0).cast("long").alias("rest"),
-        F.array().cast("array<bigint>").alias("limbs"),
-    )
-
-    def step(state: Column, limb: Column) -> Column:
-        whole = state["rest"] * F.lit(_LIMB) + limb
-        # both parts stay below 2^32 * 10^9, inside a long
-        rest = whole % F.lit(_WORD)
-        return F.struct(
-            rest.alias("rest"),
-            F.concat(state["limbs"], F.array(((whole - rest) / F.lit(_WORD)).cast("long"))).alias("limbs"),
-        )
-
-    return F.aggregate(limbs, start, step)
+def _split_off_word(limbs: list[Column]) -> tuple[list[Column], Column]:
+    """Divide base 10^9 limbs (most significant first, the first below 2^32) by 2^32: quotient limbs and rest."""
+    base, word = F.lit(10**9), F.lit(2**32)
+    quotient, rest = [], limbs[0]
+    for limb in limbs[1:]:
+        # below 2^32 * 10^9, which a long holds
+        part = rest * base + limb
+        quotient.append(F.call_function("div", part, word))
+        rest = part % word
+    return quotient, rest
 
 
 def decimal_to_hex128(number: Column | str) -> Column:
     """A decimal digit string below 2^128 as 32 lower-case hex digits.
 
-    2^128 - 1 has 39 digits, one more than Spark's widest decimal, so the conversion
-    works on 9-digit limbs with long arithmetic.
+    2^128 - 1 has 39 digits, one more than Spark's widest decimal, and decimals are slow:
+    this divides by 2^32 in long arithmetic. The quotient loses a limb each time.
     """
-    padded = F.lpad(_column(number), 5 * _LIMB_DIGITS, "0")
-    limbs = F.array(
-        *[F.substring(padded, 1 + i * _LIMB_DIGITS, _LIMB_DIGITS).cast("long") for i in range(5)]
-    )
-
-    def words(state: Column, _: Column) -> Column:
-        divided = _divide_by_word(state["limbs"])
-        # transform over a one-element array names the quotient, so it is computed once
-        return F.element_at(
-            F.transform(
-                F.array(divided),
-                lambda d: F.struct(
-                    d["limbs"].alias("limbs"),
-                    F.concat(F.lpad(F.lower(F.hex(d["rest"])), 8, "0"), state["text"]).alias("text"),
-                ),
-            ),
-            1,
-        )
-
-    start = F.struct(limbs.alias("limbs"), F.lit("").alias("text"))
-    return F.aggregate(F.array(*[F.lit(i) for i in range(4)]), start, words)["text"]
+    digits = F.lpad(F.ltrim(_column(number), F.lit("0")), 45, "0")
+    limbs = [F.substring(digits, 1 + 9 * i, 9).cast("long") for i in range(5)]
+    words = []
+    while len(limbs) > 2:
+        limbs, rest = _split_off_word(limbs)
+        words.append(rest)
+    words.append(limbs[0] * F.lit(10**9) + limbs[1])
+    return F.concat(*[F.lpad(F.lower(F.hex(w)), 8, "0") for w in reversed(words)])
 
 
 def effective_hash_key(partition_key: Column | str, explicit_hash_key: Column | str | None = None) -> Column:
@@ -73,8 +48,8 @@ def effective_hash_key(partition_key: Column | str, explicit_hash_key: Column |
     hashed = F.md5(_column(partition_key).cast("binary"))
     if explicit_hash_key is None:
         return hashed
-    explicit = _column(explicit_hash_key)
-    return F.when(explicit.isNotNull(), decimal_to_hex128(explicit)).otherwise(hashed)
+    # not inside a CASE, where Spark would evaluate the shared parts of the conversion again and again
+    return F.coalesce(decimal_to_hex128(explicit_hash_key), hashed)
 
 
 def route_to_queue(stream: Column | str, namespace: Column | str | None = None, n: int = DEFAULT_QUEUES) -> Column:

@@ -6,13 +6,18 @@ and for coverage start_hash and end_hash as 32 hex digits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.sequence import AT_TIMESTAMP, INITIAL_POSITIONS, LATEST, SHARD_END, TRIM_HORIZON, seq_key
 from tidemark.plans.durable import cut_lineage, work_folder
 
+# Levels per round: fewer rounds for some repeated work on nodes that were found before.
+HOPS_PER_ROUND = 3
+
 KEEP, DELETE, INCONSISTENT = "keep", "delete", "inconsistent"
 ABSENT, NOT_CLOSED, NO_CHILDREN, COVERED, NOT_COVERED = "absent", "not closed", "no children", "covered", "not covered"
 
@@ -131,33 +136,35 @@ def order_keys(state: DataFrame, nodes: DataFrame, key: str = "key") -> DataFram
 def _reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """Nodes reachable from ``seeds`` (id) along ``edges`` (from, to) with their least depth.
 
-    One round per level. Each round joins only the nodes found in the last one with the
-    edges and writes the new ones as one more partition of a table in the shared folder,
-    so plans do not grow with the depth and nothing is recomputed.
+    Each round goes HOPS_PER_ROUND levels on from the nodes found last and appends the
+    new ones to a table in the shared folder, one partition per level. So plans do not
+    grow with the depth, and a lost executor costs at most one round.
     """
     spark = seeds.sparkSession
     folder = work_folder(spark, "reach")
     ids = T.StructType([T.StructField("id", seeds.schema["id"].dataType)])
-    table = T.StructType([*ids.fields, T.StructField("depth", T.IntegerType())])
-
-    def level(depth: int) -> str:
-        return f"{folder}/depth={depth}"
-
-    depth = 0
-    seeds.select("id").distinct().write.parquet(level(depth))
-    frontier = spark.read.schema(ids).parquet(level(depth))
-    while not frontier.isEmpty():
-        found = (
-            frontier.select(F.col("id").alias("from"))
-            .join(edges, "from")
-            .select(F.col("to").alias("id"))
-            .distinct()
-            .join(spark.read.schema(table).parquet(folder), "id", "left_anti")
+    reached = T.StructType([*ids.fields, T.StructField("depth", T.IntegerType())])
+    seeds.select("id").distinct().write.parquet(f"{folder}/depth=0")
+    depth, found = 0, 1
+    while found:
+        level = spark.read.schema(ids).parquet(f"{folder}/depth={depth}")
+        levels = []
+        for hop in range(1, HOPS_PER_ROUND + 1):
+            level = level.select(F.col("id").alias("from")).join(edges, "from").select(F.col("to").alias("id")).distinct()
+            levels.append(level.withColumn("depth", F.lit(depth + hop)))
+        depth += HOPS_PER_ROUND
+        new = (
+            reduce(DataFrame.unionByName, levels)
+            .groupBy("id")
+            .agg(F.min("depth").alias("depth"))
+            .join(spark.read.schema(reached).parquet(folder), "id", "left_anti")
         )
-        depth += 1
-        found.write.parquet(level(depth))
-        frontier = spark.read.schema(ids).parquet(level(depth))
-    return spark.read.schema(table).parquet(folder)
+        seen = Observation()
+        counted = new.observe(seen, F.count_if(F.col("depth") == depth).alias("deepest"))
+        counted.write.partitionBy("depth").mode("append").parquet(folder)
+        # levels are contiguous: nothing lies beyond a level without new nodes
+        found = seen.get["deepest"]
+    return spark.read.schema(reached).parquet(folder)
 
 
 def lineage_closure(nodes: DataFrame, seeds: DataFrame, direction: str) -> DataFrame:

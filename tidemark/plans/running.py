@@ -104,7 +104,9 @@ def running(
 
     tagged = ranges.tag(df)
     window = Window.partitionBy(*keys, RANGE).orderBy(*order)
-    inside = tagged.select("*", *[m.local(window).alias(f"__in_{name}") for name, m in measures.items()])
+    # stated, because rows that an earlier join left partitioned by key alone would pass as clustered
+    spread = tagged.repartition(*keys, RANGE)
+    inside = spread.select("*", *[m.local(window).alias(f"__in_{name}") for name, m in measures.items()])
 
     order_value = F.struct(*order)
     summaries = (
