@@ -465,3 +465,5 @@ FROM c, f WHERE (n = 1 AND owner IS NULL) OR coalesce(next, final) > ms + 259200
     "filter_stream": """SELECT conv_id AS entity_id, COUNT(*) AS n FROM conversations GROUP BY conv_id HAVING bool_or(role = 'system')""",
     "publish_stream": f"""SELECT user_id, event_id, {_queue("CAST(user_id AS VARCHAR)", 8)} AS queue_id FROM events""",
 }
+
+ORACLE["append_journal_versions"] = ORACLE["stream_journal_versions"]

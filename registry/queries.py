@@ -702,7 +702,10 @@ def _journal_stream(spark, sf) -> DataFrame:
 
 @query
 def stream_journal(spark, sf):
-    written = _written_batches(stream_journals.stream_journal(_journal_stream(spark, sf)), "journal")
+    path = work_folder(spark, "journal")
+    stream = stream_journals.stream_journal(_journal_stream(spark, sf))
+    stream_batches.write_snapshots(stream, path, work_folder(spark, "checkpoint"), "parquet").awaitTermination()
+    written = spark.read.schema(stream.schema).parquet(path)
     # a later batch's row of an entity replaces the earlier one
     latest = F.max_by(F.struct("message_count", "last_message"), "version")
     return (
@@ -719,6 +722,14 @@ def stream_journal_versions(spark, sf):
     return _appended(versions, "versions").drop("message")
 
 
+@query
+def append_journal_versions(spark, sf):
+    folder, checkpoint = work_folder(spark, "versions"), work_folder(spark, "checkpoint")
+    stream = _journal_stream(spark, sf)
+    stream_journals.append_journal_versions(stream, folder, checkpoint).awaitTermination()
+    return spark.read.parquet(f"{folder}/versions").select("entity_id", "seq", "version", "line")
+
+
 @query
 def stream_consumed_count(spark, sf):
     columns = {"user_id": "stream_id"}

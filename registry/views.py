@@ -1,6 +1,8 @@
 """Input views over the given tables, in SQL that Spark and DuckDB both read.
 
-Spark builds them from the parquet files, the SQL checks repeat them as CTEs.
+Spark builds them from the parquet files, the SQL checks repeat them as CTEs. All of them read
+whole tables. Conditions such as ``id % 11 <> 7`` give the data the gaps an operator is about (keys that
+one snapshot lacks, nodes that are gone, undelivered messages).
 """
 
 from __future__ import annotations

@@ -67,6 +67,32 @@ def test_journal_versions_with_replays_and_a_restart(spark, said, tmp_path, rows
     )
 
 
+@pytest.mark.parametrize("rows_per_range", [None, 4])
+def test_appended_versions_with_replays_and_a_restart(spark, said, tmp_path, rows, rows_per_range):
+    out, checkpoint = str(tmp_path / "o"), str(tmp_path / "c")
+
+    def take():
+        source = stream(spark, said, SAID)
+        stream_journal.append_journal_versions(source, out, checkpoint, rows_per_range=rows_per_range).awaitTermination()
+        return rows(spark.read.parquet(out + "/versions"), "entity_id", "seq", "version", "line")
+
+    expected = rows(journal.journal_versions(spark.read.parquet(said)), "entity_id", "seq", "version", "line")
+    assert take() == expected
+    spark.read.parquet(said).coalesce(1).write.mode("append").parquet(said)
+    spark.createDataFrame([(0, 30, "new"), (0, 30, "new"), (77, 1, "x")], SAID).coalesce(1).write.mode("append").parquet(said)
+    more = [(0, 30, 31, "User 0 (version 31) says: new"), (77, 1, 1, "User 77 (version 1) says: x")]
+    assert take() == sorted([*expected, *more])
+
+
+def test_snapshots_per_batch(spark, said, tmp_path, rows):
+    out = str(tmp_path / "o")
+    state = stream_journal.stream_journal(stream(spark, said, SAID))
+    batches.write_snapshots(state, out, str(tmp_path / "c")).awaitTermination()
+    written = spark.read.schema(state.schema).json(out)
+    assert written.count() == 15
+    assert rows(written.groupBy("entity_id").agg(F.max("version"))) == [(e, 30) for e in range(5)]
+
+
 def test_consumed_count(spark, tmp_path, rows):
     rng = random.Random(4)
     path = str(tmp_path / "events")

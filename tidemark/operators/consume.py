@@ -61,7 +61,7 @@ def checkpoint_commit(
     state: DataFrame,
     shard: str = "shard_id",
     order: str = "request_order",
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """Outcome of each checkpoint request, taken in order per shard.
 

@@ -38,7 +38,7 @@ def consumed_count(
     subscriptions: DataFrame,
     stream: Sequence[str] = ("stream_id",),
     ts: str = "ts",
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """Events received per consumer over all its subscriptions; 0 if none.
 
@@ -90,7 +90,7 @@ def consumed_count(
 
 
 def reset_counter(
-    events: DataFrame, key: str, order: str, is_reset: Column, rows_per_range: int | None = None
+    events: DataFrame, key: str, order: str, is_reset: Column, rows_per_range: float | None = None
 ) -> DataFrame:
     """Per row the counter after it, and the value it emitted: the count before it, null on a reset."""
     ranges = find_hot_ranges(events, [key], [order], rows_per_range)
@@ -100,7 +100,7 @@ def reset_counter(
 
 
 def produced_count(
-    events: DataFrame, key: str, order: str, is_reset: Column, rows_per_range: int | None = None
+    events: DataFrame, key: str, order: str, is_reset: Column, rows_per_range: float | None = None
 ) -> DataFrame:
     """Items produced per producer since its last reset.
 

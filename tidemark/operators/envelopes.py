@@ -23,7 +23,7 @@ def pack_envelopes(
     payload: Sequence[str],
     context: dict[str, Column] | None = None,
     max_events: int = EVENTS_PER_ENVELOPE,
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """One envelope per batch: its events in order, and its context map taken from the first event.
 
@@ -89,7 +89,7 @@ def assign_sequence(
     queue: str = "queue_id",
     order: str = "arrival",
     name: str = "seq",
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """Number the messages of every queue 0, 1, 2, ... in order of arrival."""
     ranges = find_hot_ranges(messages, [queue], [order], rows_per_range)

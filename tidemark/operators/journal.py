@@ -27,7 +27,7 @@ def journal_versions(
     entity: str = "entity_id",
     order: str = "seq",
     message: str = "message",
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """Every event with the version it led to, the running count and the formatted line."""
     ranges = find_hot_ranges(events, [entity], [order], rows_per_range)
@@ -45,7 +45,7 @@ def journal_as_of(
     entity: str = "entity_id",
     order: str = "seq",
     message: str = "message",
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """State of every entity when it had at most ``version`` events."""
     if version < 1:

@@ -143,28 +143,30 @@ def _reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     spark = seeds.sparkSession
     folder = work_folder(spark, "reach")
     ids = T.StructType([T.StructField("id", seeds.schema["id"].dataType)])
-    reached = T.StructType([*ids.fields, T.StructField("depth", T.IntegerType())])
-    seeds.select("id").distinct().write.parquet(f"{folder}/depth=0")
-    depth, found = 0, 1
+    # levels count from 1 in each round, so all rounds run the same generated code
+    written = T.StructType([*ids.fields, T.StructField("round", T.IntegerType()), T.StructField("hop", T.IntegerType())])
+    seeds.select("id").distinct().write.parquet(f"{folder}/round=0/hop={HOPS_PER_ROUND}")
+    done, found = 0, 1
     while found:
-        level = spark.read.schema(ids).parquet(f"{folder}/depth={depth}")
+        level = spark.read.schema(ids).parquet(f"{folder}/round={done}/hop={HOPS_PER_ROUND}")
         levels = []
         for hop in range(1, HOPS_PER_ROUND + 1):
             level = level.select(F.col("id").alias("from")).join(edges, "from").select(F.col("to").alias("id")).distinct()
-            levels.append(level.withColumn("depth", F.lit(depth + hop)))
-        depth += HOPS_PER_ROUND
+            levels.append(level.withColumn("hop", F.lit(hop)))
         new = (
             reduce(DataFrame.unionByName, levels)
             .groupBy("id")
-            .agg(F.min("depth").alias("depth"))
-            .join(spark.read.schema(reached).parquet(folder), "id", "left_anti")
+            .agg(F.min("hop").alias("hop"))
+            .join(spark.read.schema(written).parquet(folder), "id", "left_anti")
         )
         seen = Observation()
-        counted = new.observe(seen, F.count_if(F.col("depth") == depth).alias("deepest"))
-        counted.write.partitionBy("depth").mode("append").parquet(folder)
+        counted = new.observe(seen, F.count_if(F.col("hop") == HOPS_PER_ROUND).alias("deepest"))
+        done += 1
+        counted.write.partitionBy("hop").parquet(f"{folder}/round={done}")
         # levels are contiguous: nothing lies beyond a level without new nodes
         found = seen.get["deepest"]
-    return spark.read.schema(reached).parquet(folder)
+    depth = (F.col("round") - 1) * HOPS_PER_ROUND + F.col("hop")
+    return spark.read.schema(written).parquet(folder).select("id", depth.alias("depth"))
 
 
 def lineage_closure(nodes: DataFrame, seeds: DataFrame, direction: str) -> DataFrame:

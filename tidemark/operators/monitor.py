@@ -32,7 +32,7 @@ def failure_streaks(
     order: str,
     is_failure: Column,
     max_failures: int = MAX_FAILURES,
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """Per row the failures in a row up to it (0 on a success) and the severity of a failure."""
     failed = F.coalesce(is_failure, F.lit(False))

@@ -119,7 +119,7 @@ def versioned_merge_ordered(
     changes: DataFrame,
     order: str,
     payload: Sequence[str] = (),
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """As :func:`versioned_merge`, with any number of changes per key, applied in ``order``.
 
@@ -245,7 +245,7 @@ def stale_keys(
     key: str = "key",
     scan_order: str = "scan_order",
     scan_ts: str = "scan_ts",
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """Every scanned row with the time its version last changed, and whether it is stale.
 
@@ -283,7 +283,7 @@ def owner_switches(
     key: str = "key",
     order: str = "scan_order",
     is_checkpoint: Column | None = None,
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """Per row how often the owner has changed hands since the key's last checkpoint row.
 

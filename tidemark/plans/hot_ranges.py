@@ -8,6 +8,7 @@ functions here find such keys and cut each into consecutive ranges of about
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import groupby
@@ -64,20 +65,23 @@ def same_key(keys: Sequence[str]) -> Column:
     return same
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], rows_per_range: int | None = None) -> DataFrame | None:
+def find_hot_keys(df: DataFrame, keys: Sequence[str], rows_per_range: float | None = None) -> DataFrame | None:
     """The keys with more than ``rows_per_range`` rows; None if there are none.
 
     The count reads only the key columns and combines map-side. The result is a local
     table of at most MAX_HOT_KEYS rows: ``__hot0``, ... for the key, ``__wanted`` for the
     number of ranges to cut it into and ``__rate`` for the share of its rows to sample.
+    A caller that knows all keys to be small passes ``math.inf`` and saves the count.
     """
+    if rows_per_range == math.inf:
+        return None
     rows_per_range = rows_per_range or ROWS_PER_RANGE
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     hot = counted.where(F.col("__rows") > rows_per_range).orderBy(F.desc("__rows")).limit(MAX_HOT_KEYS).collect()
     if not hot:
         return None
     most = max(2, MAX_RANGES // len(hot))
-    wanted = [min(most, -(-row["__rows"] // rows_per_range)) for row in hot]
+    wanted = [min(most, math.ceil(row["__rows"] / rows_per_range)) for row in hot]
     schema = T.StructType(
         [
             *[T.StructField(n, df.schema[k].dataType) for n, k in zip(hot_names(keys), keys)],
@@ -92,7 +96,7 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], rows_per_range: int | None
 
 
 def find_hot_ranges(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_range: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_range: float | None = None
 ) -> HotRanges | None:
     """Cut keys with more than ``rows_per_range`` rows into ranges; None if there is no such key.
 

@@ -11,7 +11,7 @@ from tidemark.plans.hot_ranges import find_hot_keys, hot_names, same_key
 
 
 def join_one_per_key(
-    rows: DataFrame, one_per_key: DataFrame, keys: Sequence[str], rows_per_range: int | None = None
+    rows: DataFrame, one_per_key: DataFrame, keys: Sequence[str], rows_per_range: float | None = None
 ) -> DataFrame:
     """``rows`` left join ``one_per_key`` on non-null ``keys``.
 

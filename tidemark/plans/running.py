@@ -159,7 +159,7 @@ def first_rows(
     keys: Sequence[str],
     order: Sequence[str],
     n: int,
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """The first ``n`` rows of every key.
 

@@ -35,8 +35,9 @@ def start_position(
     if position == s.AT_TIMESTAMP:
         if ts is None:
             raise ValueError("AT_TIMESTAMP needs ts")
-        # the literal takes the column's type, so the filter reaches the parquet scan
-        return records.where(F.col(arrival_ts) >= F.lit(ts).cast(records.schema[arrival_ts].dataType))
+        # a text literal of the column's own type: no time zone comes in, and the filter reaches the parquet scan
+        text = ts.isoformat(sep=" ") if isinstance(ts, dt.datetime) else ts
+        return records.where(F.col(arrival_ts) >= F.lit(text).cast(records.schema[arrival_ts].dataType))
     if position in (s.AT_SEQUENCE_NUMBER, s.AFTER_SEQUENCE_NUMBER):
         if seq is None or not (seq.isascii() and seq.isdigit()):
             raise ValueError(f"{position} needs a sequence number of digits, got {seq!r}")
@@ -77,7 +78,7 @@ def bounded_batch(
     sequence_number: str = "sequence_number",
     sub_sequence: str = "sub_sequence",
     configured_max: int = MAX_RECORDS_PER_READ,
-    rows_per_range: int | None = None,
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """What one read returns: at most ``limit`` records per shard, in sequence order.
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from tidemark.sources.sinks import write_snapshot
+
 
 def resume_stream(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
     """Append what has arrived to ``path``; the next start goes on after the last committed position."""
@@ -19,6 +21,17 @@ def resume_stream(stream: DataFrame, path: str, checkpoint: str, fmt: str = "par
     )
 
 
+def write_snapshots(state: DataFrame, path: str, checkpoint: str, fmt: str = "json") -> StreamingQuery:
+    """Write the rows each batch updates to a folder of that batch; a repeated batch replaces its own."""
+    return (
+        state.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, n: write_snapshot(batch, path, n, fmt) and None)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def process_batches(
     stream: DataFrame,
     checkpoint: str,

@@ -6,11 +6,17 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions.text import format_journal_line
 from tidemark.operators.journal import journal_fold
+from tidemark.plans.durable import cut_lineage
+from tidemark.plans.hot_ranges import find_hot_ranges
+from tidemark.plans.lookup import join_one_per_key
+from tidemark.plans.running import row_count, running
 
 
 def stream_journal(
@@ -68,3 +74,47 @@ def stream_journal_versions(
         timeMode="None",
     )
     return numbered.withColumn("line", format_journal_line(entity, "version", message))
+
+
+def append_journal_versions(
+    stream: DataFrame,
+    folder: str,
+    checkpoint: str,
+    entity: str = "entity_id",
+    order: str = "seq",
+    message: str = "message",
+    rows_per_range: float | None = None,
+) -> StreamingQuery:
+    """As :func:`stream_journal_versions`, also where one entity is a large share of a batch.
+
+    Each micro-batch is numbered with the batch operators, which split hot entities, and
+    written below ``folder/versions``; versions and last sequence numbers go to
+    ``folder/state``. Both are named by the batch, so a repeated batch replaces itself.
+    Returns once started; it takes what has arrived and stops.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        slim = batch.select(entity, order, message).dropDuplicates([entity, order])
+        position = T.StructType(
+            [slim.schema[entity], T.StructField("version", T.LongType()), T.StructField("last", slim.schema[order].dataType)]
+        )
+        if batch_id == 0:
+            known = spark.createDataFrame([], position)
+        else:
+            known = spark.read.schema(position).parquet(f"{folder}/state/batch_id={batch_id - 1}")
+        placed = join_one_per_key(slim, known, [entity], rows_per_range)
+        fresh = cut_lineage(placed.where(F.col("last").isNull() | (F.col(order) > F.col("last"))), "fresh")
+        ranges = find_hot_ranges(fresh, [entity], [order], rows_per_range)
+        numbered = running(fresh, [entity], [order], {"__n": row_count()}, ranges)
+        version = F.coalesce("version", F.lit(0)) + F.col("__n")
+        numbered.select(entity, order, message, version.alias("version")).select(
+            "*", format_journal_line(entity, "version", message).alias("line")
+        ).write.mode("overwrite").parquet(f"{folder}/versions/batch_id={batch_id}")
+        added = fresh.groupBy(entity).agg(F.count(F.lit(1)).alias("version"), F.max(order).alias("last"))
+        after = known.unionByName(added).groupBy(entity).agg(F.sum("version").alias("version"), F.max("last").alias("last"))
+        after.write.mode("overwrite").parquet(f"{folder}/state/batch_id={batch_id}")
+
+    return (
+        stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle).trigger(availableNow=True).start()
+    )
