@@ -67,6 +67,13 @@ def test_unknown_operation_raises(spark):
         s.versioned_merge(target, changes)
 
 
+def test_several_changes_of_a_key_are_refused(spark):
+    target = spark.createDataFrame([("a", 3, "w", 1)], TARGET)
+    changes = spark.createDataFrame([("a", i, "renew", 3, None, None, 5) for i in range(2)], CHANGES)
+    with pytest.raises(Exception, match="several changes of key a"):
+        s.versioned_merge(target, changes)
+
+
 @pytest.mark.parametrize("rows_per_range", [None, 30])
 def test_ordered_merge_equals_a_fold(spark, rows, rows_per_range):
     rng = random.Random(11)

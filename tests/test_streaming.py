@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -188,6 +189,23 @@ def test_filter_and_publish(spark, tmp_path, rows):
     assert rows(spark.read.parquet(out), "stream_id", "events") == [(1, [1, 2])]
 
 
+def test_latest_reads_only_files_written_later(spark, tmp_path):
+    path = str(tmp_path / "said")
+    spark.createDataFrame([(1, 1, "old")], SAID).write.mode("append").parquet(path)
+    time.sleep(0.05)
+    since = dt.datetime.now(dt.timezone.utc)
+    time.sleep(0.05)
+
+    def take(name):
+        later = records.scan_records(spark, path, "LATEST", ts=since, schema=spark.read.parquet(path).schema, streaming=True)
+        batches.resume_stream(later, str(tmp_path / name), str(tmp_path / "c")).awaitTermination()
+        return spark.read.schema(SAID).parquet(str(tmp_path / name)).count()
+
+    assert take("o") == 0
+    spark.createDataFrame([(1, 2, "new")], SAID).write.mode("append").parquet(path)
+    assert take("o") == 1
+
+
 def test_records_as_a_stream(spark, tmp_path):
     schema = "shard_id long, sequence_number string, sub_sequence long, arrival_ts timestamp_ntz"
     path = str(tmp_path / "records")

@@ -49,7 +49,7 @@ def consumed_count(
     """
     stream = list(stream)
     no_consumer = F.lit(None).cast(subscriptions.schema["consumer"].dataType)
-    heard = events.join(subscriptions.select(*stream).distinct(), stream, "left_semi").select(
+    marked = events.select(
         *stream,
         F.lit(0).alias("__open"),
         F.col(ts).alias("__ts"),
@@ -77,10 +77,12 @@ def consumed_count(
         "consumer",
         F.col("e.sign").alias("__sign"),
     )
-    timeline = heard.unionByName(bounds)
     # a bound sorts before the events of its own time, an open stop after all events
     order = ["__open", "__ts", "__event"]
-    ranges = find_hot_ranges(timeline, stream, order, rows_per_range)
+    # any ranges will do, so they are looked for before the join
+    ranges = find_hot_ranges(marked.unionByName(bounds), stream, order, rows_per_range)
+    heard = marked.join(subscriptions.select(*stream).distinct(), stream, "left_semi")
+    timeline = heard.unionByName(bounds)
     counted = running(timeline, stream, order, {"__seen": total(F.col("__event"))}, ranges)
     return (
         counted.where(F.col("__event") == 0)

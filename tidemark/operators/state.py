@@ -65,8 +65,8 @@ def versioned_merge(target: DataFrame, changes: DataFrame, payload: Sequence[str
     evict   the owner is as expected, none included; clears the owner
     delete  unconditional
 
-    update, renew, take and evict raise the version by 1. For several changes per key
-    see :func:`versioned_merge_ordered`.
+    update, renew, take and evict raise the version by 1. Several changes of a key raise
+    an error here; see :func:`versioned_merge_ordered`.
     """
     have = target.select(
         "key",
@@ -75,7 +75,13 @@ def versioned_merge(target: DataFrame, changes: DataFrame, payload: Sequence[str
         *[F.col(p).alias(f"__was_{p}") for p in payload],
         F.lit(True).alias("__have"),
     )
-    asked = changes.select("key", "op", "expected_version", "expected_owner", "new_owner", *payload)
+    # grouping by the join key costs no further shuffle and shows keys with more than one change
+    change = F.struct("op", "expected_version", "expected_owner", "new_owner", *payload)
+    grouped = changes.groupBy("key").agg(F.count(F.lit(1)).alias("__n"), F.any_value(change).alias("__change"))
+    refuse = F.raise_error(F.concat(F.lit("several changes of key "), F.col("key").cast("string")))
+    kind = grouped.schema["__change"].dataType
+    only = F.when(F.col("__n") == 1, F.col("__change")).otherwise(refuse.cast(kind))
+    asked = grouped.select("key", only.alias("__change")).select("key", "__change.*")
     joined = have.join(asked, "key", "full_outer").withColumn("applied", _check())
     merged = cut_lineage(joined, "merge")
 

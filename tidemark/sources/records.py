@@ -57,7 +57,11 @@ def scan_records(
     streaming: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Records of a parquet folder from ``position`` on, as a table or (``streaming``) as a stream."""
+    """Records of a parquet folder from ``position`` on, as a table or (``streaming``) as a stream.
+
+    A stream at LATEST reads the files written after ``ts``, by default after this call; give the
+    same ``ts`` when the stream is started again, or files that came in between are left out.
+    """
     if streaming:
         if schema is None:
             raise ValueError("a stream needs a schema")
@@ -65,6 +69,10 @@ def scan_records(
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         records = reader.parquet(path)
+        if position == s.LATEST:
+            since = ts or dt.datetime.now(dt.timezone.utc)
+            text = since.isoformat(sep=" ") if isinstance(since, dt.datetime) else since
+            return records.where(F.col("_metadata.file_modification_time") > F.lit(text).cast("timestamp"))
     else:
         reader = spark.read.schema(schema) if schema else spark.read
         records = reader.parquet(path)
