@@ -44,7 +44,8 @@ def seq_key(seq: Column | str, sub: Column | str | None = None) -> Column:
         F.concat(F.lit("expected digits or a sentinel checkpoint, got "), F.coalesce(seq, F.lit("null")))
     )
     rank = rank.otherwise(refuse.cast("int"))
-    digits = F.when(is_digits(seq), F.ltrim(seq, F.lit("0"))).otherwise(F.lit(""))
+    # what is neither a sentinel nor digits has raised an error above
+    digits = F.when(seq.isin(*SENTINEL_RANK), F.lit("")).otherwise(F.ltrim(seq, F.lit("0")))
     return F.struct(
         rank.alias("rank"),
         F.length(digits).alias("length"),
