@@ -12,7 +12,7 @@ from tidemark.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "local[8]",
-        4,
+        2,
         **{
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
