@@ -95,6 +95,21 @@ def test_ordered_merge_equals_a_fold(spark, rows, rows_per_range):
     assert rows(merged) == sorted((k, *v) for k, v in state.items() if v)
 
 
+def test_bursts_on_one_version_are_settled_in_parallel(spark, rows, monkeypatch):
+    burst = [("a", 100 * v + i, "take", v, None, f"w{i}", 0) for v in range(3) for i in range(50)]
+    repeats = [("a", 900 + i, "evict", None, "w0", None, 0) for i in range(5)] + [("a", 950 + i, "create", None, None, "x", 0) for i in range(5)]
+    again = [("b", i, "evict", None, None, None, 0) for i in range(3)]  # no owner before and after: each applies
+    seen = []
+    walker = s._chain_walker
+    monkeypatch.setattr(s, "_chain_walker", lambda payload: seen.append(payload) or walker(payload))
+    target = spark.createDataFrame([("a", 0, "w", 1), ("b", 0, None, 1)], TARGET)
+    merged, outcomes = s.versioned_merge_ordered(target, spark.createDataFrame(burst + repeats + again, CHANGES), "seq")
+    assert rows(merged) == [("a", 4, None), ("b", 3, None)]
+    applied = rows(outcomes.where("applied"), "key", "seq")
+    assert applied == [("a", 0), ("a", 100), ("a", 200), ("a", 900), ("b", 0), ("b", 1), ("b", 2)]
+    assert outcomes.count() == len(burst + repeats + again) and seen == [[]]
+
+
 def scans(spark, data):
     return spark.createDataFrame([(k, n, T0 + dt.timedelta(seconds=t), o, v) for k, n, t, o, v in data], "key string, scan_order long, scan_ts timestamp_ntz, owner string, version long")
 

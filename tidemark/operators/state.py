@@ -129,16 +129,20 @@ def versioned_merge_ordered(
 ) -> tuple[DataFrame, DataFrame]:
     """As :func:`versioned_merge`, with any number of changes per key, applied in ``order``.
 
-    Whether a change applies depends on the one before it, so a key's changes are a chain.
-    A delete ends the chain whatever came before: chains are cut there and run in parallel.
-    Each chain streams through a task in sorted batches and keeps one row of state, so
-    its length does not weigh on memory.
+    Whether a change applies depends on the one before it, so a key's changes are a chain. Two
+    rules shorten chains before anything runs in sequence. A delete makes what came before
+    irrelevant, so chains are cut there. And a change that repeats the check of the one
+    right before it cannot apply (see :func:`_repeats_a_check`), so of a burst of attempts
+    on one version only the first is left. Each remaining chain streams through a task
+    in sorted batches and keeps one row of state, so its length does not weigh on memory.
     """
     ranges = find_hot_ranges(changes, ["key"], [order], rows_per_range)
     is_delete = F.col("op") == REMOVE
-    counted = running(changes, ["key"], [order], {"__deletes": total(F.when(is_delete, 1).otherwise(0))}, ranges)
+    check = F.struct("op", "expected_version", "expected_owner")
+    measures = {"__deletes": total(F.when(is_delete, 1).otherwise(0)), "__before": previous(check)}
+    counted = running(changes, ["key"], [order], measures, ranges).withColumn("__settled", _repeats_a_check())
     columns = ["op", "expected_version", "expected_owner", "new_owner", *payload]
-    links = counted.select(
+    links = counted.where(~F.col("__settled")).select(
         "key",
         # a delete is the last link of its chain
         (F.col("__deletes") - F.when(is_delete, 1).otherwise(0)).alias("__chain"),
@@ -175,7 +179,16 @@ def versioned_merge_ordered(
             *[T.StructField(p, kinds[p]) for p in payload],
         ]
     )
-    walked = cut_lineage(chained.mapInArrow(_chain_walker(list(payload)), result), "merge")
+    settled = counted.where("__settled").select(
+        "key",
+        F.lit(0).cast("long").alias("__chain"),
+        F.col(order).alias("__order"),
+        "op",
+        F.lit(False).alias("applied"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in result.fields[5:]],
+    )
+    applied = chained.mapInArrow(_chain_walker(list(payload)), result)
+    walked = cut_lineage(applied.unionByName(settled), "merge")
 
     ends = walked.where(F.col("op").isNull())
     state = F.struct("version", "owner", *payload)
@@ -189,6 +202,26 @@ def versioned_merge_ordered(
     return new_target, outcomes
 
 
+def _repeats_a_check() -> Column:
+    """Whether a change fails whatever the state, because the change right before it had the same check.
+
+    After an attempt on version v the version is not v: it never was, or has moved on. After a
+    create the key exists. After evicting an owner the owner is not that one.
+    """
+    before = F.col("__before.value")
+    on_version = [UPDATE, RENEW, TAKE]
+    same_version = (
+        F.col("op").isin(on_version)
+        & before["op"].isin(on_version)
+        & (F.col("expected_version") == before["expected_version"])
+    )
+    both_create = (F.col("op") == CREATE) & (before["op"] == CREATE)
+    same_owner = (
+        (F.col("op") == EVICT) & (before["op"] == EVICT) & (F.col("expected_owner") == before["expected_owner"])
+    )
+    return F.coalesce(same_version | both_create | same_owner, F.lit(False))
+
+
 def _chain_walker(payload: list[str]):
     """A function over sorted batches: one outcome row per change, one end row (op null) per chain."""
 
