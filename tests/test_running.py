@@ -1,5 +1,6 @@
 """Range-by-range results equal those of one plain window per key."""
 
+import math
 import random
 
 import pytest
@@ -59,6 +60,7 @@ def test_hot_keys_are_split(events):
 def test_no_hot_key(events):
     assert find_hot_ranges(events, ["key"], ["pos"], 100_000) is None
     assert find_hot_keys(events, ["key"]) is None
+    assert find_hot_keys(events, ["key"], math.inf) is None
 
 
 @pytest.mark.parametrize("keys,rows_per_range", [(["key"], 100), (["key"], 1500), (["key", "kind"], 150)])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
@@ -85,9 +83,3 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
 def write_jdbc(state: DataFrame, url: str, table: str, mode: str = "append", writers: int = 16, **options: str) -> None:
     """Write state rows to a relational table over at most ``writers`` connections."""
     state.coalesce(writers).write.format("jdbc").options(**jdbc_options(url, table, **options)).mode(mode).save()
-
-
-def columns_or_error(df: DataFrame, names: Sequence[str]) -> None:
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns {missing}")
