@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -29,3 +33,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their Python workers find it from any working directory."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory() as folder:
+        archive = shutil.make_archive(f"{folder}/tidemark", "zip", os.path.dirname(package), os.path.basename(package))
+        context.addPyFile(archive)
+    context._tidemark_shipped = True
