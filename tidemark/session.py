@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -41,7 +42,8 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(context, "_tidemark_shipped", False):
         return
     package = os.path.dirname(os.path.abspath(__file__))
-    with tempfile.TemporaryDirectory() as folder:
-        archive = shutil.make_archive(f"{folder}/tidemark", "zip", os.path.dirname(package), os.path.basename(package))
-        context.addPyFile(archive)
+    # executors fetch the archive from the driver as long as the application runs
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="tidemark-package-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/tidemark", "zip", os.path.dirname(package), os.path.basename(package)))
     context._tidemark_shipped = True
