@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import PieceCache, in_groups
+from tidemark.llm.chunks import PieceTable, in_groups
 
 
 class PerfectHash:
@@ -80,16 +80,16 @@ class BytePairs:
         self.hash = PerfectHash(list(self.ranks))
         self.ids = [self.ranks[key] for key in self.hash.keys]
         self.bytes_of = {rank: key for key, rank in self.ranks.items()}
-        self.cache = PieceCache(self._encode)
+        self.table = PieceTable(self._encode)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _encode(self, texts: list[str]) -> list[list[int]]:
         found = [[token.encode() for token in self.pattern.findall(text)] for text in texts]
         distinct = list({token for tokens in found for token in tokens})
-        packed = {}
-        for token, number in zip(distinct, self.hash.lookup(distinct), strict=True):
-            ids = [self.ids[number]] if number >= 0 else self.merge(token)
-            packed[token] = np.array(ids, "<u4").tobytes()
-        return [b"".join(map(packed.__getitem__, tokens)) for tokens in found]
+        ids = {
+            token: [self.ids[number]] if number >= 0 else self.merge(token)
+            for token, number in zip(distinct, self.hash.lookup(distinct), strict=True)
+        }
+        return [[i for token in tokens for i in ids[token]] for tokens in found]
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a pre-token: of all adjacent parts whose bytes together have a rank, join those of the lowest, leftmost first."""
@@ -116,10 +116,10 @@ class BytePairs:
             i = end[i]
         return ids
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each group of texts their ids one after the other and the number of each text's ids."""
         for group in in_groups(texts):
-            yield from self.cache.encoded(group)
+            yield self.table.encoded(group)
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
@@ -145,10 +145,12 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame
         coder = byte_pairs(rank_file, pattern)
         for batch in batches:
             keys, at = batch.column(0), 0
-            for group in in_groups(batch.column(1).to_pylist()):
-                ids = pa.array(coder.cache.encoded(group), pa.binary())
-                yield pa.RecordBatch.from_arrays([keys.slice(at, len(group)), ids], ["doc_id", "ids"])
-                at += len(group)
+            for ids, sizes in coder.encode(batch.column(1).to_pylist()):
+                ends = np.concatenate([[0], np.cumsum(sizes)]) * 4
+                buffers = [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())]
+                packed = pa.Array.from_buffers(pa.binary(), len(sizes), buffers)
+                yield pa.RecordBatch.from_arrays([keys.slice(at, len(sizes)), packed], ["doc_id", "ids"])
+                at += len(sizes)
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return chosen.mapInArrow(encode, "doc_id long, ids binary")

@@ -9,8 +9,10 @@ document. Bounds that follow from the sizes of two sets discard work without los
    here is rare columns first, so columns that very many documents share hardly ever make a pair meet.
 3. Linked sizes differ by the factor t at most.
 
-Equal sets are one row of the product. Pairs that already are in one component are not multiplied: first each row meets
-the smallest row it shares a column with, then rows meet rows of other components only.
+Equal sets are one row of the product. Pairs that already are in one component are not multiplied: first each row meets the
+row that is the smallest of most of its columns, which also sorts rows into families; then, family by family, rows outside
+the largest component meet all others in dense products of blocks, which give no rows but links; the few pairs left, of different
+families and components, are verified one by one.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.chunks import MIX, in_groups, run_hashes, words
 from tidemark.llm.components import components
 from tidemark.plans.durable import cut_lineage
 
@@ -32,38 +35,36 @@ DOC_MASK = np.uint64((1 << DOC_BITS) - 1)
 # the document part of an entry that stands for several documents of its flush
 SEVERAL = (1 << DOC_BITS) - 1
 FLUSH_ENTRIES, FLUSH_DOCS = 2_000_000, 200_000
-MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes:
-    """64-bit hashes of words, as many kept as fit in the given room."""
-
-    def __init__(self, most: int = 600_000) -> None:
-        self.most, self.known = most, {}
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        found = list(map(known.get, words))
-        if None in found:
-            new = {w: xxhash.xxh3_64_intdigest(w) for w, v in zip(words, found, strict=True) if v is None}
-            found = [new[w] if v is None else v for w, v in zip(words, found, strict=True)]
-            if len(known) + len(new) > self.most:
-                known.clear()
-            known.update(new)
-        return np.array(found, np.uint64)
+def shingle_sets(texts: list[str], width: int) -> Iterator[np.ndarray]:
+    """For each text the distinct sorted hashes of all runs of ``width`` words; of the whole sequence if it is shorter; of none if empty."""
+    raw = [text.encode().lower() for text in texts]
+    # a space keeps texts apart
+    data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
+    starts, ends = words(data)
+    hashes = run_hashes(data, starts, ends)
+    sizes = np.array([len(r) + 1 for r in raw], np.int64)
+    bounds = np.searchsorted(starts, np.append(0, np.cumsum(sizes)))
+    runs = shingle_hashes(hashes, width) if len(hashes) >= width else hashes[:0]
+    for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if begin == end:
+            yield hashes[:0]
+        elif end - begin < width:
+            yield shingle_hashes(hashes[begin:end], end - begin)
+        else:
+            own = np.sort(runs[begin : end - width + 1])
+            yield own[np.append(True, own[1:] != own[:-1])]
 
 
-def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """Distinct sorted hashes of all runs of ``width`` words; of the whole sequence if it is shorter; of none if empty."""
-    if not len(words):
-        return words
-    width = min(width, len(words))
-    last = len(words) - width + 1
+def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` words, by the hashes of the words."""
+    last = len(hashes) - width + 1
     mixed = np.full(last, width, np.uint64)
     for k in range(width):
-        mixed = (mixed ^ words[k : k + last]) * MIX
+        mixed = (mixed ^ hashes[k : k + last]) * MIX
         mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed)
+    return mixed
 
 
 def needed(size: np.ndarray | int, percent: int):
@@ -97,9 +98,6 @@ def _row(kind: int, block: int, flush: int, entries: bytes, weights: bytes = b""
     )
 
 
-_WORDS = WordHashes()
-
-
 def _incidence(width: int, block_bits: int):
     """Documents to blocks of entries, flush by flush."""
 
@@ -139,8 +137,10 @@ def _incidence(width: int, block_bits: int):
                     yield _row(LOCAL, b, number, _packed(mine[several]))
 
         for batch in batches:
-            for key, text, tie in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                sets.append(shingle_hashes(_WORDS.of((text or "").encode().lower().split()), width))
+            texts = in_groups(batch.column(1).to_pylist())
+            found = (one for group in texts for one in shingle_sets(group, width))
+            for key, tie, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), found, strict=True):
+                sets.append(own)
                 ids.append(key)
                 ties.append(tie)
                 held += len(sets[-1])
@@ -241,24 +241,20 @@ def _documents(percent: int):
 
 
 def _prefix(percent: int):
-    """Rows to the columns by which they have to meet their partners."""
+    """Rows to the columns by which they have to meet their partners, each with the row's other values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, columns, sizes, labels = [], [], [], []
-            for row in batch.to_pylist():
-                held = np.frombuffer(row["columns"], np.int64)
-                # columns of this row alone are the rarest and come first
-                most = row["size"] - needed(row["size"], percent) + 1 - (row["size"] - len(held))
-                if most > 0:
-                    columns.append(held[:most])
-                    nodes.append(np.full(most, row["node"]))
-                    sizes.append(np.full(most, row["size"]))
-                    labels.append(np.full(most, row["label"]))
-            if nodes:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (columns, nodes, sizes, labels)], ["column", "node", "size", "label"]
-                )
+            size = batch.column("size").to_numpy()
+            held = batch.column("columns").to_pylist()
+            lengths = np.array([len(c) // 8 for c in held], np.int64)
+            # columns of this row alone are the rarest and come first
+            most = np.maximum(lengths - needed(size, percent) + 1, 0)
+            columns = [np.frombuffer(c, np.int64)[:m] for c, m in zip(held, most.tolist(), strict=True)]
+            names = [n for n in batch.schema.names if n != "columns"]
+            values = [np.repeat(batch.column(n).to_numpy(), most) for n in names]
+            flat = np.concatenate([np.zeros(0, np.int64), *columns])
+            yield pa.RecordBatch.from_arrays([pa.array(flat), *map(pa.array, values)], ["column", *names])
 
     return run
 
@@ -305,22 +301,25 @@ def _classified(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .select(F.xxhash64("digest", "size").alias("node"), "digest", "size", "columns"),
         "rows",
     )
-    labels = links = tested = None
-    for step in range(3):
-        labelled = rows.withColumn("label", F.col("node"))
-        if labels is not None:
-            labelled = rows.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-        met = labelled.select("node", "size", "columns", "label").mapInArrow(_prefix(percent), "column long, node long, size long, label long")
-        met = cut_lineage(met, "prefixes")
-        candidates = _candidates(met, percent, step)
-        if tested is not None:
-            candidates = candidates.join(tested, ["a", "b"], "left_anti")
-        candidates = cut_lineage(candidates, "candidates")
-        tested = candidates if tested is None else tested.unionByName(candidates)
-        found = cut_lineage(_verified(candidates, rows, percent), "links")
-        if labels is None or not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = cut_lineage(components(links), "labels")
+    shared = rows.select("node", "size", "columns").mapInArrow(_prefix(percent), "column long, node long, size long")
+    nearest = cut_lineage(_nearest(cut_lineage(shared, "prefixes"), percent), "nearest")
+    links = cut_lineage(_verified(nearest, rows, percent), "links")
+    labels = cut_lineage(components(links), "labels")
+    families = cut_lineage(components(nearest.where("strong")).withColumnRenamed("component", "family"), "families")
+
+    def labelled(labels: DataFrame) -> DataFrame:
+        return rows.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+
+    more = cut_lineage(_family_links(labelled(labels).join(families, "node"), percent), "family-links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = cut_lineage(components(links), "labels")
+    whole_rows = labelled(labels).join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
+    met = whole_rows.select("node", "size", "columns", "label", "family").mapInArrow(_prefix(percent), "column long, node long, size long, label long, family long")
+    strangers = cut_lineage(_strangers(cut_lineage(met, "prefixes"), percent), "strangers")
+    more = cut_lineage(_verified(strangers, rows, percent), "stranger-links")
+    if not more.isEmpty():
+        labels = cut_lineage(components(links.unionByName(more)), "labels")
     named = (
         whole.select("digest", "size", "doc_id")
         .groupBy("digest", "size")
@@ -372,30 +371,94 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame
     return kept.select(*[f"`{name}`" for name in docs.columns])
 
 
-def _candidates(met: DataFrame, percent: int, step: int) -> DataFrame:
-    """Pairs ``a`` < ``b`` of rows with a common prefix column, different labels and sizes that allow a link.
+def _fits(percent: int) -> str:
+    return f"100 * least(size, size_b) >= {percent} * greatest(size, size_b)"
+
+
+def _nearest(met: DataFrame, percent: int) -> DataFrame:
+    """Each row ``a`` with the row ``b`` that is the smallest of most of its prefix columns; ``strong`` if of a quarter of them."""
+    pivot = met.groupBy("column").agg(F.min(F.struct("node", "size")).alias("p"), F.count("*").alias("n")).where("n > 1")
+    pairs = met.join(pivot, "column").select("node", "size", F.col("p.node").alias("b"), F.col("p.size").alias("size_b"))
+    times = pairs.where("node <> b").where(_fits(percent)).groupBy("node", "size", "b", "size_b").count()
+    best = times.groupBy("node", "size").agg(F.max(F.struct("count", "b", "size_b")).alias("m"))
+    prefix = F.col("size") * (100 - percent) / 100
+    return best.select(F.col("node").alias("a"), F.col("m.b").alias("b"), (4 * F.col("m.count") >= prefix).alias("strong"))
+
+
+BLOCK_ENTRIES = 2_000_000
+
+
+def _family_product(percent: int):
+    """Links between a block of a family's open rows and a block of all its rows: for each open row one per label it links with."""
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        node, size, label = (group.column(c).to_numpy() for c in ("node", "size", "label"))
+        asks = group.column("asks").to_numpy(zero_copy_only=False).astype(bool)
+        held = [np.frombuffer(c, np.int64) for c in group.column("columns").to_pylist()]
+        rows, others = np.flatnonzero(asks), np.flatnonzero(~asks)
+        nothing = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        if not len(rows) or not len(others):
+            return nothing
+        columns = np.unique(np.concatenate([held[r] for r in rows]))
+        shared = np.zeros((len(rows), len(others)), np.float32)
+        sides = []
+        for side in (rows, others):
+            entry = np.concatenate([held[r] for r in side])
+            place = np.minimum(np.searchsorted(columns, entry), len(columns) - 1)
+            known = columns[place] == entry
+            of = np.repeat(np.arange(len(side)), [len(held[r]) for r in side])
+            order = np.argsort(place[known], kind="stable")
+            sides.append((place[known][order], of[known][order]))
+        # the product, some columns at a time
+        step = max(64, min(4096, 20_000_000 // (len(rows) + len(others))))
+        for at in range(0, len(columns), step):
+            dense = []
+            for (place, of), number in zip(sides, (len(rows), len(others)), strict=True):
+                lo, hi = np.searchsorted(place, (at, at + step))
+                part = np.zeros((number, step), np.float32)
+                part[of[lo:hi], place[lo:hi] - at] = 1
+                dense.append(part)
+            shared += dense[0] @ dense[1].T
+        union = size[rows][:, None] + size[others][None, :] - shared
+        x, y = np.nonzero((100 * shared >= percent * union) & (label[rows][:, None] != label[others][None, :]))
+        # one link is enough to join a label
+        _, first = np.unique(np.stack([x, label[others][y]], 1), axis=0, return_index=True)
+        return pa.table({"a": pa.array(node[rows][x[first]], pa.int64()), "b": pa.array(node[others][y[first]], pa.int64())})
+
+    return run
 
-    Step 0 pairs each row with the one that is the smallest row of most of its columns, step 1 the smallest row of each label with that of the
-    column's smallest label, step 2 all rows of different labels.
+
+def _family_links(rows: DataFrame, percent: int) -> DataFrame:
+    """Links inside families between rows of different labels, by blocked products.
+
+    Only rows outside a family's largest label are open; they meet all rows of the family. Blocks are bounded by their entries, a
+    row goes to as many tasks as the other side has blocks.
     """
-    fits = f"100 * least(size, size_b) >= {percent} * greatest(size, size_b)"
-    if step == 0:
-        pivot = met.groupBy("column").agg(F.min(F.struct("node", "size")).alias("p"), F.count("*").alias("n")).where("n > 1")
-        pairs = met.join(pivot, "column").select("node", "size", F.col("p.node").alias("b"), F.col("p.size").alias("size_b"))
-        times = pairs.where("node <> b").where(fits).groupBy("node", "size", "b", "size_b").count()
-        best = times.groupBy("node", "size").agg(F.max(F.struct("count", "b", "size_b")).alias("m"))
-        pairs = best.select("node", "size", F.col("m.b").alias("b"), F.col("m.size_b").alias("size_b"))
-    else:
-        split = met.groupBy("column").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("column")
-        open_ = met.join(split, "column")
-        if step == 1:
-            firsts = open_.groupBy("column", "label").agg(F.min(F.struct("node", "size")).alias("p"))
-            pivot = firsts.groupBy("column").agg(F.min(F.struct("label", "p")).alias("q"))
-            pairs = firsts.join(pivot, "column").select(
-                F.col("p.node").alias("node"), F.col("p.size").alias("size"), F.col("q.p.node").alias("b"), F.col("q.p.size").alias("size_b")
-            )
-        else:
-            other = open_.select("column", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"))
-            pairs = open_.join(other, "column").where("label < label_b").select("node", "size", "b", "size_b")
-    pairs = pairs.where("node <> b").where(fits)
-    return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    counted = rows.groupBy("family", "label").agg(F.count("*").alias("n"), F.sum("size").alias("entries"))
+    sums = counted.groupBy("family").agg(
+        F.max(F.struct("n", "label")).alias("main"), F.sum("entries").alias("all"), F.count("*").alias("labels"), F.max("entries").alias("most")
+    )
+    sums = sums.where("labels > 1").select(
+        "family",
+        F.col("main.label").alias("main"),
+        F.ceil(F.col("all") / BLOCK_ENTRIES).cast("int").alias("blocks"),
+        F.ceil((F.col("all") - F.col("most")) / BLOCK_ENTRIES + 1).cast("int").alias("open_blocks"),
+    )
+    dealt = rows.join(sums, "family")
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    wanted = ["family", "node", "size", "label", "columns"]
+    asks = dealt.where("label <> main").select(*wanted, place("open_blocks").alias("x"), every("blocks").alias("y"), F.lit(True).alias("asks"))
+    there = dealt.select(*wanted, every("open_blocks").alias("x"), place("blocks").alias("y"), F.lit(False).alias("asks"))
+    return asks.unionByName(there).groupBy("family", "x", "y").applyInArrow(_family_product(percent), "a long, b long")
+
+
+def _strangers(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a`` < ``b`` of rows with a common prefix column, of different labels and families, whose sizes allow a link."""
+    split = met.groupBy("column").agg(
+        F.min("label").alias("l"), F.max("label").alias("h"), F.min("family").alias("f"), F.max("family").alias("g")
+    )
+    open_ = met.join(split.where("l < h and f < g").select("column"), "column")
+    other = open_.select("column", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"), F.col("family").alias("family_b"))
+    pairs = open_.join(other, "column").where("node < b and label <> label_b and family <> family_b").where(_fits(percent))
+    return pairs.select(F.col("node").alias("a"), "b").distinct()

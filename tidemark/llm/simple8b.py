@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import PieceCache, in_groups
+from tidemark.llm.chunks import PieceTable, in_groups
 
 BLOCK = 2048
 SEGMENT_IDS = 262_144
@@ -111,23 +111,22 @@ def decode_ids(words: np.ndarray, offsets: np.ndarray, escaped: np.ndarray, n_id
 
 
 class _Encoders:
-    """One tokenizer and piece cache per file in a worker; they outlive tasks."""
+    """One tokenizer and piece table per file in a worker; they outlive tasks."""
 
-    made: dict[str, PieceCache] = {}
+    made: dict[str, PieceTable] = {}
 
     @classmethod
-    def of(cls, file: str) -> PieceCache:
+    def of(cls, file: str) -> PieceTable:
         if file not in cls.made:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(file)
             tokenizer.encode_special_tokens = True
 
-            def encode(texts: list[str]) -> list[bytes]:
-                found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-                return [np.array(x.ids, "<u4").tobytes() for x in found]
+            def encode(texts: list[str]) -> list[list[int]]:
+                return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-            cls.made[file] = PieceCache(encode)
+            cls.made[file] = PieceTable(encode)
         return cls.made[file]
 
 
@@ -170,16 +169,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int |
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, shard = _Encoders.of(tokenizer_file), TaskContext.get().partitionId()
-        tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        table, shard = _Encoders.of(tokenizer_file), TaskContext.get().partitionId()
+        tail = np.zeros(0, np.uint32) if end_id is None else np.array([end_id], np.uint32)
         segment, first, held = 0, 0, 0
         doc_ids: list = []
         lengths: list[int] = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
 
         def row() -> pa.RecordBatch:
             nonlocal segment, first, held
-            ids = np.frombuffer(b"".join(parts), "<u4")
+            ids = np.concatenate(parts)
             made = _segment(shard, segment, first, list(doc_ids), list(lengths), ids)
             segment, first, held = segment + 1, first + len(ids), 0
             doc_ids.clear(), lengths.clear(), parts.clear()
@@ -188,9 +187,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int |
         for batch in batches:
             keys, at = batch.column(0).to_pylist(), 0
             for group in in_groups(batch.column(1).to_pylist()):
-                for packed in cache.encoded(group):
-                    parts.append(packed + tail)
-                    lengths.append(len(parts[-1]) // 4)
+                ids, sizes = table.encoded(group)
+                ends = np.cumsum(sizes).tolist()
+                for begin, end in zip([0, *ends], ends, strict=False):
+                    parts += (ids[begin:end], tail)
+                    lengths.append(end - begin + len(tail))
                     doc_ids.append(keys[at])
                     at += 1
                     held += lengths[-1]
