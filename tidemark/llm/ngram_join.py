@@ -7,7 +7,7 @@ document. Bounds that follow from the sizes of two sets discard work without los
    columns are such is linked with none but equal sets and leaves the product.
 2. In any fixed order of the columns, two linked sets share one of their first n - ceil(t n) + 1 columns. The order
    here is rare columns first, so columns that very many documents share hardly ever make a pair meet.
-3. Linked sizes differ by the factor t at most.
+3. Linked sizes differ by the factor t at most, and from the first common column on, both have enough columns left.
 
 Equal sets are one row of the product. Pairs that already are in one component are not multiplied: first each row meets the
 row that is the smallest of most of its columns, which also sorts rows into families; then, family by family, rows outside
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import MIX, in_groups, run_hashes, words
-from tidemark.llm.components import components
+from tidemark.llm.components import components, spanning_forest
 from tidemark.plans.durable import cut_lineage
 
 HASH_BITS, DOC_BITS = 44, 20
@@ -155,7 +155,7 @@ def _incidence(width: int, block_bits: int):
 
 
 def _count_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Answer each flush which of its entries are in columns of several documents, with the count's power of four.
+    """Answer each flush which of its entries are in columns of several documents, with the count's power of two.
 
     A flush asks once for a column, whatever the number of its documents in it, so no column has more entries than there are flushes.
     """
@@ -179,7 +179,7 @@ def _count_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for (flush, mine, _), lo, hi in zip(parts, ends[:-1], ends[1:], strict=True):
             keep = each[lo:hi] > 1
             if keep.any():
-                rank = np.minimum(np.log2(each[lo:hi][keep]) // 2, 15).astype(np.uint8)
+                rank = np.minimum(np.log2(each[lo:hi][keep]), 15).astype(np.uint8)
                 yield _row(COUNTED, block, flush, _packed(mine[keep]), rank.tobytes())
 
 
@@ -241,7 +241,7 @@ def _documents(percent: int):
 
 
 def _prefix(percent: int):
-    """Rows to the columns by which they have to meet their partners, each with the row's other values."""
+    """Rows to the columns by which they have to meet their partners, each with the row's other values and the number of its columns from this one on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,7 +254,8 @@ def _prefix(percent: int):
             names = [n for n in batch.schema.names if n != "columns"]
             values = [np.repeat(batch.column(n).to_numpy(), most) for n in names]
             flat = np.concatenate([np.zeros(0, np.int64), *columns])
-            yield pa.RecordBatch.from_arrays([pa.array(flat), *map(pa.array, values)], ["column", *names])
+            left = np.repeat(lengths + np.cumsum(most) - most, most) - np.arange(len(flat))
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(left), *map(pa.array, values)], ["column", "left", *names])
 
     return run
 
@@ -301,11 +302,12 @@ def _classified(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .select(F.xxhash64("digest", "size").alias("node"), "digest", "size", "columns"),
         "rows",
     )
-    shared = rows.select("node", "size", "columns").mapInArrow(_prefix(percent), "column long, node long, size long")
-    nearest = cut_lineage(_nearest(cut_lineage(shared, "prefixes"), percent), "nearest")
+    shared = rows.select("node", "size", "columns").mapInArrow(_prefix(percent), "column long, left long, node long, size long")
+    pivots = cut_lineage(_pivots(cut_lineage(shared, "prefixes"), percent), "pivots")
+    nearest = pivots.where("fits > 0").groupBy("a").agg(F.max(F.struct("fits", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     links = cut_lineage(_verified(nearest, rows, percent), "links")
     labels = cut_lineage(components(links), "labels")
-    families = cut_lineage(components(nearest.where("strong")).withColumnRenamed("component", "family"), "families")
+    families = cut_lineage(components(pivots.where("strong")).withColumnRenamed("component", "family"), "families")
 
     def labelled(labels: DataFrame) -> DataFrame:
         return rows.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
@@ -315,7 +317,7 @@ def _classified(docs: DataFrame, width: int, percent: int) -> DataFrame:
         links = links.unionByName(more)
         labels = cut_lineage(components(links), "labels")
     whole_rows = labelled(labels).join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
-    met = whole_rows.select("node", "size", "columns", "label", "family").mapInArrow(_prefix(percent), "column long, node long, size long, label long, family long")
+    met = whole_rows.select("node", "size", "columns", "label", "family").mapInArrow(_prefix(percent), "column long, left long, node long, size long, label long, family long")
     strangers = cut_lineage(_strangers(cut_lineage(met, "prefixes"), percent), "strangers")
     more = cut_lineage(_verified(strangers, rows, percent), "stranger-links")
     if not more.isEmpty():
@@ -372,24 +374,25 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame
 
 
 def _fits(percent: int) -> str:
-    return f"100 * least(size, size_b) >= {percent} * greatest(size, size_b)"
+    """Whether sizes allow a link, and the columns from a common one on do if it is the first (another common one may say no)."""
+    sizes = f"100 * least(size, size_b) >= {percent} * greatest(size, size_b)"
+    return f"{sizes} and {100 + percent} * least(left, left_b) >= {percent} * (size + size_b)"
 
 
-def _nearest(met: DataFrame, percent: int) -> DataFrame:
-    """Each row ``a`` with the row ``b`` that is the smallest of most of its prefix columns; ``strong`` if of a quarter of them."""
-    pivot = met.groupBy("column").agg(F.min(F.struct("node", "size")).alias("p"), F.count("*").alias("n")).where("n > 1")
-    pairs = met.join(pivot, "column").select("node", "size", F.col("p.node").alias("b"), F.col("p.size").alias("size_b"))
-    times = pairs.where("node <> b").where(_fits(percent)).groupBy("node", "size", "b", "size_b").count()
-    best = times.groupBy("node", "size").agg(F.max(F.struct("count", "b", "size_b")).alias("m"))
-    prefix = F.col("size") * (100 - percent) / 100
-    return best.select(F.col("node").alias("a"), F.col("m.b").alias("b"), (4 * F.col("m.count") >= prefix).alias("strong"))
+def _pivots(met: DataFrame, percent: int) -> DataFrame:
+    """Each row ``a`` with the rows ``b`` that are the smallest of some of its prefix columns: ``fits``, how many allow a link, ``strong``, if they are a tenth."""
+    pivot = met.groupBy("column").agg(F.min(F.struct("node", "size", "left")).alias("p"), F.count("*").alias("n")).where("n > 1")
+    pairs = met.join(pivot, "column").select("node", "size", "left", F.col("p.node").alias("b"), F.col("p.size").alias("size_b"), F.col("p.left").alias("left_b"))
+    fits = F.sum(F.expr(_fits(percent)).cast("int"))
+    times = pairs.where("node <> b").groupBy("node", "size", "b").agg(F.count("*").alias("n"), fits.alias("fits"))
+    return times.select(F.col("node").alias("a"), "b", "fits", (1000 * F.col("n") >= (100 - percent) * F.col("size")).alias("strong"))
 
 
 BLOCK_ENTRIES = 2_000_000
 
 
 def _family_product(percent: int):
-    """Links between a block of a family's open rows and a block of all its rows: for each open row one per label it links with."""
+    """Links between a block of a family's open rows and a block of all its rows: no more than it takes to join their labels."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         node, size, label = (group.column(c).to_numpy() for c in ("node", "size", "label"))
@@ -421,9 +424,11 @@ def _family_product(percent: int):
             shared += dense[0] @ dense[1].T
         union = size[rows][:, None] + size[others][None, :] - shared
         x, y = np.nonzero((100 * shared >= percent * union) & (label[rows][:, None] != label[others][None, :]))
-        # one link is enough to join a label
-        _, first = np.unique(np.stack([x, label[others][y]], 1), axis=0, return_index=True)
-        return pa.table({"a": pa.array(node[rows][x[first]], pa.int64()), "b": pa.array(node[others][y[first]], pa.int64())})
+        _, first = np.unique(np.stack([label[rows][x], label[others][y]], 1), axis=0, return_index=True)
+        x, y = x[first], y[first]
+        # links that join labels which others have joined already are left out
+        kept = spanning_forest(label[rows][x], label[others][y])
+        return pa.table({"a": pa.array(node[rows][x[kept]], pa.int64()), "b": pa.array(node[others][y[kept]], pa.int64())})
 
     return run
 
@@ -459,6 +464,6 @@ def _strangers(met: DataFrame, percent: int) -> DataFrame:
         F.min("label").alias("l"), F.max("label").alias("h"), F.min("family").alias("f"), F.max("family").alias("g")
     )
     open_ = met.join(split.where("l < h and f < g").select("column"), "column")
-    other = open_.select("column", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"), F.col("family").alias("family_b"))
+    other = open_.select("column", F.col("node").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("size", "left", "label", "family")])
     pairs = open_.join(other, "column").where("node < b and label <> label_b and family <> family_b").where(_fits(percent))
     return pairs.select(F.col("node").alias("a"), "b").distinct()

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import components, spanning_forest
 from tidemark.plans.durable import cut_lineage
 
 SHARD = 2048
@@ -187,25 +187,6 @@ def linked(graph: SmallWorld, exact: np.ndarray, queries: np.ndarray, least: flo
     return result
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Places among the edges (a, b) of those that make a spanning forest."""
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    kept = []
-    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-        x, y = root(x), root(y)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append(k)
-    return np.array(kept, np.int64)
-
-
 def _unpack(blob: bytes, n: int) -> np.ndarray:
     return np.frombuffer(blob, "<f8").reshape(n, -1)
 
@@ -270,14 +251,14 @@ def _product(least: float):
                     x, y = np.nonzero(np.triu(links))
                     counts, names = links.sum(axis=1), rows_a
                     first, second = rows_a[x], rows_a[y]
-                    kept = _forest(x, y, len(rows_a))
+                    kept = spanning_forest(x, y)
                 else:
                     rows_b, b, graph_b = load(row, "b")
                     links = linked(graph_b, b, a, least) | linked(graph_a, a, b, least).T
                     x, y = np.nonzero(links)
                     counts, names = np.concatenate([links.sum(axis=1), links.sum(axis=0)]), np.concatenate([rows_a, rows_b])
                     first, second = rows_a[x], rows_b[y]
-                    kept = _forest(x, y + len(rows_a), len(names))
+                    kept = spanning_forest(x, y + len(rows_a))
                 some = counts > 0
                 number = int(some.sum())
                 yield pa.RecordBatch.from_arrays(
