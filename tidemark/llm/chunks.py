@@ -78,8 +78,9 @@ class PieceTable:
         self.encode, self.most = encode, most
         self._clear()
 
-    def _clear(self) -> None:
-        slots = 1 << (2 * self.most - 1).bit_length()
+    def _clear(self, room: int = 0) -> None:
+        """Forget all pieces; a single group may need more room than the table has otherwise."""
+        slots = 1 << (2 * max(self.most, room) - 1).bit_length()
         self.keys, self.values = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
         self.offsets, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
@@ -138,9 +139,9 @@ class PieceTable:
         fresh = np.flatnonzero((numbers < 0) & brief)
         new, first = np.unique(hashes[fresh], return_index=True)
         if len(self.offsets) + len(new) > self.most:
-            self._clear()
             fresh = np.flatnonzero(brief)
             new, first = np.unique(hashes[fresh], return_index=True)
+            self._clear(len(new))
         places = fresh[first]
         self._insert(new, *self._flat([joined[starts[p] : ends[p]].decode() for p in places.tolist()]))
         numbers[brief] = self._find(hashes[brief])
