@@ -182,7 +182,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS v
     "seq_key_max": LONG_NUMBERS
     + """SELECT user_id, seq, event_id FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY r DESC, lpad(d, 80, '0') DESC, sub DESC, seq DESC, event_id DESC) AS rn
-  FROM keys WHERE seq <> 'SHARD_END') WHERE rn = 1""",
+  FROM keys) WHERE rn = 1""",
     "validate_sequence": """SELECT event_id, event_id % 6 IN (4, 5) AND user_id % 3 - 1 >= 0 AS valid FROM events""",
     "initial_checkpoint": _q(
         ("fx_nodes",),

@@ -119,8 +119,7 @@ def seq_key(spark, sf):
 @query
 def seq_key_max(spark, sf):
     greatest = F.max(F.struct(sequence.seq_key("seq", "sub").alias("key"), "seq", "event_id"))
-    numbers = _long_numbers(spark, sf).where(F.col("seq") != sequence.SHARD_END)
-    return numbers.groupBy("user_id").agg(greatest.alias("g")).select("user_id", "g.seq", "g.event_id")
+    return _long_numbers(spark, sf).groupBy("user_id").agg(greatest.alias("g")).select("user_id", "g.seq", "g.event_id")
 
 
 @query
@@ -745,7 +744,7 @@ def stream_stale_keys(spark, sf):
     path = work_folder(spark, "versions")
     view(spark, sf, "fx_versions").write.parquet(path)
     scans = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    stale = _appended(stream_stale.stream_stale_keys(scans, dt.timedelta(days=3)), "stale")
+    stale = _appended(stream_stale.stream_stale_keys(scans, dt.timedelta(days=3), delay="0 seconds"), "stale")
     never = F.lit("1970-01-01").cast("timestamp_ntz")
     return stale.select("key", F.coalesce(F.col("last_change").cast("timestamp_ntz"), never).alias("last_change"))
 

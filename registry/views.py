@@ -108,10 +108,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                         CASE WHEN id >= 5 AND id % 5 = 0 THEN CAST(FLOOR(id / 2.0) AS BIGINT) + 1 END AS adjacent_parent_id,
                         id - CAST(POWER(2, length(bin(id)) - 1) AS BIGINT) AS pos,
                         CAST(POWER(2, 41 - length(bin(id))) AS BIGINT) AS width
-                 FROM (SELECT CAST(p_partkey AS BIGINT) AS id FROM part WHERE p_partkey >= 1) n) e
+                 FROM (SELECT CAST(p_partkey AS BIGINT) AS id FROM (SELECT p_partkey + 1 AS p_partkey FROM part) q1) n) e
            LEFT JOIN (SELECT DISTINCT id FROM (
-                        SELECT CAST(FLOOR(p_partkey / 2.0) AS BIGINT) AS id FROM part WHERE p_partkey >= 2
-                        UNION ALL SELECT CAST(FLOOR(p_partkey / 2.0) AS BIGINT) + 1 FROM part
+                        SELECT CAST(FLOOR(p_partkey / 2.0) AS BIGINT) AS id FROM (SELECT p_partkey + 1 AS p_partkey FROM part) q2 WHERE p_partkey >= 2
+                        UNION ALL SELECT CAST(FLOOR(p_partkey / 2.0) AS BIGINT) + 1 FROM (SELECT p_partkey + 1 AS p_partkey FROM part) q3
                                   WHERE p_partkey >= 5 AND p_partkey % 5 = 0) q) p
            ON e.id = p.id""",
     ),

@@ -124,7 +124,7 @@ def test_bounded_batch(records):
     assert points(r.bounded_batch(records, 2)) == [("s1", "10", 0), ("s1", "9", 0), ("s2", "100", 0), ("s3", "7", 0), ("s4", "8", 0)]
     assert r.bounded_batch(records, -1).count() == 6
     assert r.bounded_batch(records, -1, configured_max=1).count() == 4
-    assert r.bounded_batch(records, 5, configured_max=2).count() == 5
+    assert r.bounded_batch(records, 5, configured_max=2).count() == 6
 
 
 def test_union_queues(spark, rows):

@@ -40,6 +40,9 @@ def test_missing_events_are_an_error_and_empty_ones_are_not(spark, mixed):
     bad = spark.createDataFrame([(None,)], "events array<int>")
     with pytest.raises(Exception, match="message contains no events"):
         e.require_events(bad).collect()
+    for read in (e.unpack_envelopes(bad), e.filter_any(bad, lambda x: x > 1)):
+        with pytest.raises(Exception, match="message contains no events"):
+            read.collect()
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +61,18 @@ def test_pack_and_split_into_parts(said, rows, rows_per_range):
     third = packed.where("stream_id = 2 and batch = 3").orderBy("part").collect()
     assert [r["part"] for r in third] == [0, 1, 2]
     assert [x["word"] for r in third for x in r["events"]] == [f"2-3-{i}" for i in range(9)]
-    assert [r["request_context"] for r in third] == [{"first": "2-3-0"}, {"first": "2-3-4"}, {"first": "2-3-8"}]
+    assert [r["request_context"] for r in third] == [{"first": "2-3-0"}] * 3
+
+
+def test_results_do_not_depend_on_parts(said, rows):
+    seen = set()
+    for most in (1, 3, 100):
+        packed = e.pack_envelopes(said, ["stream_id"], ["batch"], "at", ["word"], {"first": F.col("word")}, max_events=most)
+        kept = e.filter_any(packed, lambda x: x["word"] == "2-3-7")
+        index = rows(e.unpack_envelopes(kept, lambda x: x["word"] != "2-3-1"), "event_index", "event.word", F.col("request_context")["first"])
+        seen.add(tuple(index))
+    words = [f"2-3-{i}" for i in range(9) if i != 1]
+    assert seen == {tuple((k, w, "2-3-0") for k, w in enumerate(words))}
 
 
 def test_pack_then_unpack_is_the_identity(said, rows):

@@ -169,3 +169,15 @@ def test_rebalance(spark, rows):
     assert rows(s.rebalance_count(level), "owner", "take_moved", "moved_from") == [("a", 0, None), ("b", 0, None), ("c", 1, "a")]
     report = s.load_report(assignments(spark, {"a": 9, "b": 1}, expired=3), owners(spark, "c"))
     assert rows(s.rebalance_count(report, 3, 2), "owner", "needed", "take_expired", "take_moved") == [("a", 0, 0, 0), ("b", 4, 3, 0), ("c", 5, 3, 0)]
+
+
+def test_null_operations_and_orders_are_errors(spark):
+    target = spark.createDataFrame([(1, 5, "a")], "key long, version long, owner string")
+    kind = "key long, op string, expected_version long, expected_owner string, new_owner string, at long"
+    null_op = spark.createDataFrame([(1, None, None, None, None, 1)], kind)
+    null_order = spark.createDataFrame([(1, "update", 5, None, None, None)], kind)
+    with pytest.raises(Exception, match="unknown operation null"):
+        s.versioned_merge(target, null_op.drop("at"))[0].collect()
+    for changes in (null_op, null_order):
+        with pytest.raises(Exception, match="a change without"):
+            s.versioned_merge_ordered(target, changes, "at")[0].collect()

@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEFAULT_QUEUES = 8
+# Fixed value: 2^128 - 1.
+LARGEST_DECIMAL = "340282366920938463463374607431768211455"
+
 
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -24,12 +27,16 @@ def _split_off_word(limbs: list[Column]) -> tuple[list[Column], Column]:
 
 
 def decimal_to_hex128(number: Column | str) -> Column:
-    """A decimal digit string below 2^128 as 32 lower-case hex digits.
+    """A decimal digit string below 2^128 as 32 lower-case hex digits; any other string raises an error, null stays null.
 
     2^128 - 1 has 39 digits, one more than Spark's widest decimal, and decimals are slow:
     this divides by 2^32 in long arithmetic. The quotient loses a limb each time.
     """
-    digits = F.lpad(F.ltrim(_column(number), F.lit("0")), 45, "0")
+    plain = F.ltrim(_column(number), F.lit("0"))
+    long = F.length(plain)
+    fits = _column(number).rlike("^[0-9]+$") & ((long < 39) | ((long == 39) & (plain <= LARGEST_DECIMAL)))
+    refuse = F.raise_error(F.concat(F.lit("no hash key below 2^128: "), _column(number))).cast("string")
+    digits = F.lpad(F.when(fits | _column(number).isNull(), plain).otherwise(refuse), 45, "0")
     limbs = [F.substring(digits, 1 + 9 * i, 9).cast("long") for i in range(5)]
     words = []
     while len(limbs) > 2:
@@ -53,10 +60,11 @@ def effective_hash_key(partition_key: Column | str, explicit_hash_key: Column |
 
 
 def route_to_queue(stream: Column | str, namespace: Column | str | None = None, n: int = DEFAULT_QUEUES) -> Column:
-    """Queue number 0..n-1 of a stream: the same (stream, namespace) always gets the same queue."""
+    """Queue number 0..n-1 of a stream: the same (stream, namespace) always gets the same queue. A null stream raises an error."""
     if isinstance(n, bool) or not isinstance(n, int) or n < 1:
         raise ValueError(f"number of queues must be a positive integer, got {n!r}")
-    key = _column(stream).cast("string")
+    refuse = F.raise_error(F.lit("a message needs a stream")).cast("string")
+    key = F.coalesce(_column(stream).cast("string"), refuse)
     if namespace is not None:
         key = F.concat(key, F.lit("/"), F.coalesce(_column(namespace).cast("string"), F.lit("")))
     word = F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long")

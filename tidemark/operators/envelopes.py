@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,8 @@ def pack_envelopes(
     """One envelope per batch: its events in order, and its context map taken from the first event.
 
     ``part`` is 0; only a batch of more than ``max_events`` events goes on in parts
-    1, 2, ..., so that no row grows without limit. Every event is kept.
+    1, 2, ..., so that no row grows without limit. Every event is kept, and :func:`filter_any` and
+    :func:`unpack_envelopes` take the parts of a batch for one envelope.
     """
     groups = list(dict.fromkeys([*stream, *batch_key]))
     names = list(dict.fromkeys([*groups, order, *payload]))
@@ -38,13 +39,18 @@ def pack_envelopes(
         else F.lit(None).cast("map<string,string>")
     )
     slim = events.select(*names, context_map.alias("__context"))
+    # all parts carry the context of the batch's first event, one row per batch
+    first = slim.groupBy(*groups).agg(F.min_by("__context", order).alias("__first"))
     ranges = find_hot_ranges(slim, groups, [order], rows_per_range)
     numbered = running(slim, groups, [order], {"__n": row_count()}, ranges)
     parts = numbered.withColumn("part", F.floor((F.col("__n") - 1) / F.lit(max_events)).cast("long"))
+    same = [F.col(c).eqNullSafe(F.col(f"__first_{c}")) for c in groups]
+    first = first.select(*[F.col(c).alias(f"__first_{c}") for c in groups], "__first")
+    parts = parts.join(first, same).drop(*[f"__first_{c}" for c in groups])
     item = F.struct(F.col("__n").alias("n"), F.struct(*payload).alias("event"))
     packed = parts.groupBy(*groups, "part").agg(
         F.array_sort(F.collect_list(item)).alias("__items"),
-        F.min_by("__context", "__n").alias("request_context"),
+        F.min_by("__first", "__n").alias("request_context"),
     )
     return packed.select(
         *groups,
@@ -63,18 +69,35 @@ def require_events(envelopes: DataFrame) -> DataFrame:
 def unpack_envelopes(envelopes: DataFrame, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
     """One row per wanted event, with ``event`` and ``event_index``.
 
-    The index counts the survivors of the filter from 0; it is not the place in the envelope.
+    The index counts the survivors of the filter from 0; it is not the place in the envelope. It
+    goes on from part to part of a batch (see :func:`pack_envelopes`). Null ``events`` raise an error.
     """
+    envelopes = require_events(envelopes)
     events = F.col("events")
     if wanted is not None:
         events = F.filter(events, lambda e: F.coalesce(wanted(e), F.lit(False)))
     kept = [c for c in envelopes.columns if c != "events"]
-    return envelopes.select(*kept, F.posexplode(events).alias("event_index", "event"))
+    if "part" not in envelopes.columns:
+        return envelopes.select(*kept, F.posexplode(events).alias("event_index", "event"))
+    earlier = Window.partitionBy(*_batch(envelopes)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counted = envelopes.withColumn("__kept", events).withColumn("__before", F.coalesce(F.sum(F.size("__kept")).over(earlier), F.lit(0)))
+    exploded = counted.select(*kept, "__before", F.posexplode("__kept").alias("__place", "event"))
+    return exploded.select(*kept, (F.col("__before") + F.col("__place")).cast("int").alias("event_index"), "event")
+
+
+def _batch(envelopes: DataFrame) -> list[str]:
+    """The columns that name the batch of a part."""
+    return [c for c in envelopes.columns if c not in ("part", "events", "request_context")]
 
 
 def filter_any(envelopes: DataFrame, predicate: Callable[[Column], Column]) -> DataFrame:
-    """Whole envelopes with at least one matching event; an empty one is dropped."""
-    return envelopes.where(F.exists("events", lambda e: F.coalesce(predicate(e), F.lit(False))))
+    """Whole envelopes with at least one matching event, all their parts; an empty one is dropped, null ``events`` raise an error."""
+    matches = F.exists("events", lambda e: F.coalesce(predicate(e), F.lit(False)))
+    envelopes = require_events(envelopes)
+    if "part" not in envelopes.columns:
+        return envelopes.where(matches)
+    matched = envelopes.withColumn("__matches", F.max(matches).over(Window.partitionBy(*_batch(envelopes))))
+    return matched.where("__matches").drop("__matches")
 
 
 def apply_context(envelopes: DataFrame, keys: Sequence[str], wanted: Callable[[Column], Column] | None = None) -> DataFrame:

@@ -73,7 +73,7 @@ def deaggregate(records: DataFrame, shards: DataFrame | None = None) -> DataFram
     decoded aggregate: partition_keys, explicit_hash_keys (decimal text) and items, an array
     of (pk_index, ehk_index or null, data). An aggregate gives sub-sequences 0, 1, ... with
     its own sequence number and arrival; if any item's hash key lies outside the shard's
-    range, none of its items remain. Other records pass through once as sub-sequence 0.
+    range, none of its items remain; an aggregate that was not decoded raises an error. Other records pass through once as sub-sequence 0.
     """
     marked = records.withColumn("aggregated", is_aggregated("data"))
     if shards is None:
@@ -105,7 +105,9 @@ def deaggregate(records: DataFrame, shards: DataFrame | None = None) -> DataFram
             F.col("data").alias("data"),
         )
     )
-    whole = ranged.withColumn("__items", F.when(F.col("aggregated"), resolved).otherwise(single))
+    refuse = F.raise_error(F.lit("an aggregate without its decoded items")).cast(ranged.select(resolved.alias("r")).schema["r"].dataType)
+    items = F.when(F.col("aggregated"), F.coalesce(resolved, refuse)).otherwise(single)
+    whole = ranged.withColumn("__items", items)
     kept = whole.where(~F.col("aggregated") | F.forall("__items", in_range))
     return kept.select(
         "shard_id",

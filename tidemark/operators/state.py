@@ -65,6 +65,8 @@ def versioned_merge(target: DataFrame, changes: DataFrame, payload: Sequence[str
     evict   the owner is as expected, none included; clears the owner
     delete  unconditional
 
+    Any other operation, null too, raises an error.
+
     update, renew, take and evict raise the version by 1. Several changes of a key raise
     an error here; see :func:`versioned_merge_ordered`.
     """
@@ -81,7 +83,7 @@ def versioned_merge(target: DataFrame, changes: DataFrame, payload: Sequence[str
     refuse = F.raise_error(F.concat(F.lit("several changes of key "), F.col("key").cast("string")))
     kind = grouped.schema["__change"].dataType
     only = F.when(F.col("__n") == 1, F.col("__change")).otherwise(refuse.cast(kind))
-    asked = grouped.select("key", only.alias("__change")).select("key", "__change.*")
+    asked = grouped.select("key", only.alias("__change")).select("key", "__change.*", F.lit(True).alias("__asked"))
     joined = have.join(asked, "key", "full_outer").withColumn("applied", _check())
     merged = cut_lineage(joined, "merge")
 
@@ -101,7 +103,7 @@ def versioned_merge(target: DataFrame, changes: DataFrame, payload: Sequence[str
         F.when(applied & op.isin(CREATE, UPDATE), F.col(p)).otherwise(F.col(f"__was_{p}")).alias(p) for p in payload
     ]
     new_target = merged.where(alive).select("key", version.alias("version"), owner.alias("owner"), *new_payload)
-    outcomes = merged.where(op.isNotNull()).select("key", "op", "applied")
+    outcomes = merged.where("__asked").select("key", "op", "applied")
     return new_target, outcomes
 
 
@@ -111,7 +113,7 @@ def _check() -> Column:
     same_version = F.coalesce(F.col("__version") == F.col("expected_version"), F.lit(False))
     refuse = F.raise_error(F.concat(F.lit("unknown operation "), F.coalesce(op, F.lit("null"))))
     return (
-        F.when(op.isNull(), F.lit(None).cast("boolean"))
+        F.when(F.col("__asked").isNull(), F.lit(None).cast("boolean"))
         .when(op == CREATE, ~exists)
         .when(op.isin(UPDATE, RENEW, TAKE), exists & same_version)
         .when(op == EVICT, exists & F.col("__owner").eqNullSafe(F.col("expected_owner")))
@@ -134,8 +136,15 @@ def versioned_merge_ordered(
     irrelevant, so chains are cut there. And a change that repeats the check of the one
     right before it cannot apply (see :func:`_repeats_a_check`), so of a burst of attempts
     on one version only the first is left. Each remaining chain streams through a task
-    in sorted batches and keeps one row of state, so its length does not weigh on memory.
+    in sorted batches and keeps one row of state, so its length does not weigh on memory. A
+    null operation or order raises an error.
     """
+
+    def required(name: str) -> Column:
+        refuse = F.raise_error(F.concat(F.lit(f"a change without {name}, key "), F.coalesce(F.col("key").cast("string"), F.lit("null"))))
+        return F.when(F.col(name).isNotNull(), F.col(name)).otherwise(refuse.cast(changes.schema[name].dataType))
+
+    changes = changes.withColumns({"op": required("op"), order: required(order)})
     ranges = find_hot_ranges(changes, ["key"], [order], rows_per_range)
     is_delete = F.col("op") == REMOVE
     check = F.struct("op", "expected_version", "expected_owner")

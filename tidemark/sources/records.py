@@ -56,11 +56,12 @@ def scan_records(
     schema: T.StructType | None = None,
     streaming: bool = False,
     max_files_per_trigger: int | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """Records of a parquet folder from ``position`` on, as a table or (``streaming``) as a stream.
 
-    A stream at LATEST reads the files written after ``ts``, by default after this call; give the
-    same ``ts`` when the stream is started again, or files that came in between are left out.
+    A stream at LATEST reads the files written after ``ts``, by default after its first start, which is
+    kept beside ``checkpoint``, the query's own, so that a restart leaves out no file that came in between.
     """
     if streaming:
         if schema is None:
@@ -70,7 +71,9 @@ def scan_records(
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         records = reader.parquet(path)
         if position == s.LATEST:
-            since = ts or dt.datetime.now(dt.timezone.utc)
+            if ts is None and checkpoint is None:
+                raise ValueError("a stream at LATEST needs ts or the checkpoint of its query")
+            since = ts or _first_start(spark, checkpoint)
             text = since.isoformat(sep=" ") if isinstance(since, dt.datetime) else since
             return records.where(F.col("_metadata.file_modification_time") > F.lit(text).cast("timestamp"))
     else:
@@ -79,6 +82,13 @@ def scan_records(
     return start_position(records, position, ts, seq)
 
 
+def _first_start(spark: SparkSession, checkpoint: str) -> str:
+    """When a stream with this checkpoint was first started: written once, then read."""
+    path = f"{checkpoint.rstrip('/')}-first-start"
+    spark.range(1, numPartitions=1).select(F.current_timestamp().alias("started")).write.mode("ignore").parquet(path)
+    return spark.read.parquet(path).select(F.date_format("started", "yyyy-MM-dd HH:mm:ss.SSSSSSxxx")).first()[0]
+
+
 def bounded_batch(
     records: DataFrame,
     limit: int,
@@ -90,9 +100,9 @@ def bounded_batch(
 ) -> DataFrame:
     """What one read returns: at most ``limit`` records per shard, in sequence order.
 
-    A negative limit means the configured maximum, which also caps larger limits.
+    A negative limit means the configured maximum; any other limit is taken as it is.
     """
-    n = configured_max if limit < 0 else min(limit, configured_max)
+    n = configured_max if limit < 0 else limit
     keyed = records.withColumn("__seq", s.seq_key(sequence_number, sub_sequence))
     return first_rows(keyed, [shard], ["__seq"], n, rows_per_range).drop("__seq")
 

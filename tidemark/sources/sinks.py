@@ -8,14 +8,18 @@ from pyspark.sql.readwriter import DataFrameWriter
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.hashing import DEFAULT_QUEUES, route_to_queue
+from tidemark.operators.envelopes import require_events
 
 SNAPSHOT_FORMATS = ("json", "parquet")
+ALL_AVAILABLE = {"availableNow": True}
 
 
 def with_queue(
     envelopes: DataFrame, stream: str = "stream_id", namespace: str | None = None, n: int = DEFAULT_QUEUES
 ) -> DataFrame:
-    """Envelopes with their queue. A sequence token set by the caller raises an error: queues number on read."""
+    """Envelopes with their queue. A sequence token set by the caller raises an error (queues number on read), as do null events."""
+    if "events" in envelopes.columns:
+        envelopes = require_events(envelopes)
     if "seq" in envelopes.columns:
         refuse = F.raise_error(F.lit("a sequence token cannot be chosen by the writer"))
         kind = envelopes.schema["seq"].dataType
@@ -46,14 +50,18 @@ def publish_stream(
     stream: str = "stream_id",
     namespace: str | None = None,
     n: int = DEFAULT_QUEUES,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append a stream of envelopes below ``path``; the file sink writes each batch exactly once."""
+    """Append a stream of envelopes below ``path``; the file sink writes each batch exactly once.
+
+    ``trigger`` is as for ``DataStreamWriter.trigger``, by default all that is available now.
+    """
     return (
         with_queue(envelopes, stream, namespace, n)
         .writeStream.format("parquet")
         .partitionBy("queue_id")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or ALL_AVAILABLE))
         .start(path)
     )
 
@@ -82,4 +90,4 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
 
 def write_jdbc(state: DataFrame, url: str, table: str, mode: str = "append", writers: int = 16, **options: str) -> None:
     """Write state rows to a relational table over at most ``writers`` connections."""
-    state.coalesce(writers).write.format("jdbc").options(**jdbc_options(url, table, **options)).mode(mode).save()
+    state.repartition(writers).write.format("jdbc").options(**jdbc_options(url, table, **options)).mode(mode).save()

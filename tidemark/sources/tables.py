@@ -14,6 +14,8 @@ def scan_shards(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
     except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no shard listing at {path}") from problem
 
 

@@ -7,27 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tidemark.sources.sinks import write_snapshot
+from tidemark.sources.sinks import ALL_AVAILABLE, write_snapshot
 
 
-def resume_stream(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+def resume_stream(
+    stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict | None = None
+) -> StreamingQuery:
     """Append what has arrived to ``path``; the next start goes on after the last committed position."""
     return (
         stream.writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or ALL_AVAILABLE))
         .start(path)
     )
 
 
-def write_snapshots(state: DataFrame, path: str, checkpoint: str, fmt: str = "json") -> StreamingQuery:
+def write_snapshots(
+    state: DataFrame, path: str, checkpoint: str, fmt: str = "json", trigger: dict | None = None
+) -> StreamingQuery:
     """Write the rows each batch updates to a folder of that batch; a repeated batch replaces its own."""
     return (
         state.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, n: write_snapshot(batch, path, n, fmt) and None)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or ALL_AVAILABLE))
         .start()
     )
 
@@ -42,8 +46,12 @@ def process_batches(
     on_error: Callable[[int, Exception], None] | None = None,
     call_on_empty: bool = False,
     output_mode: str = "append",
+    trigger: dict | None = None,
+    on_start: Callable[[StreamingQuery], None] | None = None,
 ) -> None:
-    """Run ``process(batch, batch_id)`` for everything that has arrived, then return.
+    """Run ``process(batch, batch_id)`` for everything that has arrived, then return; with a continuing ``trigger``, until the query stops.
+
+    ``on_start`` gets the running query, to stop it.
 
     A batch whose processing raises is written below ``quarantine`` and skipped; consumption
     goes on. ``shutdown`` gets "finished", or "failed" if the stream itself broke. A
@@ -68,9 +76,11 @@ def process_batches(
             stream.writeStream.outputMode(output_mode)
             .option("checkpointLocation", checkpoint)
             .foreachBatch(handle)
-            .trigger(availableNow=True)
+            .trigger(**(trigger or ALL_AVAILABLE))
             .start()
         )
+        if on_start:
+            on_start(query)
         query.awaitTermination()
         reason = "finished"
     finally:

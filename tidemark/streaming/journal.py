@@ -17,6 +17,7 @@ from tidemark.plans.durable import cut_lineage
 from tidemark.plans.hot_ranges import find_hot_ranges
 from tidemark.plans.lookup import join_one_per_key
 from tidemark.plans.running import row_count, running
+from tidemark.sources.sinks import ALL_AVAILABLE
 
 
 def stream_journal(
@@ -84,6 +85,7 @@ def append_journal_versions(
     order: str = "seq",
     message: str = "message",
     rows_per_range: float | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """As :func:`stream_journal_versions`, also where one entity is a large share of a batch.
 
@@ -115,6 +117,5 @@ def append_journal_versions(
         after = known.unionByName(added).groupBy(entity).agg(F.sum("version").alias("version"), F.max("last").alias("last"))
         after.write.mode("overwrite").parquet(f"{folder}/state/batch_id={batch_id}")
 
-    return (
-        stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle).trigger(availableNow=True).start()
-    )
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+    return writer.trigger(**(trigger or ALL_AVAILABLE)).start()

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.operators.state import MAX_AGE_DAYS
+
 
 class _Quiet(StatefulProcessor):
     """Keeps a key's last version and change time, and whether its quiet was reported.
@@ -19,44 +21,45 @@ class _Quiet(StatefulProcessor):
     a timer, is past it; so the reports do not depend on how rows fall into batches.
     """
 
-    def __init__(self, duration_ms: int, key_name: str):
-        self.duration_ms, self.key_name = duration_ms, key_name
+    def __init__(self, duration_us: int, key_name: str):
+        self.duration_us, self.key_name = duration_us, key_name
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         kind = T.StructType(
             [
                 T.StructField("version", T.LongType()),
-                T.StructField("changed_ms", T.LongType()),
+                T.StructField("changed_us", T.LongType()),
                 T.StructField("reported", T.BooleanType()),
             ]
         )
         self.state = handle.getValueState("seen", kind)
 
     def _reports(self, key, changes: list[int | None]) -> pd.DataFrame:
-        return pd.DataFrame({self.key_name: [key[0]] * len(changes), "changed_ms": pd.array(changes, dtype="Int64")})
+        return pd.DataFrame({self.key_name: [key[0]] * len(changes), "changed_us": pd.array(changes, dtype="Int64")})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         known = self.state.exists()
         version, changed, reported = self.state.get() if known else (None, None, False)
         reports: list[int | None] = []
         # a key's share of one micro-batch; the trigger's size limit bounds it
-        for row in pd.concat(list(rows), ignore_index=True).sort_values("seen_ms", kind="stable").itertuples():
-            if changed is not None and not reported and row.seen_ms > changed + self.duration_ms:
+        for row in pd.concat(list(rows), ignore_index=True).sort_values("seen_us", kind="stable").itertuples():
+            if changed is not None and not reported and row.seen_us > changed + self.duration_us:
                 reports.append(changed)
                 reported = True
             if not known and row.owner is None:
                 known, version, changed, reported = True, row.version, None, True
                 reports.append(None)
             elif not known or row.version != version:
-                known, version, changed, reported = True, row.version, int(row.seen_ms), False
+                known, version, changed, reported = True, row.version, int(row.seen_us), False
         if reports:
             yield self._reports(key, reports)
         self.state.update((int(version), changed, reported))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if changed is not None and not reported:
-            self.handle.registerTimer(changed + self.duration_ms)
+            # timers are in milliseconds; rounded up, so none is early
+            self.handle.registerTimer(-(-(changed + self.duration_us) // 1000))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         version, changed, reported = self.state.get()
@@ -71,29 +74,31 @@ class _Quiet(StatefulProcessor):
 def stream_stale_keys(
     scans: DataFrame,
     duration: dt.timedelta,
-    delay: str = "0 seconds",
+    delay: str,
     key: str = "key",
     scan_ts: str = "scan_ts",
 ) -> DataFrame:
     """Each key once per quiet period: when its version has not changed for longer than ``duration``.
 
-    ``scans``: key, scan_ts, owner, version. Time is event time with the watermark ``delay``. A
-    key first seen unowned is reported at once with a null ``last_change``.
+    ``scans``: key, scan_ts, owner, version. Time is event time with the watermark ``delay``: rows that come
+    later than that after the newest one are left out, so it must be as long as rows can be late. A
+    key first seen unowned is reported at once with a null ``last_change``. No period is longer than a year.
     """
-    schema = T.StructType([scans.schema[key], T.StructField("changed_ms", T.LongType())])
+    schema = T.StructType([scans.schema[key], T.StructField("changed_us", T.LongType())])
     timed = scans.select(
         key, F.col(scan_ts).cast("timestamp").alias("event_time"), "owner", F.col("version").cast("long").alias("version")
     )
-    # milliseconds rounded up, so a change is never taken for older than it is
-    seen = timed.withColumn("seen_ms", F.ceil(F.unix_micros("event_time") / F.lit(1000)).cast("long"))
+    seen = timed.withColumn("seen_us", F.unix_micros("event_time"))
+    # beyond a year a key is stale whatever the duration
+    limit = min(duration, dt.timedelta(days=MAX_AGE_DAYS))
     quiet = (
         seen.withWatermark("event_time", delay)
         .groupBy(key)
         .transformWithStateInPandas(
-            statefulProcessor=_Quiet(int(duration.total_seconds() * 1000), key),
+            statefulProcessor=_Quiet(limit // dt.timedelta(microseconds=1), key),
             outputStructType=schema,
             outputMode="Append",
             timeMode="EventTime",
         )
     )
-    return quiet.select(key, F.timestamp_millis("changed_ms").alias("last_change"))
+    return quiet.select(key, F.timestamp_micros("changed_us").alias("last_change"))
