@@ -453,12 +453,13 @@ ON s.stream_id = e.user_id AND e.ts >= s.start_ts AND (s.stop_ts IS NULL OR e.ts
     ),
     "stream_stale_keys": _q(
         ("fx_versions",),
-        """, a AS (SELECT key, version, owner, CAST(CEIL(epoch_us(scan_ts) / 1000.0) AS BIGINT) AS ms,
+        """, a AS (SELECT key, version, owner, epoch_us(scan_ts) AS us,
     lag(version) OVER (PARTITION BY key ORDER BY scan_ts) AS old, row_number() OVER (PARTITION BY key ORDER BY scan_ts) AS n FROM fx_versions),
-c AS (SELECT key, ms, n, owner, lead(ms) OVER (PARTITION BY key ORDER BY n) AS next FROM a WHERE n = 1 OR version <> old),
-f AS (SELECT MAX(epoch_us(scan_ts) // 1000) AS final FROM fx_versions)
-SELECT key, CASE WHEN n = 1 AND owner IS NULL THEN TIMESTAMP '1970-01-01' ELSE make_timestamp(ms * 1000) END AS last_change
-FROM c, f WHERE (n = 1 AND owner IS NULL) OR coalesce(next, final) > ms + 259200000""",
+c AS (SELECT key, us, n, owner, lead(us) OVER (PARTITION BY key ORDER BY n) AS next FROM a WHERE n = 1 OR version <> old),
+f AS (SELECT MAX(epoch_us(scan_ts)) // 1000 AS final FROM fx_versions)
+SELECT key, CASE WHEN n = 1 AND owner IS NULL THEN TIMESTAMP '1970-01-01' ELSE make_timestamp(us) END AS last_change
+FROM c, f WHERE (n = 1 AND owner IS NULL) OR next > us + 259200000000
+  OR (next IS NULL AND final > (us + 259200000000 + 999) // 1000)""",
     ),
     "resume_stream": "SELECT event_id, event_type FROM events",
     "process_batches": "SELECT event_id, user_id FROM events",
