@@ -220,9 +220,12 @@ def training_sample(docs: DataFrame, per_language: int = 300, most_chars: int =
     """
     usable = docs.where("lang is not null and text is not null").where(~held_out(F.col("doc_id"))).where(F.length("text") <= most_chars)
     usable = usable.select(F.col("lang").cast("string"), F.col("text").cast("string")).withColumn("draw", F.xxhash64("text"))
-    sizes = usable.groupBy("lang").count()
-    share = F.least(F.lit(1.0), 4.0 * per_language / F.col("count"))
-    thinned = usable.join(sizes, "lang").where(F.pmod(F.col("draw"), F.lit(1 << 20)) < share * (1 << 20))
+    # one number per language, of which the model has a column each
+    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().toLocalIterator()}
+    if not sizes:
+        return []
+    shares = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, 4.0 * per_language / n))])
+    thinned = usable.where(F.pmod(F.col("draw"), F.lit(1 << 30)) < F.element_at(shares, F.col("lang")) * (1 << 30))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     chosen = thinned.dropDuplicates(["lang", "draw"]).withColumn("place", place).where(F.col("place") <= per_language)
     return [(r.lang, r.text) for r in chosen.orderBy("lang", "draw").select("lang", "text").toLocalIterator()]
