@@ -49,9 +49,9 @@ def same(a, b):
 
 def test_hot_keys_are_split(events):
     ranges = find_hot_ranges(events, ["key"], ["pos"], 200)
-    per_key = {r["__hot0"]: r["n"] for r in ranges.table.groupBy("__hot0").agg(F.count("*").alias("n")).collect()}
-    assert set(per_key) == {0, None} and min(per_key.values()) >= 3
     tagged = ranges.tag(events)
+    per_key = {r["key"]: r["n"] for r in tagged.where("__range is not null").groupBy("key").agg(F.countDistinct("__range").alias("n")).collect()}
+    assert set(per_key) == {0, None} and min(per_key.values()) >= 3
     assert tagged.count() == events.count()
     sizes = tagged.where("__range is not null").groupBy("key", "__range").count()
     assert sizes.agg(F.max("count")).first()[0] < events.count() / 5
@@ -96,13 +96,27 @@ def test_result_does_not_depend_on_the_edges(events, monkeypatch):
     assert same(running(events, ["key"], ["pos"], measures(), ranges), running(events, ["key"], ["pos"], measures(), None))
 
 
-def test_many_hot_keys_keep_bounded_tables(events, monkeypatch):
-    monkeypatch.setattr(hot_ranges, "MAX_HOT_KEYS", 5)
-    monkeypatch.setattr(hot_ranges, "MAX_RANGES", 12)
-    ranges = find_hot_ranges(events, ["key"], ["pos"], 10)
-    assert ranges.table.select("__hot0").distinct().count() == 5
-    assert ranges.table.count() <= 2 * 12 + 5
-    assert same(running(events, ["key"], ["pos"], measures(), ranges), running(events, ["key"], ["pos"], measures(), None))
+def test_no_hot_key_is_left_whole(spark):
+    """1,500 hot keys of 20 rows, and one with a third of all rows: ranges in proportion to rows."""
+    many = spark.range(30_000).select((F.col("id") % 1500).alias("key"), F.col("id").alias("pos"))
+    df = many.union(spark.range(15_000).select(F.lit(-1).alias("key"), F.col("id").alias("pos")))
+    ranges = find_hot_ranges(df, ["key"], ["pos"], 10)
+    sizes = ranges.tag(df).groupBy("key", "__range").count()
+    assert sizes.where("__range is null").isEmpty()
+    assert sizes.where("key = -1").count() > 1000 and sizes.where("key = -1").agg(F.max("count")).first()[0] < 100
+    per_key = sizes.groupBy("key").agg(F.count("*").alias("n"))
+    assert per_key.count() == 1501 and per_key.agg(F.min("n")).first()[0] >= 2
+    got = running(df, ["key"], ["pos"], {"n": row_count()}, ranges)
+    assert same(got, running(df, ["key"], ["pos"], {"n": row_count()}, None))
+
+
+def test_nested_values_read_their_input_once(spark, events, tmp_path):
+    events.write.parquet(str(tmp_path / "events"))
+    stored = spark.read.parquet(str(tmp_path / "events"))
+    ranges = find_hot_ranges(stored, ["key"], ["pos"], 150)
+    df = running_since(stored, ["key"], ["pos"], F.col("kind") == "a", F.col("kind") == "c", "since", ranges)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path) not in plan and plan.count("FileScan") == 2  # the tagged rows and the carries
 
 
 def test_first_rows_both_ways(spark, events):

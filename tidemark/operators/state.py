@@ -68,7 +68,8 @@ def versioned_merge(target: DataFrame, changes: DataFrame, payload: Sequence[str
     Any other operation, null too, raises an error.
 
     update, renew, take and evict raise the version by 1. Several changes of a key raise
-    an error here; see :func:`versioned_merge_ordered`.
+    an error here; see :func:`versioned_merge_ordered`. Only rows with a change are settled and
+    written; the others come from ``target`` as they are, without a shuffle if the changes are few.
     """
     have = target.select(
         "key",
@@ -83,9 +84,10 @@ def versioned_merge(target: DataFrame, changes: DataFrame, payload: Sequence[str
     refuse = F.raise_error(F.concat(F.lit("several changes of key "), F.col("key").cast("string")))
     kind = grouped.schema["__change"].dataType
     only = F.when(F.col("__n") == 1, F.col("__change")).otherwise(refuse.cast(kind))
-    asked = grouped.select("key", only.alias("__change")).select("key", "__change.*", F.lit(True).alias("__asked"))
-    joined = have.join(asked, "key", "full_outer").withColumn("applied", _check())
-    merged = cut_lineage(joined, "merge")
+    asked = grouped.select("key", only.alias("__change")).select("key", "__change.*")
+    # an inner join and an anti join can broadcast few changes, an outer join of the whole target cannot
+    touched = cut_lineage(have.join(grouped.select("key"), "key", "left_semi"), "touched")
+    merged = cut_lineage(asked.join(touched, "key", "left").withColumn("applied", _check()), "merge")
 
     op, applied = F.col("op"), F.coalesce(F.col("applied"), F.lit(False))
     alive = F.when(applied, op != REMOVE).otherwise(F.coalesce(F.col("__have"), F.lit(False)))
@@ -102,8 +104,10 @@ def versioned_merge(target: DataFrame, changes: DataFrame, payload: Sequence[str
     new_payload = [
         F.when(applied & op.isin(CREATE, UPDATE), F.col(p)).otherwise(F.col(f"__was_{p}")).alias(p) for p in payload
     ]
-    new_target = merged.where(alive).select("key", version.alias("version"), owner.alias("owner"), *new_payload)
-    outcomes = merged.where("__asked").select("key", "op", "applied")
+    settled = merged.where(alive).select("key", version.alias("version"), owner.alias("owner"), *new_payload)
+    untouched = target.select("key", "version", "owner", *payload).join(merged.select("key"), "key", "left_anti")
+    new_target = untouched.unionByName(settled)
+    outcomes = merged.select("key", "op", "applied")
     return new_target, outcomes
 
 
@@ -113,8 +117,7 @@ def _check() -> Column:
     same_version = F.coalesce(F.col("__version") == F.col("expected_version"), F.lit(False))
     refuse = F.raise_error(F.concat(F.lit("unknown operation "), F.coalesce(op, F.lit("null"))))
     return (
-        F.when(F.col("__asked").isNull(), F.lit(None).cast("boolean"))
-        .when(op == CREATE, ~exists)
+        F.when(op == CREATE, ~exists)
         .when(op.isin(UPDATE, RENEW, TAKE), exists & same_version)
         .when(op == EVICT, exists & F.col("__owner").eqNullSafe(F.col("expected_owner")))
         .when(op == REMOVE, F.lit(True))
@@ -364,13 +367,17 @@ def load_report(
     least as many owners as rows, else the rows per owner rounded up, capped at
     ``max_per_owner``; the cut is the spillover.
     """
-    live = assignments.where(~F.coalesce(F.col(expired), F.lit(False)) & F.col(owner).isNotNull())
-    loads = live.groupBy(owner).agg(F.count(F.lit(1)).alias("load"))
+    live = ~F.coalesce(F.col(expired), F.lit(False)) & F.col(owner).isNotNull()
+    # one pass over the rows; all else comes from one small row per owner
+    per_owner = cut_lineage(
+        assignments.groupBy(owner).agg(F.count_if(live).alias("load"), F.count(F.lit(1)).alias("rows")), "loads"
+    )
+    loads = per_owner.where("load > 0").select(owner, "load")
     if owners is not None:
         loads = loads.join(owners.select(owner).distinct(), owner, "full_outer").select(
             owner, F.coalesce("load", F.lit(0)).alias("load")
         )
-    n_rows = assignments.agg(F.count(F.lit(1))).scalar()
+    n_rows = per_owner.agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()
     n_owners = loads.agg(F.count(F.lit(1))).scalar()
     counted = loads.withColumn("rows", n_rows).withColumn("owners", n_owners)
     share = F.expr("(rows + owners - 1) div owners")

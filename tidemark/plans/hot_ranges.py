@@ -11,18 +11,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.plans.durable import cut_lineage
 
 # A range of this many rows is an ordinary sort for one task.
 ROWS_PER_RANGE = 2_000_000
-# A key below the largest thousand holds less than a thousandth of the rows.
-MAX_HOT_KEYS = 1_000
-# Ranges wanted for all hot keys together; the range table has at most twice as many rows.
-MAX_RANGES = 20_000
 # Rows looked at per range to place its edges, as range partitioning does.
 SAMPLED_PER_RANGE = 20
 
@@ -32,10 +28,11 @@ AT = "__at"
 
 @dataclass(frozen=True)
 class HotRanges:
-    """Ranges of the hot keys: a small local table, the same in every branch of a plan.
+    """The edges of each hot key's ranges: a written table, the same in every branch of a plan.
 
-    The edges come from a sample, but any edges give the same results: they only
-    decide which task works on a row.
+    ``table`` has one row per hot key, with the sorted edges in ``__cuts``: one for every
+    ``rows_per_range`` rows or so, whatever the number of keys. They come from a sample, but
+    any edges give the same results: they only decide which task works on a row.
     """
 
     table: DataFrame
@@ -46,12 +43,24 @@ class HotRanges:
         """Add the range number, rising in order; null for rows of other keys. Tagged rows stay as they are."""
         if RANGE in df.columns:
             return df
-        at = F.col(AT)
-        inside = (F.col("__lo").isNull() | (at >= F.col("__lo"))) & (F.col("__hi").isNull() | (at < F.col("__hi")))
-        inside = same_key(self.keys) & inside
-        drop = [*hot_names(self.keys), "__lo", "__hi", AT]
-        # bounded by MAX_RANGES, see find_hot_ranges
-        return df.withColumn(AT, F.struct(*self.order)).join(F.broadcast(self.table), inside, "left").drop(*drop)
+        # one row per key, so a row meets one candidate; Spark broadcasts the table if its written size allows
+        met = df.withColumn(AT, F.struct(*self.order)).join(self.table, same_key(self.keys), "left")
+        return met.withColumn(RANGE, _edges_up_to(F.col("__cuts"), F.col(AT))).drop(*hot_names(self.keys), "__cuts", AT)
+
+
+def _edges_up_to(cuts: Column, at: Column) -> Column:
+    """How many of the sorted ``cuts`` are not above ``at``, by halving; null without cuts."""
+    halvings = F.sequence(F.lit(1), F.ceil(F.log2(F.size(cuts) + 1)).cast("int"))
+
+    def halve(span: Column, _: Column) -> Column:
+        low, high = span["low"], span["high"]
+        middle = F.shiftright(low + high, 1)
+        above = F.struct((middle + 1).alias("low"), high.alias("high"))
+        below = F.struct(low.alias("low"), middle.alias("high"))
+        return F.when(low >= high, span).when(F.get(cuts, middle) <= at, above).otherwise(below)
+
+    whole = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+    return F.when(cuts.isNotNull(), F.aggregate(halvings, whole, halve, lambda span: span["low"]))
 
 
 def hot_names(keys: Sequence[str]) -> list[str]:
@@ -68,31 +77,23 @@ def same_key(keys: Sequence[str]) -> Column:
 def find_hot_keys(df: DataFrame, keys: Sequence[str], rows_per_range: float | None = None) -> DataFrame | None:
     """The keys with more than ``rows_per_range`` rows; None if there are none.
 
-    The count reads only the key columns and combines map-side. The result is a local
-    table of at most MAX_HOT_KEYS rows: ``__hot0``, ... for the key, ``__wanted`` for the
-    number of ranges to cut it into and ``__rate`` for the share of its rows to sample.
-    A caller that knows all keys to be small passes ``math.inf`` and saves the count.
+    The count reads only the key columns and combines map-side. The result is a written
+    table: ``__hot0``, ... for the key, ``__wanted`` for the number of ranges to cut it into, in
+    proportion to its rows, and ``__rate`` for the share of its rows to sample. A caller
+    that knows all keys to be small passes ``math.inf`` and saves the count.
     """
     if rows_per_range == math.inf:
         return None
     rows_per_range = rows_per_range or ROWS_PER_RANGE
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = counted.where(F.col("__rows") > rows_per_range).orderBy(F.desc("__rows")).limit(MAX_HOT_KEYS).collect()
-    if not hot:
-        return None
-    most = max(2, MAX_RANGES // len(hot))
-    wanted = [min(most, math.ceil(row["__rows"] / rows_per_range)) for row in hot]
-    schema = T.StructType(
-        [
-            *[T.StructField(n, df.schema[k].dataType) for n, k in zip(hot_names(keys), keys)],
-            T.StructField("__wanted", T.IntegerType()),
-            T.StructField("__rate", T.DoubleType()),
-        ]
+    wanted = F.ceil(F.col("__rows") / F.lit(rows_per_range))
+    hot = counted.where(F.col("__rows") > rows_per_range).select(
+        *[F.col(k).alias(n) for n, k in zip(hot_names(keys), keys)],
+        wanted.alias("__wanted"),
+        F.least(F.lit(1.0), SAMPLED_PER_RANGE * wanted / F.col("__rows")).alias("__rate"),
     )
-    table = [
-        (*[row[k] for k in keys], n, min(1.0, SAMPLED_PER_RANGE * n / row["__rows"])) for row, n in zip(hot, wanted)
-    ]
-    return df.sparkSession.createDataFrame(table, schema)
+    written = cut_lineage(hot, "hot-keys")
+    return None if written.isEmpty() else written
 
 
 def find_hot_ranges(
@@ -100,41 +101,24 @@ def find_hot_ranges(
 ) -> HotRanges | None:
     """Cut keys with more than ``rows_per_range`` rows into ranges; None if there is no such key.
 
-    The edges come from a sample of the hot keys' rows. What reaches the driver is bounded
-    whatever the size of ``df``: MAX_HOT_KEYS keys and at most two edges per wanted range.
+    The edges come from a sample of the hot keys' rows, written once: a second evaluation
+    might sample other rows. Nothing reaches the driver.
     """
     hot_keys = find_hot_keys(df, keys, rows_per_range)
     if hot_keys is None:
         return None
     names = hot_names(keys)
     sampled = (
-        df.select(*keys, F.struct(*order).alias(AT))
-        .join(F.broadcast(hot_keys), same_key(keys))
-        .where(F.rand(seed=7) < F.col("__rate"))
+        df.select(*keys, F.struct(*order).alias(AT)).join(hot_keys, same_key(keys)).where(F.rand(seed=7) < F.col("__rate"))
     )
     # windows over the sample: a key has about SAMPLED_PER_RANGE rows per wanted range in it
     by_order = Window.partitionBy(*names).orderBy(AT)
     every = F.greatest(F.floor(F.count(F.lit(1)).over(Window.partitionBy(*names)) / F.col("__wanted")), F.lit(1))
-    edges = (
+    cuts = (
         sampled.withColumn("__n", F.row_number().over(by_order))
         .withColumn("__every", every)
         .where(F.col("__n") % F.col("__every") == 0)
-        .select(*names, AT)
-        .distinct()
-        .orderBy(*names, AT)
-    )
-    # collected once: a second evaluation might sample other rows and leave gaps
-    ranges = []
-    for key, rows in groupby(edges.collect(), key=lambda row: tuple(row)[:-1]):
-        cuts = [None, *(row[AT] for row in rows), None]
-        ranges += [(*key, lo, hi, n) for n, (lo, hi) in enumerate(zip(cuts, cuts[1:]))]
-    kind = edges.schema[AT].dataType
-    schema = T.StructType(
-        [
-            *[T.StructField(n, df.schema[k].dataType) for n, k in zip(names, keys)],
-            T.StructField("__lo", kind),
-            T.StructField("__hi", kind),
-            T.StructField(RANGE, T.IntegerType()),
-        ]
+        .groupBy(*names)
+        .agg(F.sort_array(F.collect_set(AT)).alias("__cuts"))
     )
-    return HotRanges(df.sparkSession.createDataFrame(ranges, schema), tuple(keys), tuple(order))
+    return HotRanges(cut_lineage(cuts, "hot-ranges"), tuple(keys), tuple(order))

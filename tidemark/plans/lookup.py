@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from tidemark.plans.durable import cut_lineage
 from tidemark.plans.hot_ranges import find_hot_keys, hot_names, same_key
 
 
@@ -15,17 +15,16 @@ def join_one_per_key(
 ) -> DataFrame:
     """``rows`` left join ``one_per_key`` on non-null ``keys``.
 
-    Rows of a hot key stay where they are and meet a broadcast of the hot keys' single
-    rows; the other rows use an ordinary join. Adaptive execution would split a hot
+    Rows of a hot key meet the hot keys' single rows only, a written table that Spark
+    broadcasts if its size allows; the other rows use an ordinary join. Adaptive execution would split a hot
     partition too, but not where an aggregate on the same key follows.
     """
     found = find_hot_keys(rows, keys, rows_per_range)
     if found is None:
         return rows.join(one_per_key, list(keys), "left")
-    # at most hot_ranges.MAX_HOT_KEYS rows
-    hot = F.broadcast(found.drop("__wanted", "__rate"))
+    hot = found.drop("__wanted", "__rate")
     names = hot_names(keys)
-    singles = one_per_key.join(hot, same_key(keys), "left_semi")
-    of_hot = rows.join(hot, same_key(keys), "left_semi").join(F.broadcast(singles), list(keys), "left")
+    singles = cut_lineage(one_per_key.join(hot, same_key(keys), "left_semi"), "singles")
+    of_hot = rows.join(hot, same_key(keys), "left_semi").join(singles, list(keys), "left")
     of_others = rows.join(hot, same_key(keys), "left_anti").join(one_per_key, list(keys), "left")
     return of_hot.drop(*names).unionByName(of_others)

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidemark.plans.durable import cut_lineage
 from tidemark.plans.hot_ranges import RANGE, HotRanges, find_hot_ranges
 
 
@@ -96,13 +97,14 @@ def running(
     """Add one column per measure, taken over each key's rows in ``order`` (ascending, unique per key).
 
     ``df`` may carry the range tag already; it then stays, so that several calls in a
-    row share one shuffle and one sort.
+    row share one set of ranges. With ranges the tagged rows are written once: the windows
+    and the carries both read them, so calls in a row do not repeat what lies below them.
     """
     if ranges is None:
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[m.local(window).alias(name) for name, m in measures.items()])
 
-    tagged = ranges.tag(df)
+    tagged = cut_lineage(ranges.tag(df), "tagged")
     window = Window.partitionBy(*keys, RANGE).orderBy(*order)
     # stated, because rows that an earlier join left partitioned by key alone would pass as clustered
     spread = tagged.repartition(*keys, RANGE)
@@ -123,8 +125,8 @@ def running(
     same_range = F.col(RANGE) == F.col("__at")
     for i, key in enumerate(keys):
         same_range = same_range & F.col(key).eqNullSafe(F.col(f"__key{i}"))
-    # one row per range, a number bounded by hot_ranges.MAX_RANGES
-    return inside.join(F.broadcast(carries), same_range, "left").select(
+    # one small row per range; as a written table its size is known, and Spark broadcasts it or not by that
+    return inside.join(cut_lineage(carries, "carries"), same_range, "left").select(
         *df.columns,
         *[m.merge(F.col(f"__in_{name}"), F.col(f"__up_{name}")).alias(name) for name, m in measures.items()],
     )
