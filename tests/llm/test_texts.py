@@ -205,8 +205,14 @@ def test_mix(request, table):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
-def test_mix_of_many_documents_by_bucket(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "DOCS_PER_BUCKET", 50)
-    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"), F.when(F.col("id") % 3 > 0, F.lit("a")).otherwise(F.col("id").cast("string")).alias("source"))
-    found = mixing.mix(docs).where("source_size > 3").agg(F.sum("taken").alias("t"), F.first("target").alias("g")).first()
-    assert abs(found.t - found.g) <= 3
+def test_mix_of_many_documents_in_narrowed_ranges(spark, monkeypatch):
+    text = F.concat(F.lit("one two three"), F.when(F.col("id") % 5 > 0, F.lit(" ####")).otherwise(""))
+    source = F.when(F.col("id") % 3 > 0, F.lit("a")).when(F.col("id") % 2 > 0, F.lit("b"))
+    docs = spark.range(3000).select(F.least("id", F.lit(2500)).alias("doc_id"), text.alias("text"), source.alias("source"))
+    whole = sorted(map(str, mixing.mix(docs).collect()))
+    a = mixing.mix(docs).where("doc_id < 2500 and doc_id % 3 > 0").agg(F.sum("taken").alias("t"), F.max("target").alias("g")).first()
+    # the repeated document is taken or left as one
+    assert a.g - 2 * 4 * 500 <= a.t <= a.g + 4
+    monkeypatch.setattr(mixing, "DOCS_PER_RANGE", 3)
+    monkeypatch.setattr(mixing, "SLOTS", 7)
+    assert sorted(map(str, mixing.mix(docs).collect())) == whole

@@ -3,7 +3,8 @@
 Targets are shares of all words by source weight, filled like water under a bound of so many epochs. A source's
 complete epochs take every document; the rest of its target takes documents in the order of exponential keys
 -ln(u) / quality (smallest first), until the prefix sum of sizes reaches it. The prefix sums never gather a source: sizes are
-summed per bucket of keys, and only the bucket in which a source's budget ends is sorted. What remains is one cut key per source.
+summed per slot of keys, the slot in which a source's budget ends is cut into slots again, and only the last one, of a bounded number
+of documents, is sorted. What remains is one cut key per source.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from tidemark.plans.durable import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-DOCS_PER_BUCKET = 20_000
+# slots of a range of keys in one round, and documents that a source's last range may hold
+SLOTS = 1024
+DOCS_PER_RANGE = 1000
 
 
 def text_quality(text: Column) -> Column:
@@ -59,6 +62,43 @@ def source_targets(
     return levels.select("source", "source_size", target.alias("target"))
 
 
+def _within(sized: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Documents whose key is in their source's range, with the range."""
+    return sized.join(ranges, F.col("source").eqNullSafe(F.col("s"))).where(F.col("key").between(F.col("low"), F.col("high")))
+
+
+def _narrowed(sized: DataFrame, rests: DataFrame) -> DataFrame:
+    """Per source (``s``, ``rest``) the range of keys, ``low`` to ``high``, in which its rest ends, and the words ``before`` it.
+
+    Each round cuts every range into ``SLOTS`` of equal width, sums sizes by slot and goes on with the slot in which the rest ends, until
+    none holds more than ``DOCS_PER_RANGE`` documents with different keys. So no task gets more than the slots or the last range of a
+    source, however keys are distributed. Slots follow the order of keys, so a slot's documents are those from its least key to its largest.
+    """
+    ranges = cut_lineage(
+        sized.groupBy("source")
+        .agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n"))
+        .join(rests, F.col("source").eqNullSafe(F.col("s")))
+        .select("s", "rest", "low", "high", F.lit(0).cast("long").alias("before"), "n"),
+        "ranges",
+    )
+    # a single number
+    while ranges.where((F.col("n") > DOCS_PER_RANGE) & (F.col("high") > F.col("low"))).agg(F.count("*")).first()[0]:
+        slot = F.floor((F.col("key") - F.col("low")) / F.greatest(F.col("high") - F.col("low"), F.lit(1e-300)) * SLOTS)
+        along = Window.partitionBy("s").orderBy("slot")
+        ranges = cut_lineage(
+            _within(sized, ranges)
+            .groupBy("s", "rest", "before", F.least(slot, F.lit(SLOTS - 1)).alias("slot"))
+            .agg(F.sum("size").alias("words"), F.min("key").alias("least"), F.max("key").alias("largest"), F.count("*").alias("held"))
+            .withColumn("earlier", F.col("before") + F.sum("words").over(along) - F.col("words"))
+            .where((F.col("earlier") <= F.col("rest")) | (F.col("earlier") == F.col("before")))
+            .groupBy("s", "rest")
+            .agg(F.max(F.struct("slot", "least", "largest", "earlier", "held")).alias("m"))
+            .select("s", "rest", F.col("m.least").alias("low"), F.col("m.largest").alias("high"), F.col("m.earlier").alias("before"), F.col("m.held").alias("n")),
+            "ranges",
+        )
+    return ranges.drop("n")
+
+
 def mixing_plan(
     docs: DataFrame,
     share: float = 1.5,
@@ -73,34 +113,23 @@ def mixing_plan(
     quality = text_quality(F.col("text")) if quality is None else quality
     sized = _keyed(docs.withColumn("__size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")), quality)
     sized = cut_lineage(sized.select("doc_id", "source", F.col("__size").alias("size"), F.col("__key").alias("key")), "sized")
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    targets = source_targets(totals.select("source", "source_size"), share, weights, epochs)
-    targets = targets.join(totals.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = source_targets(totals, share, weights, epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.withColumn("whole", whole.cast("long")).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    targets = cut_lineage(targets.withColumn("buckets", F.ceil(F.col("n") / DOCS_PER_BUCKET)), "targets")
+    targets = cut_lineage(targets, "targets")
 
     # one row per source
-    of = targets.select(F.col("source").alias("s"), "rest", "buckets")
-    bucket = F.least(F.floor((1 - F.exp(-F.col("key"))) * F.col("buckets")), F.col("buckets") - 1)
-    dealt = sized.where("size > 0").join(of, F.col("source").eqNullSafe(F.col("s"))).withColumn("bucket", bucket)
-    ends = Window.partitionBy("source").orderBy("bucket")
-    last = (
-        dealt.groupBy("source", "bucket", "rest")
-        .agg(F.sum("size").alias("words"), F.max("key").alias("largest"))
-        .withColumn("before", F.sum("words").over(ends) - F.col("words"))
-        .where("before <= rest")
-        .groupBy("source", "rest")
-        .agg(F.max(F.struct("bucket", "before")).alias("m"))
-        .select(F.col("source").alias("s2"), F.col("m.bucket").alias("b2"), F.col("m.before").alias("before"))
-    )
-    inside = dealt.join(last, F.col("source").eqNullSafe(F.col("s2")) & (F.col("bucket") == F.col("b2")))
+    worded = sized.where("size > 0")
+    inside = _within(worded, _narrowed(worded, targets.select(F.col("source").alias("s"), "rest")))
+    # rows of one key have one text; they are one row from here on
+    inside = inside.groupBy("source", "rest", "before", "key").agg(F.sum("size").alias("words"), F.max("size").alias("size"))
     running = Window.partitionBy("source").orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     cuts = (
-        inside.withColumn("until", F.col("before") + F.sum("size").over(running))
+        inside.withColumn("until", F.col("before") + F.sum("words").over(running))
         .withColumn("least", F.min("key").over(Window.partitionBy("source")))
         .groupBy("source")
-        # a document that the budget ends in is taken if half of it fits; all keys of earlier buckets are smaller
+        # a document that the budget ends in is taken if half of it fits; all keys before the range are smaller
         .agg(
             F.max(F.when(F.col("until") - F.col("size") / 2 <= F.col("rest"), F.col("key"))).alias("last"),
             F.first("least").alias("least"),
