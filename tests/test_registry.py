@@ -5,6 +5,8 @@ import pytest
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
 from check import TABLES, duck_rows, spark_rows
+from registry.oracle import ORACLE
+from registry.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,9 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
