@@ -672,19 +672,11 @@ def _read_stream(spark, sf, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
-def _written_batches(stream: DataFrame, label: str) -> DataFrame:
-    """Run ``stream`` in update mode, each batch to its own folder; return all of them."""
-    spark = stream.sparkSession
-    path = work_folder(spark, label)
-    query = (
-        stream.writeStream.outputMode("update")
-        .option("checkpointLocation", work_folder(spark, "checkpoint"))
-        .foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch_id={n}"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path).select(*stream.columns)
+def _stream_of_files(df: DataFrame, label: str, files: int = 4) -> DataFrame:
+    """All rows of ``df`` as a stream of several files, a micro-batch each."""
+    path = work_folder(df.sparkSession, label)
+    df.repartition(files).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _appended(stream: DataFrame, label: str, runs: int = 1) -> DataFrame:
@@ -732,10 +724,10 @@ def append_journal_versions(spark, sf):
 
 @query
 def stream_consumed_count(spark, sf):
-    columns = {"user_id": "stream_id"}
-    events = _read_stream(spark, sf, "events").withColumnsRenamed(columns).select("stream_id", "event_id", "ts")
-    counts = stream_delivery.stream_consumed_count(events, view(spark, sf, "fx_subscriptions"))
-    return _written_batches(counts, "consumed").groupBy("consumer").agg(F.max("consumed").alias("consumed"))
+    events = _stream_of_files(table(spark, sf, "events").selectExpr("user_id AS stream_id", "event_id", "ts"), "events")
+    folder, checkpoint = work_folder(spark, "consumed"), work_folder(spark, "checkpoint")
+    stream_delivery.stream_consumed_count(events, view(spark, sf, "fx_subscriptions"), folder, checkpoint).awaitTermination()
+    return stream_delivery.consumed_so_far(spark, folder)
 
 
 @query

@@ -105,9 +105,12 @@ def test_consumed_count(spark, tmp_path, rows):
         [("a", 0, T0, None), ("a", 0, T0, T0 + dt.timedelta(minutes=30)), ("b", 2, T0 + dt.timedelta(minutes=20), None)],
         "consumer string, stream_id long, start_ts timestamp_ntz, stop_ts timestamp_ntz",
     )
-    counts = stream_delivery.stream_consumed_count(stream(spark, path, schema), subs)
-    out = run(counts, str(tmp_path / "o"), str(tmp_path / "c"), "update")
-    assert rows(out.groupBy("consumer").agg(F.max("consumed"))) == rows(delivery.consumed_count(spark.read.parquet(path), subs))
+    folder, checkpoint = str(tmp_path / "o"), str(tmp_path / "c")
+    for _ in range(2):  # a second start finds nothing new
+        query = stream_delivery.stream_consumed_count(stream(spark, path, schema), subs, folder, checkpoint, rows_per_range=10)
+        query.awaitTermination()
+    assert spark.read.parquet(folder).select("batch_id").distinct().count() == 3
+    assert rows(stream_delivery.consumed_so_far(spark, folder)) == rows(delivery.consumed_count(spark.read.parquet(path), subs))
 
 
 @pytest.mark.parametrize("files", [1, 4])
