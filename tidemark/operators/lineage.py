@@ -197,17 +197,22 @@ def lineage_backfill_plan(nodes: DataFrame, tracked: DataFrame, position: str) -
     ids = nodes.select("id")
     known = tracked.select("id").distinct()
     edges = cut_lineage(children_of(nodes), "edges")
+    candidates = open_shards(nodes).select("id").join(known, "id", "left_anti")
+    untracked = edges.join(known.select(F.col("id").alias("parent")), "parent", "left_anti")
+    upwards = untracked.select(F.col("child").alias("from"), F.col("parent").alias("to"))
     if position == LATEST:
+        # both walks in one: nodes and edges carry the direction
+        walk = lambda df, up, *names: df.select(*[F.struct(F.lit(up).alias("up"), F.col(n).alias("id")).alias(n) for n in names])
         downwards = edges.select(F.col("parent").alias("from"), F.col("child").alias("to"))
-        read = _reach(downwards, ids.join(known, "id", "left_semi")).select("id")
+        both = cut_lineage(walk(upwards, True, "from", "to").unionByName(walk(downwards, False, "from", "to")), "both")
+        tracked_ids = ids.join(known, "id", "left_semi")
+        reached = _reach(both, walk(candidates, True, "id").unionByName(walk(tracked_ids, False, "id")))
+        visited = reached.where("id.up").select("id.id")
+        read = reached.where("not id.up").select("id.id")
     else:
+        visited = _reach(upwards, candidates).select("id")
         read = ids
 
-    candidates = open_shards(nodes).select("id").join(known, "id", "left_anti")
-    untracked = edges.join(known.select(F.col("id").alias("parent")), "parent", "left_anti")
-    upwards = untracked.select(F.col("child").alias("from"), F.col("parent").alias("to"))
-    visited = _reach(upwards, candidates).select("id")
-
     joining = (
         edges.join(visited.select(F.col("id").alias("child")), "child", "left_semi")
         .join(read.select(F.col("id").alias("parent")), "parent", "left_semi")
