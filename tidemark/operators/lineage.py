@@ -196,7 +196,8 @@ def lineage_backfill_plan(nodes: DataFrame, tracked: DataFrame, position: str) -
         raise ValueError(f"position must be one of {INITIAL_POSITIONS}, got {position!r}")
     ids = nodes.select("id")
     known = tracked.select("id").distinct()
-    edges = cut_lineage(children_of(nodes), "edges")
+    # structs of nulls are equal, unlike nulls
+    edges = cut_lineage(children_of(nodes).where("child is not null"), "edges")
     candidates = open_shards(nodes).select("id").join(known, "id", "left_anti")
     untracked = edges.join(known.select(F.col("id").alias("parent")), "parent", "left_anti")
     upwards = untracked.select(F.col("child").alias("from"), F.col("parent").alias("to"))
