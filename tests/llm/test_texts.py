@@ -123,6 +123,22 @@ def test_perplexity_bands_reject_junk_only(spark):
     assert sum(found[k] for k in range(120)) >= 119
 
 
+def test_a_group_of_copies_weighs_as_one_document(spark):
+    """80 % of a language's rows are one text; the other clean documents stay, and the band is that of the different texts."""
+    import random
+
+    draw = random.Random(6)
+    parts = [["the", "on", "er", "ing", "sha", "li"], ["mu", "vor", "pla", "st", "ek", "ow"]]
+    vocabularies = [["".join(draw.choice(p) for _ in range(draw.randrange(1, 4))) for _ in range(300)] for p in parts]
+    clean = [(k, " ".join(draw.choice(vocabularies[0]) for _ in range(120)), "en") for k in range(100)]
+    copied = " ".join(draw.choice(vocabularies[1]) for _ in range(120))
+    copies = [(1000 + k, copied, "en") for k in range(400)]
+    judged = lambda rows: {r.doc_id: (r.kept, r.log_perplexity) for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    found, single = judged(clean + copies), judged(clean + copies[:1])
+    assert sum(found[k][0] for k in range(100)) >= 99
+    assert all(found[k][0] == single[k][0] and abs(found[k][1] - single[k][1]) < 1e-6 for k in single)
+
+
 def test_model_is_a_distribution(sample):
     """Probabilities of all classes after a context, seen or not, sum to one."""
     import numpy as np
