@@ -182,6 +182,27 @@ def test_switched_text_has_both_languages():
     assert model.transitions[0, 0] > model.transitions[0, 1]
 
 
+@pytest.mark.parametrize(("first", "second"), [("kakoki", "lulela"), ("天地玄黄宇宙", "日月盈昃辰宿"), ("กาขาคาง", "ຈາຊາຍາດ")])
+def test_every_part_of_a_text_without_spaces_counts(spark, first, second):
+    import random
+
+    draw = random.Random(4)
+    make = lambda signs, n: "".join(draw.choice(signs) for _ in range(n))
+    gap = " " if first.isascii() else ""
+    model = langid.fit([(lang, gap.join(make(signs, 6) for _ in range(100))) for lang, signs in (("x", first), ("y", second)) for _ in range(5)], sequences=400)
+    texts = {1: make(first, 45) + make(second, 400), 2: make(second, 45) + make(first, 400), 3: make(first, 200)}
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model).collect()}
+    assert {k: lang for k, (lang, _) in found.items()} == {1: "y", 2: "x", 3: "x"}
+    assert 0.8 < found[1][1] < 0.97
+
+
+def test_words_hold_all_characters():
+    assert langid.words_of("Ein Satz\u00a0mit Wörtern") == ["ein", "satz", "mit", "wörtern"]
+    for text in ("x" * 100 + " y", "日本語のテキスト abc 中文", "ภาษาไทยที่มีสระ", "か\u3099" + "\u3099" * 90, "a\u3099b"):
+        words = langid.words_of(text)
+        assert "".join(words) == "".join(text.lower().split()) and max(map(len, words)) <= langid.LONGEST
+
+
 @pytest.mark.parametrize("table", ["docs", "sample", "no_docs"])
 def test_mix(request, table):
     docs = request.getfixturevalue(table)

@@ -1,6 +1,7 @@
 """Language identification by a linear-chain conditional random field over words.
 
-A word's features are its affixes, its character n-grams and its places in the languages' lexicons; transitions between the
+Words are what white space divides; scripts that do without it give one word per character, and a longer run of others is cut into
+consecutive words, so that every character of a text is looked at. A word's features are its affixes, its character n-grams and its places in the languages' lexicons; transitions between the
 languages of neighbouring words are learned too. Posteriors come from forward-backward over the whole text, so mixed
 texts get a language per word. A text's language is the one with the largest sum of posteriors.
 """
@@ -8,6 +9,7 @@ texts get a language per word. A text's language is the one with the largest sum
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -21,11 +23,31 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
 LETTER = re.compile(r"[^\W\d_]")
+LONGEST = 40
+# scripts written without spaces between words: Thai to Tibetan, Myanmar, Khmer, Tai, Balinese, Javanese, kana and bopomofo, Han
+SPACELESS_RANGES = [
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x3005, 0x3007),
+    (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA980, 0xA9DF), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+]
+RANGES = "".join(f"{chr(a)}-{chr(b)}" for a, b in SPACELESS_RANGES)
+# vowel signs and the like stay with the character before them
+MARKS = "".join(chr(c) for a, b in SPACELESS_RANGES if b < 0x1B000 for c in range(a, b + 1) if unicodedata.category(chr(c))[0] == "M")
+SPACELESS = re.compile(f"[{RANGES}]")
+PART = re.compile(f"[{RANGES}][{MARKS}]{{0,{LONGEST - 1}}}|[^{RANGES}]{{1,{LONGEST}}}")
+
+
+def words_of(text: str) -> list[str]:
+    """The lower-cased words of a text, none longer than ``LONGEST``; together they hold all its characters but white space."""
+    words = text.lower().split()
+    if max(map(len, words), default=0) <= LONGEST and (text.isascii() or not SPACELESS.search(text)):
+        return words
+    return [part for word in words for part in PART.findall(word)]
 
 
 def word_features(word: str, buckets: dict[str, int]) -> list[int]:
     """Buckets of a lower-cased word's affixes and of its n-grams of two and three characters, ends marked."""
-    marked = f"^{word[:40]}$"
+    marked = f"^{word}$"
     grams = {marked[i : i + n] for n in (2, 3) for i in range(len(marked) - n + 1)}
     names = [*(f"<{word[:n]}" for n in (1, 2, 3, 4)), *(f">{word[-n:]}" for n in (1, 2, 3, 4)), *sorted(grams)]
     found = []
@@ -136,7 +158,7 @@ def fit(samples: Sequence[tuple[str, str]], sequences: int = 3000, length: int =
     languages = sorted({lang for lang, _ in samples})
     texts: dict[int, list[list[str]]] = {}
     for lang, text in samples:
-        if words := text.lower().split():
+        if words := words_of(text):
             texts.setdefault(languages.index(lang), []).append(words)
     if not texts:
         return None
@@ -285,7 +307,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, group_words: int = 1_0
 
             for place, text in enumerate(texts):
                 if own and text and LETTER.search(text):
-                    group.append(text.lower().split())
+                    group.append(words_of(text))
                     places.append(place)
                     held += len(group[-1])
                     if held >= most:
