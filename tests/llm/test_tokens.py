@@ -51,6 +51,20 @@ def test_token_file(spark, request, table):
     assert all(len(read[d, s]) == n for d, s, n, _ in found)
 
 
+def test_special_token_in_texts(spark):
+    """Ids, lengths and starts are those of the library's call with add_special_tokens=False, which knows the token inside a text."""
+    end = "<|endoftext|>"
+    texts = [f"one{end}two", f"one {end} two", f"{end} one", f"one {end}", end, f"{end}{end}", f"a  {end}\n  b {end}  c", f"<|endoftext {end[1:]}", f"{'x' * 300}{end}{'y' * 300}", "plain"]
+    path = work_folder(spark, "tokens")
+    simple8b.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, JSON, 2)
+    found = {r.doc_id: (r.start, list(r.ids)) for r in simple8b.read_tokens(spark, path).collect()}
+    tokenizer, start = Tokenizer.from_file(JSON), 0
+    for doc_id, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        assert found[doc_id] == (start, ids)
+        start += len(ids)
+
+
 def _encoding():
     with open(RANKS, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}

@@ -121,7 +121,6 @@ class _Encoders:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(file)
-            tokenizer.encode_special_tokens = True
 
             def encode(texts: list[str]) -> list[list[int]]:
                 return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
