@@ -26,9 +26,9 @@ from tokenizers import Tokenizer
 from tidemark.llm.chunks import CUT
 from tidemark.plans.durable import cut_lineage
 
-FLUSH_PAIRS = 3_000_000  # pairs of a document and a piece of text; a longer single text is a flush of its own
+FLUSH_PAIRS = 1_000_000  # pairs of a document and a piece of text; a longer single text is a flush of its own
 FLUSH_DOCS = 100_000
-HELD_ANSWERS = 1_000_000
+HELD_ANSWERS = 500_000
 
 FLUSHES = "flush long, doc_ids array<long>, n_bytes array<long>, ends array<int>, places binary, times binary, pieces array<string>"
 ANSWERS = "flush long, places binary, counts binary"
