@@ -468,3 +468,4 @@ FROM c, f WHERE (n = 1 AND owner IS NULL) OR next > us + 259200000000
 }
 
 ORACLE["append_journal_versions"] = ORACLE["stream_journal_versions"]
+ORACLE["unpack_stream"] = ORACLE["unpack_envelopes"]

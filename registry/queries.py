@@ -275,7 +275,7 @@ def queue_depth(spark, sf):
 # ---- envelopes
 
 
-def _envelopes(spark, sf) -> DataFrame:
+def _envelopes(spark, sf, **options) -> DataFrame:
     return envelopes.pack_envelopes(
         view(spark, sf, "fx_journal"),
         ["entity_id"],
@@ -283,6 +283,7 @@ def _envelopes(spark, sf) -> DataFrame:
         "seq",
         ["role", "message"],
         {"opened_by": F.col("role"), "entity": F.col("entity_id")},
+        **options,
     )
 
 
@@ -759,13 +760,24 @@ def process_batches(spark, sf):
     return spark.read.schema("event_id bigint, user_id bigint").parquet(done).select("event_id", "user_id")
 
 
+def _envelope_stream(spark, sf) -> DataFrame:
+    """Envelopes of two events each as a stream of four files, so that the parts of a batch come in different micro-batches."""
+    with_state_store(spark)
+    packed = _envelopes(spark, sf, max_events=2)
+    return _stream_of_files(packed, "envelopes")
+
+
 @query
 def filter_stream(spark, sf):
-    path = work_folder(spark, "envelopes")
-    _envelopes(spark, sf).write.parquet(path)
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    kept = stream_delivery.filter_stream(stream, lambda e: e["role"] == "system")
-    return _appended(kept.select("entity_id", F.size("events").cast("long").alias("n")), "kept")
+    kept = stream_delivery.filter_stream(_envelope_stream(spark, sf), lambda e: e["role"] == "system")
+    written = _appended(kept.select("entity_id", F.size("events").cast("long").alias("n")), "kept")
+    return written.groupBy("entity_id").agg(F.sum("n").alias("n"))
+
+
+@query
+def unpack_stream(spark, sf):
+    unpacked = stream_delivery.unpack_stream(_envelope_stream(spark, sf), lambda e: e["role"] == "assistant")
+    return _appended(unpacked.select("entity_id", "event_index", F.col("event.message").alias("message")), "unpacked")
 
 
 @query

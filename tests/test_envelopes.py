@@ -81,6 +81,36 @@ def test_pack_then_unpack_is_the_identity(said, rows):
     assert rows(back, "stream_id", "batch", "event_index", "event.word") == rows(said.select("stream_id", "batch", F.col("at").cast("int"), "word"))
 
 
+def test_columns_that_differ_from_part_to_part_do_not_split_a_batch(spark, rows):
+    schema = "id long, part long, file string, tags map<string,string>, events array<int>"
+    given = spark.createDataFrame(
+        [(1, 1, "b", {"x": "1"}, [5, 9]), (1, 0, "a", {}, [1, 2]), (1, 2, "c", None, []), (2, 0, "d", {}, [3]), (None, 1, "e", {}, [9]), (None, 0, "f", {}, [0])],
+        schema,
+    )
+    kept = e.filter_any(given, lambda x: x == 9, ["id"])
+    assert kept.columns == given.columns
+    assert rows(kept, "id", "part", "file") == [(None, 0, "f"), (None, 1, "e"), (1, 0, "a"), (1, 1, "b"), (1, 2, "c")]
+    index = e.unpack_envelopes(given, lambda x: x != 2, ["id"])
+    assert rows(index, "id", "event_index", "event", "file") == [
+        (None, 0, 0, "f"), (None, 1, 9, "e"), (1, 0, 1, "a"), (1, 1, 5, "b"), (1, 2, 9, "b"), (2, 0, 3, "d")
+    ]
+    # a part that is there twice counts once for the later ones
+    again = given.unionByName(given.where("file = 'a'").withColumn("file", F.lit("z")))
+    assert rows(e.unpack_envelopes(again, None, ["id"]).where("file = 'b'"), "event_index", "event") == [(2, 5), (3, 9)]
+    for call in (lambda: e.filter_any(given, lambda x: x > 1), lambda: e.unpack_envelopes(given)):
+        with pytest.raises(ValueError, match="batch_key"):
+            call()
+
+
+def test_marks_of_the_batch_survive_parquet(said, rows, tmp_path):
+    path = str(tmp_path / "packed")
+    e.pack_envelopes(said, ["stream_id"], ["batch"], "at", ["word"], max_events=2).write.parquet(path)
+    back = said.sparkSession.read.parquet(path).withColumn("file", F.col("part"))
+    assert e.batch_columns(back) == ["stream_id", "batch"]
+    assert rows(back.where("stream_id = 1 and batch = 3"), "part", "parts") == [(p, 5) for p in range(5)]
+    assert rows(e.unpack_envelopes(back).where("stream_id = 1 and batch = 3"), "event_index") == [(i,) for i in range(9)]
+
+
 def test_messages_round_trip(mixed, rows):
     kind = mixed.schema["events"].dataType.elementType
     back = e.message_to_envelope(e.envelope_to_message(mixed), kind)

@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import delivery, journal
+from tidemark.operators import delivery, envelopes, journal
 from tidemark.sources import records, sinks
 from tidemark.streaming import batches, stale
 from tidemark.streaming import delivery as stream_delivery
@@ -192,6 +192,99 @@ def test_filter_and_publish(spark, tmp_path, rows):
     assert rows(spark.read.parquet(out), "stream_id", "events") == [(1, [1, 2])]
 
 
+PARTS = "batch long, part long, parts long, at timestamp, file string, events array<struct<n: int, at: timestamp, raw: binary>>, request_context map<string,string>"
+
+
+def part(batch, number, parts, numbers, file="f", day=0):
+    moment = dt.datetime(2024, 1, 1, 0, 0, 0, 123456) + dt.timedelta(days=day)
+    return (batch, number, parts, moment, file, [(n, moment, bytearray([n])) for n in numbers], {"k": None, "b": str(batch)})
+
+
+def files(spark, path, groups):
+    for group in groups:
+        spark.createDataFrame(group, PARTS).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.02)
+
+
+@pytest.fixture
+def parted(spark, tmp_path):
+    """Parts of five batches over four files; batch 4 never ends."""
+    path = str(tmp_path / "parts")
+    files(spark, path, [
+        [part(1, 2, 3, [7]), part(2, 0, 1, [1, 9]), part(3, 0, 2, [1])],
+        [part(1, 0, 3, [1, 2], "g"), part(4, 1, 3, [9])],
+        [part(3, 1, 2, [2]), part(5, 0, 1, [3]), part(4, 0, 3, [4])],
+        [part(1, 1, 3, [9, 3], "h"), part(None, 0, 2, [9]), part(None, 1, 2, [5])],
+    ])
+    return path
+
+
+def test_filter_stream_keeps_all_parts_of_a_batch(spark, parted, tmp_path, rows):
+    given = spark.read.parquet(parted)
+    for batch_key in (["batch"],):
+        kept = stream_delivery.filter_stream(stream(spark, parted, PARTS), lambda e: e["n"] == 9, batch_key)
+        got = run(kept, str(tmp_path / "o"), str(tmp_path / "c")).drop("batch_id")
+        wanted = envelopes.filter_any(given, lambda e: e["n"] == 9, batch_key)
+        assert got.dtypes == wanted.dtypes
+        assert sorted(got.collect(), key=str) == sorted(wanted.collect(), key=str)
+        assert got.count() == 8
+
+
+def test_unpack_stream_numbers_over_parts(spark, parted, tmp_path):
+    given = spark.read.parquet(parted).where("batch is null or batch <> 4")
+    read = stream_delivery.unpack_stream(stream(spark, parted, PARTS), lambda e: e["n"] != 2, ["batch"])
+    got = run(read, str(tmp_path / "o"), str(tmp_path / "c")).drop("batch_id")
+    wanted = envelopes.unpack_envelopes(given, lambda e: e["n"] != 2, ["batch"])
+    assert got.dtypes == wanted.dtypes
+    in_order = got.where("batch is null or batch <> 4")
+    assert sorted(in_order.collect(), key=str) == sorted(wanted.collect(), key=str)
+    # batch 4 waits for its last part, but the first two have come
+    assert [r.event_index for r in got.where("batch = 4").orderBy("event_index").collect()] == [0, 1]
+
+
+def test_parts_wait_over_a_restart(spark, tmp_path, rows):
+    path, out, checkpoint = (str(tmp_path / n) for n in "ioc")
+    files(spark, path, [[part(1, 0, 2, [1])]])
+    start = lambda: run(stream_delivery.filter_stream(stream(spark, path, PARTS), lambda e: e["n"] == 9, ["batch"]), out, checkpoint)
+    assert start().count() == 0
+    files(spark, path, [[part(1, 1, 2, [9])]])
+    assert rows(start(), "batch", "part") == [(1, 0), (1, 1)]
+
+
+def test_event_time_closes_a_batch(spark, tmp_path, rows):
+    path = str(tmp_path / "in")
+    schema = PARTS.replace("parts long, ", "")
+    rows_of = lambda group: [(*r[:2], *r[3:]) for r in group]
+    groups = [
+        [part(1, 0, None, [1]), part(2, 1, None, [9])],
+        [part(9, 0, None, [1], day=5)],
+        [part(9, 1, None, [1], day=10)],
+        # batch 1 is closed without a match, so the match comes too late; so does part 0 of batch 2
+        [part(1, 1, None, [9], day=0), part(2, 0, None, [1], day=0), part(9, 2, None, [9], day=10)],
+    ]
+    for group in groups:
+        spark.createDataFrame(rows_of(group), schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.02)
+    given = stream(spark, path, schema)
+    kept = stream_delivery.filter_stream(given, lambda e: e["n"] == 9, ["batch"], "at", "1 day")
+    assert rows(run(kept, str(tmp_path / "o"), str(tmp_path / "c")), "batch", "part") == [(2, 1), (9, 0), (9, 1), (9, 2)]
+    read = stream_delivery.unpack_stream(given, None, ["batch"], "at", "1 day")
+    # part 1 of batch 2 waits for part 0 until event time closes the batch
+    assert rows(run(read, str(tmp_path / "p"), str(tmp_path / "d")), "batch", "part", "event_index") == [
+        (1, 0, 0), (2, 1, 0), (9, 0, 0), (9, 1, 1), (9, 2, 2)
+    ]
+
+
+def test_streams_with_parts_are_refused_where_state_is_needed(spark, parted):
+    given = stream(spark, parted, PARTS)
+    with pytest.raises(ValueError, match="filter_stream"):
+        envelopes.filter_any(given, lambda e: e["n"] == 9, ["batch"])
+    with pytest.raises(ValueError, match="unpack_stream"):
+        envelopes.unpack_envelopes(given, None, ["batch"])
+    with pytest.raises(ValueError, match="event_time"):
+        stream_delivery.filter_stream(given.drop("parts"), lambda e: e["n"] == 9, ["batch"])
+
+
 def test_latest_reads_only_files_written_later(spark, tmp_path):
     path = str(tmp_path / "said")
     spark.createDataFrame([(1, 1, "old")], SAID).write.mode("append").parquet(path)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.delivery import consumed_count
-from tidemark.operators.envelopes import filter_any
 from tidemark.sources.sinks import ALL_AVAILABLE
+from tidemark.streaming.parts import filter_stream, unpack_stream
+
+__all__ = ["consumed_so_far", "filter_stream", "stream_consumed_count", "unpack_stream"]
 
 
 def stream_consumed_count(
@@ -41,8 +43,3 @@ def stream_consumed_count(
 def consumed_so_far(spark: SparkSession, folder: str) -> DataFrame:
     """Events per consumer over all batches below ``folder``; consumers that received nothing have no row."""
     return spark.read.parquet(folder).groupBy("consumer").agg(F.sum("consumed").alias("consumed"))
-
-
-def filter_stream(envelopes: DataFrame, predicate: Callable[[Column], Column]) -> DataFrame:
-    """Envelopes of a stream with at least one event that matches."""
-    return filter_any(envelopes, predicate)
