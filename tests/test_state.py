@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import state as s
+from tidemark.operators import transitions
 
 T0 = dt.datetime(2024, 1, 1)
 TARGET = "key string, version long, owner string, amount long"
@@ -95,6 +96,82 @@ def test_ordered_merge_equals_a_fold(spark, rows, rows_per_range):
     assert rows(merged) == sorted((k, *v) for k, v in state.items() if v)
 
 
+OPS = ["create", "update", "update", "renew", "take", "evict", "delete"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_transitions_follow_every_state(seed, monkeypatch):
+    rng = random.Random(seed)
+    monkeypatch.setattr(transitions, "RUN", 7 if seed % 2 else 10_000)
+    monkeypatch.setattr(transitions, "CELLS", 60 if seed % 3 == 0 else 1_000_000)
+    for _ in range(60):
+        owners = rng.sample(["a", "b", "c", None], rng.randint(1, 4))
+        highest, ops = rng.choice([2, 4, 9]), rng.choice([OPS[:-1], ["evict", "update"], ["take", "evict", "renew"], ["create", "evict"]])
+        made = [(rng.choice(ops), rng.choice([rng.randrange(highest), None]), rng.choice(owners), rng.choice(owners), 100 + i) for i in range(rng.randrange(1, 25))]
+        if rng.random() < 0.2:
+            made.append(("delete", None, None, None, 999))
+        pieces = list(transitions.transitions(made))
+        assert seed % 2 == 0 or len(made) <= 7 or len(pieces) > 1
+        for start in [None, *[(v, o, None) for v in range(-3, highest + 3) for o in ["a", "b", "c", "d", None]]]:
+            state = start
+            for op, version, owner, new, name in made:
+                _, state = apply_one(state, (None, None, op, version, owner, new, name))
+            got = start
+            for piece in pieces:
+                got = transitions.Transition.unpacked(piece.packed()).follow(got)
+            assert got == state, (made, start)
+
+
+def one_hot_key(n, deletes=False):
+    """A chain that goes on over the whole key: each change knows the state but for some that do not apply."""
+    rng = random.Random(n)
+    state, changes, expected = (5, "w0", 1), [], []
+    for i in range(n):
+        version, owner = (state[0], state[1]) if state and rng.random() < 0.8 else (rng.randrange(50), rng.choice(["w0", "w1", None]))
+        op = rng.choice(OPS[:-1] if state else ["create", "update"])
+        if deletes and rng.random() < 0.002:
+            op = "delete"
+        change = ("hot", i, op, version, owner, rng.choice(["w0", "w1", "w2"]), i)
+        applied, state = apply_one(state, change)
+        changes.append(change)
+        expected.append(("hot", i, op, applied))
+    return changes, expected, state
+
+
+@pytest.mark.parametrize(("n", "deletes", "amount"), [(20_000, False, ["amount"]), (6_000, True, ["amount"]), (3_000, True, [])])
+def test_a_hot_chain_runs_in_pieces(spark, rows, monkeypatch, n, deletes, amount):
+    changes, expected, state = one_hot_key(n, deletes)
+    target = spark.createDataFrame([("hot", 5, "w0", 1), ("cold", 1, None, 2)], TARGET)
+    given = spark.createDataFrame([*changes, ("cold", 0, "renew", 1, None, None, 0)], CHANGES).repartition(4)
+    seen = []
+    cut = s._cut_at_ranges
+
+    def kept(*args):
+        result = cut(*args)
+        seen.append(result[0].groupBy("key", "__chain", "__piece").count().agg(F.max("count"), F.count("*")).first())
+        return result
+
+    monkeypatch.setattr(s, "_cut_at_ranges", kept)
+    merged, outcomes = s.versioned_merge_ordered(target, given, "seq", amount, rows_per_range=1000)
+    assert rows(outcomes) == sorted([*expected, ("cold", 0, "renew", True)])
+    assert rows(merged) == [("cold", 2, None, 2)[: 3 + len(amount)], *([("hot", *state)[: 3 + len(amount)]] if state else [])]
+    largest, pieces = seen[0]
+    # no piece is longer than two ranges
+    assert largest <= 2000 and pieces > n // 2000
+
+
+def test_null_keys_are_errors(spark):
+    target = spark.createDataFrame([("a", 3, "w", 1)], TARGET)
+    change = spark.createDataFrame([("a", 0, "renew", 3, None, None, 5)], CHANGES)
+    no_key = spark.createDataFrame([(None, 0, "create", None, None, "x", 5)], CHANGES)
+    no_target = spark.createDataFrame([(None, 3, "w", 1)], TARGET)
+    for given, changes in ((target, no_key), (no_target, change)):
+        for merge in (lambda t, c: s.versioned_merge(t, c, ["amount"]), lambda t, c: s.versioned_merge_ordered(t, c, "seq", ["amount"])):
+            with pytest.raises(Exception, match="without key"):
+                merged, outcomes = merge(given, changes)
+                merged.collect()
+
+
 def test_bursts_on_one_version_are_settled_in_parallel(spark, rows, monkeypatch):
     burst = [("a", 100 * v + i, "take", v, None, f"w{i}", 0) for v in range(3) for i in range(50)]
     repeats = [("a", 900 + i, "evict", None, "w0", None, 0) for i in range(5)] + [("a", 950 + i, "create", None, None, "x", 0) for i in range(5)]

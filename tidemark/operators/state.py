@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import transitions
+from tidemark.operators.transitions import CREATE, EVICT, REMOVE, RENEW, TAKE, UPDATE
 from tidemark.plans.durable import cut_lineage
-from tidemark.plans.hot_ranges import find_hot_ranges
+from tidemark.plans.hot_ranges import RANGE, find_hot_ranges
 from tidemark.plans.running import latest, previous, running, running_since, total
 
 ADDED, REMOVED, CHANGED, UNCHANGED = "added", "removed", "changed", "unchanged"
@@ -18,7 +20,6 @@ ADDED, REMOVED, CHANGED, UNCHANGED = "added", "removed", "changed", "unchanged"
 # Fixed value: an age beyond this, in either direction, is stale whatever the duration.
 MAX_AGE_DAYS = 365
 
-CREATE, UPDATE, RENEW, TAKE, EVICT, REMOVE = "create", "update", "renew", "take", "evict", "delete"
 OPERATIONS = (CREATE, UPDATE, RENEW, TAKE, EVICT, REMOVE)
 
 
@@ -65,12 +66,14 @@ def versioned_merge(target: DataFrame, changes: DataFrame, payload: Sequence[str
     evict   the owner is as expected, none included; clears the owner
     delete  unconditional
 
-    Any other operation, null too, raises an error.
+    Any other operation, null too, and a null key in either table raise an error.
 
     update, renew, take and evict raise the version by 1. Several changes of a key raise
     an error here; see :func:`versioned_merge_ordered`. Only rows with a change are settled and
     written; the others come from ``target`` as they are, without a shuffle if the changes are few.
     """
+    target = target.withColumn("key", _required(target, "key", "row"))
+    changes = changes.withColumn("key", _required(changes, "key"))
     have = target.select(
         "key",
         F.col("version").alias("__version"),
@@ -138,17 +141,16 @@ def versioned_merge_ordered(
     rules shorten chains before anything runs in sequence. A delete makes what came before
     irrelevant, so chains are cut there. And a change that repeats the check of the one
     right before it cannot apply (see :func:`_repeats_a_check`), so of a burst of attempts
-    on one version only the first is left. Each remaining chain streams through a task
-    in sorted batches and keeps one row of state, so its length does not weigh on memory. A
-    null operation or order raises an error.
+    on one version only the first is left. A chain that still spans several ranges of a hot key is cut at their edges: each
+    range is summarised as a function of the state it starts from (see :mod:`tidemark.operators.transitions`), the functions are followed
+    from range to range, a row each, and then all ranges run at once, each from its own start. Every run
+    streams through a task in sorted batches and keeps one row of state. A null key, operation or order raises an error.
     """
-
-    def required(name: str) -> Column:
-        refuse = F.raise_error(F.concat(F.lit(f"a change without {name}, key "), F.coalesce(F.col("key").cast("string"), F.lit("null"))))
-        return F.when(F.col(name).isNotNull(), F.col(name)).otherwise(refuse.cast(changes.schema[name].dataType))
-
-    changes = changes.withColumns({"op": required("op"), order: required(order)})
+    changes = changes.withColumns({name: _required(changes, name) for name in ("key", "op", order)})
+    target = target.withColumn("key", _required(target, "key", "row"))
     ranges = find_hot_ranges(changes, ["key"], [order], rows_per_range)
+    if ranges is not None:
+        changes = ranges.tag(changes)
     is_delete = F.col("op") == REMOVE
     check = F.struct("op", "expected_version", "expected_owner")
     measures = {"__deletes": total(F.when(is_delete, 1).otherwise(0)), "__before": previous(check)}
@@ -158,6 +160,7 @@ def versioned_merge_ordered(
         "key",
         # a delete is the last link of its chain
         (F.col("__deletes") - F.when(is_delete, 1).otherwise(0)).alias("__chain"),
+        (F.lit(None).cast("int") if ranges is None else F.col(RANGE)).alias("__range"),
         F.col(order).alias("__order"),
         *columns,
         F.lit(None).cast("long").alias("version"),
@@ -167,22 +170,35 @@ def versioned_merge_ordered(
     starts = target.select(
         "key",
         F.lit(0).cast(kinds["__chain"]).alias("__chain"),
+        F.col("version").cast("long").alias("version"),
+        "owner",
+        *payload,
+    ).withColumn("__piece", F.lit(WHOLE))
+    if ranges is None:
+        links = links.withColumn("__piece", F.lit(WHOLE))
+    else:
+        links, starts = _cut_at_ranges(cut_lineage(links, "links"), starts, payload)
+    starts = starts.select(
+        "key",
+        "__chain",
+        "__piece",
         F.lit(None).cast(kinds["__order"]).alias("__order"),
         *[F.lit(None).cast(kinds[c]).alias(c) for c in columns if c not in payload],
         *payload,
-        F.col("version").cast("long").alias("version"),
+        "version",
         "owner",
     )
-    # null orders sort first, so a chain meets the target row before its changes
+    # null orders sort first, so a chain meets its first state before its changes
     chained = (
-        links.unionByName(starts)
-        .repartition("key", "__chain")
-        .sortWithinPartitions("key", "__chain", F.col("__order").asc_nulls_first())
+        links.select(*starts.columns).unionByName(starts)
+        .repartition("key", "__chain", "__piece")
+        .sortWithinPartitions("key", "__chain", "__piece", F.col("__order").asc_nulls_first())
     )
     result = T.StructType(
         [
             T.StructField("key", kinds["key"]),
             T.StructField("__chain", T.LongType()),
+            T.StructField("__piece", T.IntegerType()),
             T.StructField("__order", kinds["__order"]),
             T.StructField("op", T.StringType()),
             T.StructField("applied", T.BooleanType()),
@@ -194,10 +210,11 @@ def versioned_merge_ordered(
     settled = counted.where("__settled").select(
         "key",
         F.lit(0).cast("long").alias("__chain"),
+        F.lit(WHOLE).alias("__piece"),
         F.col(order).alias("__order"),
         "op",
         F.lit(False).alias("applied"),
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in result.fields[5:]],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in result.fields[6:]],
     )
     applied = chained.mapInArrow(_chain_walker(list(payload)), result)
     walked = cut_lineage(applied.unionByName(settled), "merge")
@@ -206,7 +223,7 @@ def versioned_merge_ordered(
     state = F.struct("version", "owner", *payload)
     new_target = (
         ends.groupBy("key")
-        .agg(F.max_by(state, "__chain").alias("s"))
+        .agg(F.max_by(state, F.struct("__chain", "__piece")).alias("s"))
         .select("key", "s.*")
         .where(F.col("version").isNotNull())
     )
@@ -214,6 +231,119 @@ def versioned_merge_ordered(
     return new_target, outcomes
 
 
+# the piece of a chain that is not cut
+WHOLE = -1
+
+
+def _required(df: DataFrame, name: str, row: str = "change") -> Column:
+    """The column; a row where it is null raises an error."""
+    refuse = F.raise_error(F.concat(F.lit(f"a {row} without {name}, key "), F.coalesce(F.col("key").cast("string"), F.lit("null"))))
+    return F.when(F.col(name).isNotNull(), F.col(name)).otherwise(refuse.cast(df.schema[name].dataType))
+
+
+def _cut_at_ranges(links: DataFrame, starts: DataFrame, payload: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Chains over several ranges of a hot key as pieces, one per range; and the state that each chain or piece starts from."""
+    spans = links.where("__range is not null").groupBy("key", "__chain").agg(F.min("__range").alias("__first"), F.max("__range").alias("__last"))
+    # at most one chain goes over each edge of a range
+    long = cut_lineage(spans.where("__first < __last").select("key", "__chain", "__first"), "long-chains")
+    of_long = ["key", "__chain"]
+    links = links.join(long, of_long, "left").withColumn("__piece", F.when(F.col("__first").isNotNull(), F.col("__range")).otherwise(WHOLE))
+    pieces = links.where("__first is not null").drop("__first")
+
+    first_states = starts.join(long, of_long, "left").withColumn("__piece", F.coalesce("__first", F.lit(WHOLE))).drop("__first")
+    kinds = {f.name: f.dataType for f in links.schema.fields}
+    summary = T.StructType(
+        [
+            T.StructField("key", kinds["key"]),
+            T.StructField("__chain", T.LongType()),
+            T.StructField("__piece", T.IntegerType()),
+            T.StructField("__run", T.IntegerType()),
+            T.StructField("table", T.BinaryType()),
+        ]
+    )
+    decisive = ["key", "__chain", "__piece", "__order", "op", "expected_version", "expected_owner", "new_owner"]
+    sorted_pieces = pieces.select(*decisive).repartition("key", "__chain", "__piece").sortWithinPartitions("key", "__chain", "__piece", "__order")
+    summaries = cut_lineage(sorted_pieces.mapInArrow(_summaries, summary), "summaries")
+    nothing = F.lit(None)
+    followed = T.StructType(
+        [
+            *summary.fields[:3],
+            T.StructField("version", T.LongType()),
+            T.StructField("owner", kinds["owner"]),
+            T.StructField("__named", kinds["__order"]),
+        ]
+    )
+    # per chain its first state and a row for each run of changes
+    lines = summaries.select("*", nothing.cast("long").alias("version"), nothing.cast(kinds["owner"]).alias("owner"))
+    firsts = first_states.where(F.col("__piece") != WHOLE).select(
+        "key", "__chain", "__piece", F.lit(-1).alias("__run"), nothing.cast("binary").alias("table"), "version", "owner"
+    )
+    in_order = lines.unionByName(firsts).withColumn("__named", nothing.cast(kinds["__order"]))
+    in_order = in_order.repartition(*of_long).sortWithinPartitions(*of_long, "__piece", "__run")
+    states = cut_lineage(in_order.mapInArrow(_follow, followed), "states")
+    # a piece starts with the payload of the change that set it, or of the chain's first state; one row per piece
+    named = pieces.select(F.col("key").alias("__key"), F.col("__order").alias("__at"), *payload)
+    same = (F.col("key") == F.col("__key")) & (F.col("__named") == F.col("__at"))
+    set_by_change = states.where("__named is not null").join(named, same)
+    kept = states.where("__named is null").join(first_states.where(F.col("__piece") != WHOLE).select(*of_long, *payload), of_long)
+    columns = [*of_long, "version", "owner", *payload, "__piece"]
+    later = set_by_change.select(*columns).unionByName(kept.select(*columns))
+    return links.drop("__first", "__range"), first_states.select(*columns).unionByName(later)
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted changes to the transitions of each piece, run by run."""
+    schema = held = None
+    changes: list[transitions.Change] = []
+    run = 0
+
+    def summarised() -> Iterator[pa.RecordBatch]:
+        nonlocal run
+        for one in transitions.transitions(changes):
+            row = {"key": held[0], "__chain": held[1], "__piece": held[2], "__run": run, "table": one.packed()}
+            yield pa.RecordBatch.from_pylist([row], schema)
+            run += 1
+
+    for batch in batches:
+        if schema is None:
+            fields = [batch.schema.field(n) for n in ("key", "__chain", "__piece")]
+            schema = pa.schema([*fields, pa.field("__run", pa.int32()), pa.field("table", pa.binary())])
+        for row in batch.to_pylist():
+            piece = row["key"], row["__chain"], row["__piece"]
+            if piece != held:
+                if changes:
+                    yield from summarised()
+                held, changes, run = piece, [], 0
+            elif len(changes) >= transitions.RUN:
+                yield from summarised()
+                changes = []
+            changes.append((row["op"], row["expected_version"], row["expected_owner"], row["new_owner"], row["__order"]))
+    if changes:
+        yield from summarised()
+
+
+def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted first states and transitions of chains to the state in which each piece but the first starts; absent ones have no row."""
+    chain = piece = state = None
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            if (row["key"], row["__chain"]) != chain:
+                chain, piece, state = (row["key"], row["__chain"]), row["__piece"], None
+            if row["table"] is None:
+                state = row["version"], row["owner"], None
+                continue
+            if row["__piece"] != piece:
+                piece = row["__piece"]
+                if state is not None:
+                    out.append((*chain, piece, *state))
+            state = transitions.Transition.unpacked(row["table"]).follow(state)
+        if out:
+            schema = pa.schema([batch.schema.field(n) for n in ("key", "__chain", "__piece", "version", "owner", "__named")])
+            columns = zip(schema, zip(*out, strict=True), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values, field.type) for field, values in columns], schema=schema)
+
+
 def _repeats_a_check() -> Column:
     """Whether a change fails whatever the state, because the change right before it had the same check.
 
@@ -235,29 +365,30 @@ def _repeats_a_check() -> Column:
 
 
 def _chain_walker(payload: list[str]):
-    """A function over sorted batches: one outcome row per change, one end row (op null) per chain."""
+    """A function over sorted batches: one outcome row per change, one end row (op null) per chain or piece of one."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, state, schema = None, None, None  # state: (version, owner, payload values) or None
 
         def end_row() -> dict:
             version, owner, values = state if state else (None, None, [None] * len(payload))
-            return {"key": chain[0], "__chain": chain[1], "version": version, "owner": owner, **dict(zip(payload, values))}
+            return {"key": chain[0], "__chain": chain[1], "__piece": chain[2], "version": version, "owner": owner, **dict(zip(payload, values))}
 
         def rows_out(rows: list[dict]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist(rows, schema=schema)
 
         for batch in batches:
             if schema is None:
-                kept = ["key", "__chain", "__order", "op", "version", "owner", *payload]
+                kept = ["key", "__chain", "__piece", "__order", "op", "version", "owner", *payload]
                 fields = [batch.schema.field(name) for name in kept]
-                schema = pa.schema([*fields[:4], pa.field("applied", pa.bool_()), *fields[4:]])
+                schema = pa.schema([*fields[:5], pa.field("applied", pa.bool_()), *fields[5:]])
             out = []
             for row in batch.to_pylist():
-                if chain != (row["key"], row["__chain"]):
+                piece = row["key"], row["__chain"], row["__piece"]
+                if chain != piece:
                     if chain is not None:
                         out.append(end_row())
-                    chain, state = (row["key"], row["__chain"]), None
+                    chain, state = piece, None
                 op = row["op"]
                 values = [row[p] for p in payload]
                 if op is None:
@@ -281,7 +412,7 @@ def _chain_walker(payload: list[str]):
                         state = (version + 1, owner, values if op == UPDATE else held)
                 else:
                     raise ValueError(f"unknown operation {op}")
-                out.append({"key": row["key"], "__chain": row["__chain"], "__order": row["__order"], "op": op, "applied": applied})
+                out.append({"key": row["key"], "__chain": row["__chain"], "__piece": row["__piece"], "__order": row["__order"], "op": op, "applied": applied})
             if out:
                 yield rows_out(out)
         if chain is not None:
