@@ -211,8 +211,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS v
     "union_queues": _q(("fx_records",), "SELECT shard_id AS queue_id, sequence_number FROM fx_records"),
     "scan_shards": _q(("fx_nodes",), "SELECT id, start_seq FROM fx_nodes"),
     "distinct_shard_ids": "SELECT DISTINCT user_id % 8 AS shard_id FROM events",
-    "scan_state": _q(("fx_target",), "SELECT key, version FROM fx_target"),
-    "lookup_key": _q(("fx_target",), "SELECT key, version, amount FROM fx_target WHERE key = 10"),
+    "scan_state": _q(("fx_state",), "SELECT key, version FROM fx_state"),
+    "scan_state_limited": _q(("fx_state",), "SELECT least(count(*), 100) AS n FROM fx_state"),
+    "lookup_key": _q(("fx_state",), "SELECT key, version, amount FROM fx_state WHERE key = 10"),
+    "is_state_empty": _q(
+        ("fx_state",),
+        """SELECT 'all' AS part, count(*) = 0 AS empty FROM fx_state
+UNION ALL SELECT 'negative', count(*) = 0 FROM fx_state WHERE version < 0
+UNION ALL SELECT 'owned', count(*) = 0 FROM fx_state WHERE owner IS NOT NULL""",
+    ),
     "after_checkpoint": _q(
         ("fx_records", "fx_checkpoints"),
         """SELECT r.shard_id, r.sequence_number, r.partition_key, r.arrival_ts
@@ -357,9 +364,9 @@ FROM fx_snapshot_old o FULL OUTER JOIN fx_snapshot_new n ON n.key = o.key""",
         "SELECT id AS key FROM fx_nodes EXCEPT SELECT id FROM fx_torn_nodes EXCEPT SELECT id FROM fx_some_tracked",
     ),
     "tracked_keys": _q(
-        ("fx_snapshot_old", "fx_snapshot_new"), "SELECT * FROM fx_snapshot_old UNION ALL SELECT * FROM fx_snapshot_new"
+        ("fx_state", "fx_new_state"), "SELECT key, version FROM fx_state UNION ALL SELECT * FROM fx_new_state"
     ),
-    "order_desc": _q(("fx_snapshot_old",), "SELECT * FROM fx_snapshot_old ORDER BY key DESC"),
+    "order_desc": _q(("fx_state",), "SELECT key, version FROM fx_state ORDER BY key DESC"),
     "versioned_merge": _q(
         ("fx_target", "fx_changes"),
         """, j AS (
@@ -469,3 +476,6 @@ FROM c, f WHERE (n = 1 AND owner IS NULL) OR next > us + 259200000000
 
 ORACLE["append_journal_versions"] = ORACLE["stream_journal_versions"]
 ORACLE["unpack_stream"] = ORACLE["unpack_envelopes"]
+ORACLE["scan_records_at_sequence_number"] = ORACLE["start_position_at_sequence_number"]
+ORACLE["scan_records_after_sequence_number"] = ORACLE["start_position_after_sequence_number"]
+ORACLE["stream_observer"] = "SELECT 'rows' AS call, count(*) AS n FROM events UNION ALL SELECT 'completed', 1"

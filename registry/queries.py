@@ -187,6 +187,22 @@ def scan_records(spark, sf):
     return _records_columns(scanned.withColumn("shard_id", F.col("shard_id").cast("long")))
 
 
+def _scan_of_laid_out(spark, sf, position: str) -> DataFrame:
+    path = work_folder(spark, "laid-out")
+    records.write_records(view(spark, sf, "fx_records"), path)
+    return _records_columns(records.scan_records(spark, path, position, seq="5006"))
+
+
+@query
+def scan_records_at_sequence_number(spark, sf):
+    return _scan_of_laid_out(spark, sf, sequence.AT_SEQUENCE_NUMBER)
+
+
+@query
+def scan_records_after_sequence_number(spark, sf):
+    return _scan_of_laid_out(spark, sf, sequence.AFTER_SEQUENCE_NUMBER)
+
+
 @query
 def bounded_batch(spark, sf):
     return _records_columns(records.bounded_batch(view(spark, sf, "fx_records"), 100))
@@ -194,8 +210,10 @@ def bounded_batch(spark, sf):
 
 @query
 def union_queues(spark, sf):
-    feed = view(spark, sf, "fx_records")
-    queues = {q: feed.where(F.col("shard_id") == q).drop("shard_id") for q in range(8)}
+    path = work_folder(spark, "queue-folders")
+    view(spark, sf, "fx_records").write.partitionBy("shard_id").parquet(path)
+    # one read per queue's folder
+    queues = {q: spark.read.parquet(f"{path}/shard_id={q}") for q in range(8)}
     return records.union_queues(queues).select("queue_id", "sequence_number")
 
 
@@ -214,13 +232,30 @@ def distinct_shard_ids(spark, sf):
 @query
 def scan_state(spark, sf):
     path = work_folder(spark, "state")
-    view(spark, sf, "fx_target").write.parquet(path)
+    view(spark, sf, "fx_state").write.parquet(path)
     return tables.scan_state(spark, path).select("key", "version")
 
 
+@query
+def scan_state_limited(spark, sf):
+    path = work_folder(spark, "state")
+    view(spark, sf, "fx_state").write.parquet(path)
+    # which rows a bounded listing returns is open; that they are rows of the state, each once, is not
+    listed = tables.scan_state(spark, path, limit=100)
+    return listed.join(view(spark, sf, "fx_state").select("key", "version"), ["key", "version"]).agg(F.count_distinct("key").alias("n"))
+
+
 @query
 def lookup_key(spark, sf):
-    return tables.lookup_key(view(spark, sf, "fx_target"), 10).select("key", "version", "amount")
+    return tables.lookup_key(view(spark, sf, "fx_state"), 10).select("key", "version", "amount")
+
+
+@query
+def is_state_empty(spark, sf):
+    state_now = view(spark, sf, "fx_state")
+    parts = {"all": state_now, "negative": state_now.where("version < 0"), "owned": state_now.where("owner IS NOT NULL")}
+    found = [(name, tables.is_state_empty(part)) for name, part in parts.items()]
+    return spark.createDataFrame(found, "part string, empty boolean")
 
 
 # ---- consuming
@@ -570,12 +605,12 @@ def shard_list_diff(spark, sf):
 
 @query
 def tracked_keys(spark, sf):
-    return state.tracked_keys(view(spark, sf, "fx_snapshot_old"), view(spark, sf, "fx_snapshot_new"))
+    return state.tracked_keys(view(spark, sf, "fx_state").select("key", "version"), view(spark, sf, "fx_new_state"))
 
 
 @query
 def order_desc(spark, sf):
-    return state.order_desc(view(spark, sf, "fx_snapshot_old"))
+    return state.order_desc(view(spark, sf, "fx_state").select("key", "version"))
 
 
 def _merge(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -780,6 +815,23 @@ def unpack_stream(spark, sf):
     return _appended(unpacked.select("entity_id", "event_index", F.col("event.message").alias("message")), "unpacked")
 
 
+@query
+def stream_observer(spark, sf):
+    """What an observer hears of a stream of four files: rows, and one end."""
+    stream = _stream_of_files(table(spark, sf, "events").select("event_id", "event_type"), "events")
+    heard = []
+    observer = stream_batches.StreamObserver(
+        on_next=lambda n, rows: heard.append(("rows", rows)), on_completed=lambda: heard.append(("completed", 1))
+    )
+    spark.streams.addListener(observer)
+    try:
+        _appended(stream, "observed")
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(observer)
+    return spark.createDataFrame(heard, "call string, n long").groupBy("call").agg(F.sum("n").alias("n"))
+
+
 @query
 def publish_stream(spark, sf):
     path, checkpoint = work_folder(spark, "queues"), work_folder(spark, "checkpoint")

@@ -163,6 +163,14 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                        OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS version
            FROM events""",
     ),
+    "fx_state": (
+        ("orders",),
+        """SELECT o_orderkey AS key, o_orderkey % 3 AS version,
+                  CASE WHEN o_orderstatus <> 'P' THEN concat('w', CAST(o_custkey % 5 AS STRING)) END AS owner,
+                  o_totalprice AS amount
+           FROM orders""",
+    ),
+    "fx_new_state": (("orders",), "SELECT -1 - o_orderkey AS key, o_orderkey % 5 AS version FROM orders"),
     "fx_snapshot_old": (
         ("orders",),
         "SELECT o_orderkey AS key, o_orderkey % 3 AS version FROM orders WHERE o_orderkey % 11 <> 0",

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import urllib.parse
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +17,71 @@ from tidemark.plans.running import first_rows
 # Used where a read asks for a negative number of records, that is, no limit of its own.
 MAX_RECORDS_PER_READ = 10_000
 
+# The plain columns that laid-out records carry: a number's count of digits, and its digits, without leading zeros.
+SEQ_LENGTH, SEQ_DIGITS = "seq_length", "seq_digits"
+# Beside the records; Spark's readers skip folders that begin so.
+INDEX = "_sequence_index"
+INDEX_SCHEMA = "file string, least_length int, least_digits string, most_length int, most_digits string"
+
+
+def write_records(
+    records: DataFrame,
+    path: str,
+    shard: str = "shard_id",
+    sequence_number: str = "sequence_number",
+    sub_sequence: str = "sub_sequence",
+) -> None:
+    """Append ``records`` to the parquet folder ``path``, laid out so that a read from a sequence number finds its files.
+
+    Files are ranges of shard and sequence (a large shard is several files), sorted, and each carries its number as plain columns whose bounds Parquet
+    keeps per row group. The bounds of each file go to an index beside them. Each call writes a folder of its own, first the
+    records and then their index, so a file that an interrupted call left without one is read, not missed.
+    Sequence numbers must be digits.
+    """
+    spark = records.sparkSession
+    key = s.seq_key(sequence_number, sub_sequence)
+    refuse = F.raise_error(F.concat(F.lit("a record needs a sequence number of digits, got "), F.col(sequence_number))).cast("int")
+    length = F.when(key["rank"] == 0, key["length"]).otherwise(refuse)
+    laid = records.withColumns({SEQ_LENGTH: length, SEQ_DIGITS: key["digits"]})
+    order = [shard, SEQ_LENGTH, SEQ_DIGITS]
+    batch = f"{path.rstrip('/')}/written={uuid.uuid4().hex}"
+    laid.repartitionByRange(*order).sortWithinPartitions(*order, sub_sequence).write.parquet(batch)
+    number = F.struct(SEQ_LENGTH, SEQ_DIGITS)
+    # reads two columns of what was just written
+    bounds = (
+        spark.read.parquet(batch)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.min(number).alias("least"), F.max(number).alias("most"))
+        .select("file", *[F.col(f"{side}.seq_{part}").alias(f"{side}_{part}") for side in ("least", "most") for part in ("length", "digits")])
+    )
+    bounds.write.mode("append").parquet(f"{path.rstrip('/')}/{INDEX}")
+
+
+def _from_plain_columns(position: str, seq: str, sub: int, sub_sequence: str) -> Column:
+    """The condition of a read from a sequence number, on plain columns, so that it reaches the parquet scan."""
+    digits = seq.lstrip("0")
+    length, own = F.col(SEQ_LENGTH), F.col(SEQ_DIGITS)
+    not_before = (length > len(digits)) | ((length == len(digits)) & (own >= digits))
+    same = (length == len(digits)) & (own == digits)
+    sub_value = F.coalesce(F.col(sub_sequence).cast("long"), F.lit(0))
+    later = sub_value >= sub if position == s.AT_SEQUENCE_NUMBER else sub_value > sub
+    return (length >= len(digits)) & not_before & (~same | later)
+
+
+def _files_from(spark: SparkSession, records: DataFrame, path: str, seq: str) -> list[str] | None:
+    """Files of the folder that may hold ``seq`` or later numbers; None if no index says so."""
+    try:
+        index = spark.read.schema(INDEX_SCHEMA).parquet(f"{path.rstrip('/')}/{INDEX}")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    digits = seq.lstrip("0")
+    before = (F.col("most_length") < len(digits)) | ((F.col("most_length") == len(digits)) & (F.col("most_digits") < digits))
+    # names of files, of which the reader's own listing holds as many
+    passed = {urllib.parse.urlsplit(row["file"]).path for row in index.where(before).select("file").toLocalIterator()}
+    return [file for file in records.inputFiles() if urllib.parse.urlsplit(file).path not in passed]
+
 
 def start_position(
     records: DataFrame,
@@ -41,6 +109,8 @@ def start_position(
     if position in (s.AT_SEQUENCE_NUMBER, s.AFTER_SEQUENCE_NUMBER):
         if seq is None or not (seq.isascii() and seq.isdigit()):
             raise ValueError(f"{position} needs a sequence number of digits, got {seq!r}")
+        if SEQ_LENGTH in records.columns:
+            return records.where(_from_plain_columns(position, seq, sub, sub_sequence))
         key = s.seq_key(sequence_number, sub_sequence)
         bound = s.seq_key(F.lit(seq), F.lit(sub))
         return records.where(key >= bound if position == s.AT_SEQUENCE_NUMBER else key > bound)
@@ -60,6 +130,9 @@ def scan_records(
 ) -> DataFrame:
     """Records of a parquet folder from ``position`` on, as a table or (``streaming``) as a stream.
 
+    Of a folder that :func:`write_records` laid out, a read from a sequence number opens only the files whose bounds in the index
+    reach it, and only their row groups that do.
+
     A stream at LATEST reads the files written after ``ts``, by default after its first start, which is
     kept beside ``checkpoint``, the query's own, so that a restart leaves out no file that came in between.
     """
@@ -79,7 +152,13 @@ def scan_records(
     else:
         reader = spark.read.schema(schema) if schema else spark.read
         records = reader.parquet(path)
-    return start_position(records, position, ts, seq)
+        if SEQ_LENGTH in records.columns and position in (s.AT_SEQUENCE_NUMBER, s.AFTER_SEQUENCE_NUMBER) and seq and seq.isdigit():
+            files = _files_from(spark, records, path, seq)
+            if files is not None:
+                found = spark.read.schema(records.schema).option("basePath", path).parquet(*files) if files else records.where("false")
+                records = found
+    kept = start_position(records, position, ts, seq)
+    return kept.drop(SEQ_LENGTH, SEQ_DIGITS, "written") if SEQ_LENGTH in records.columns else kept
 
 
 def _first_start(spark: SparkSession, checkpoint: str) -> str:
