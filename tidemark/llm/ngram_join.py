@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import MIX, in_groups, run_hashes, words
@@ -34,7 +34,7 @@ HASH_BITS, DOC_BITS = 44, 20
 DOC_MASK = np.uint64((1 << DOC_BITS) - 1)
 # the document part of an entry that stands for several documents of its flush
 SEVERAL = (1 << DOC_BITS) - 1
-FLUSH_ENTRIES, FLUSH_DOCS = 2_000_000, 200_000
+FLUSH_ENTRIES, FLUSH_DOCS = 1_000_000, 200_000
 
 
 def shingle_sets(texts: list[str], width: int) -> Iterator[np.ndarray]:
@@ -158,29 +158,41 @@ def _count_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Answer each flush which of its entries are in columns of several documents, with the count's power of two.
 
     A flush asks once for a column, whatever the number of its documents in it, so no column has more entries than there are flushes.
+    Rows come sorted by block, so one block is held at a time.
     """
-    asked: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
+    held: int | None = None
+    parts: list[tuple[int, np.ndarray, np.ndarray]] = []
     for batch in batches:
         for row in batch.to_pylist():
-            if row["kind"] == ASKED:
-                asked.setdefault(row["block"], []).append((row["flush"], _unpacked(row["entries"]), np.frombuffer(row["weights"], np.uint8)))
-            else:
+            if row["kind"] != ASKED:
                 yield pa.RecordBatch.from_pylist([row], FLOW_ARROW)
-    for block, parts in asked.items():
-        entries = np.concatenate([e for _, e, _ in parts])
-        weights = np.concatenate([w for _, _, w in parts]).astype(np.int64)
-        order = np.argsort(entries, kind="stable")
-        column = entries[order] >> np.uint64(DOC_BITS)
-        first = np.flatnonzero(np.append(True, column[1:] != column[:-1]))
-        totals = np.add.reduceat(weights[order], first)
-        each = np.empty(len(entries), np.int64)
-        each[order] = np.repeat(totals, np.diff(np.append(first, len(entries))))
-        ends = np.cumsum([0, *(len(e) for _, e, _ in parts)])
-        for (flush, mine, _), lo, hi in zip(parts, ends[:-1], ends[1:], strict=True):
-            keep = each[lo:hi] > 1
-            if keep.any():
-                rank = np.minimum(np.log2(each[lo:hi][keep]), 15).astype(np.uint8)
-                yield _row(COUNTED, block, flush, _packed(mine[keep]), rank.tobytes())
+                continue
+            if row["block"] != held:
+                yield from _counted(held, parts)
+                held, parts = row["block"], []
+            parts.append((row["flush"], _unpacked(row["entries"]), np.frombuffer(row["weights"], np.uint8)))
+    yield from _counted(held, parts)
+
+
+def _counted(block: int | None, parts: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """The answers of one block to all flushes."""
+    if not parts:
+        return
+    entries = np.concatenate([e for _, e, _ in parts])
+    weights = np.concatenate([w for _, _, w in parts])
+    order = np.argsort(entries, kind="stable")
+    column = entries[order] >> np.uint64(DOC_BITS)
+    first = np.flatnonzero(np.append(True, column[1:] != column[:-1]))
+    totals = np.add.reduceat(weights[order].astype(np.int64), first)
+    several = totals > 1
+    rank = np.where(several, np.minimum(np.log2(totals), 15), 255).astype(np.uint8)
+    each = np.empty(len(entries), np.uint8)
+    each[order] = np.repeat(rank, np.diff(np.append(first, len(entries))))
+    ends = np.cumsum([0, *(len(e) for _, e, _ in parts)])
+    for (flush, mine, _), lo, hi in zip(parts, ends[:-1], ends[1:], strict=True):
+        keep = each[lo:hi] != 255
+        if keep.any():
+            yield _row(COUNTED, block, flush, _packed(mine[keep]), each[lo:hi][keep].tobytes())
 
 
 ROWS = "doc_id long, tie long, size long, digest long, columns binary"
@@ -190,56 +202,56 @@ def _documents(percent: int):
     """Per flush: each document with its columns shared by several documents, rare ones first, if they are enough for a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads: dict[int, dict] = {}
-        counted: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
-        local: dict[int, list[tuple[int, np.ndarray]]] = {}
+        rows: list[dict] = []
         for batch in batches:
+            # sorted by flush, so one flush is held at a time
             for row in batch.to_pylist():
-                if row["kind"] == DOCUMENTS:
-                    heads[row["flush"]] = row
-                elif row["kind"] == LOCAL:
-                    local.setdefault(row["flush"], []).append((row["block"], _unpacked(row["entries"])))
-                else:
-                    counted.setdefault(row["flush"], []).append((row["block"], _unpacked(row["entries"]), np.frombuffer(row["weights"], np.uint8)))
-        for flush, head in heads.items():
-            raw = np.frombuffer(head["entries"], np.int64)
-            sizes, digests, ties = raw.reshape(3, -1)
-            known = np.frombuffer(head["weights"], bool)
-            keys = np.frombuffer(head["ids"], np.int64)
-            columns, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            ranks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            for block, entries, rank in counted.pop(flush, []):
-                column = (entries >> np.uint64(DOC_BITS)) | np.uint64(block << HASH_BITS)
-                several = (entries & DOC_MASK) == DOC_MASK
-                ranked = column | (rank.astype(np.uint64) << np.uint64(60))
-                columns.append(ranked[~several])
-                docs.append((entries[~several] & DOC_MASK).astype(np.int64))
-                ranks[block] = column[several], ranked[several]
-            for block, entries in local.pop(flush, []):
-                column = (entries >> np.uint64(DOC_BITS)) | np.uint64(block << HASH_BITS)
-                plain, ranked = ranks[block]
-                columns.append(ranked[np.searchsorted(plain, column)])
-                docs.append((entries & DOC_MASK).astype(np.int64))
-            column, doc = np.concatenate(columns), np.concatenate(docs)
-            order = np.lexsort((column, doc))
-            column = column[order]
-            ends = np.searchsorted(doc[order], np.arange(len(sizes) + 1))
-            enough = (np.diff(ends) >= needed(sizes, percent)) & (sizes > 0)
-            values = [column[ends[i] : ends[i + 1]].tobytes() if enough[i] else None for i in range(len(sizes))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, mask=~known),
-                    pa.array(ties),
-                    pa.array(sizes),
-                    pa.array(digests),
-                    pa.array(values, pa.binary()),
-                ],
-                ["doc_id", "tie", "size", "digest", "columns"],
-            )
+                if rows and rows[0]["flush"] != row["flush"]:
+                    yield _flush_documents(rows, percent)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield _flush_documents(rows, percent)
 
     return run
 
 
+def _flush_documents(rows: list[dict], percent: int) -> pa.RecordBatch:
+    """The documents of one flush from all rows about it."""
+    head = next(row for row in rows if row["kind"] == DOCUMENTS)
+    sizes, digests, ties = np.frombuffer(head["entries"], np.int64).reshape(3, -1)
+    known = np.frombuffer(head["weights"], bool)
+    keys = np.frombuffer(head["ids"], np.int64)
+    columns, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    ranks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for row in rows:
+        if row["kind"] == COUNTED:
+            entries, rank = _unpacked(row["entries"]), np.frombuffer(row["weights"], np.uint8)
+            column = (entries >> np.uint64(DOC_BITS)) | np.uint64(row["block"] << HASH_BITS)
+            several = (entries & DOC_MASK) == DOC_MASK
+            ranked = column | (rank.astype(np.uint64) << np.uint64(60))
+            columns.append(ranked[~several])
+            docs.append((entries[~several] & DOC_MASK).astype(np.int64))
+            ranks[row["block"]] = column[several], ranked[several]
+    for row in rows:
+        if row["kind"] == LOCAL:
+            entries = _unpacked(row["entries"])
+            column = (entries >> np.uint64(DOC_BITS)) | np.uint64(row["block"] << HASH_BITS)
+            plain, ranked = ranks[row["block"]]
+            columns.append(ranked[np.searchsorted(plain, column)])
+            docs.append((entries & DOC_MASK).astype(np.int64))
+    column, doc = np.concatenate(columns), np.concatenate(docs)
+    order = np.lexsort((column, doc))
+    column = column[order]
+    ends = np.searchsorted(doc[order], np.arange(len(sizes) + 1))
+    enough = (np.diff(ends) >= needed(sizes, percent)) & (sizes > 0)
+    values = [column[ends[i] : ends[i + 1]].tobytes() if enough[i] else None for i in range(len(sizes))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, mask=~known), pa.array(ties), pa.array(sizes), pa.array(digests), pa.array(values, pa.binary())],
+        ["doc_id", "tie", "size", "digest", "columns"],
+    )
+
+
 def _prefix(percent: int):
     """Rows to the columns by which they have to meet their partners, each with the row's other values and the number of its columns from this one on."""
 
@@ -289,8 +301,8 @@ def _classified(docs: DataFrame, width: int, percent: int) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     block_bits = min(max(6, (parts - 1).bit_length()), 16)
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("tie"))
-    asked = chosen.mapInArrow(_incidence(width, block_bits), FLOW).repartition(parts, "block")
-    answers = asked.mapInArrow(_count_columns, FLOW).repartition(parts, "flush")
+    asked = chosen.mapInArrow(_incidence(width, block_bits), FLOW).repartition(parts, "block").sortWithinPartitions("block")
+    answers = asked.mapInArrow(_count_columns, FLOW).repartition(parts, "flush").sortWithinPartitions("flush")
     table = cut_lineage(answers.mapInArrow(_documents(percent), ROWS), "sets")
 
     whole = table.where("size > 0")
@@ -344,7 +356,8 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFram
     Rows of one doc_id count as documents of their own; a row with a null doc_id links like any other, but names no class: where
     all rows of a class have a null doc_id, its ids are null. Other columns are ignored.
 
-    Sets are compared by 64-bit hashes of shingles, equal sets by a 64-bit hash and their size.
+    Overlaps are counted on hashes of shingles of 44 bits and the block's number (6 bits, more with over 64 shuffle partitions), equal sets
+    are found by a 64-bit hash of 64-bit hashes and their size.
     """
     found = _classified(docs, width, percent)
     own = F.col("size") > 0
@@ -388,66 +401,89 @@ def _pivots(met: DataFrame, percent: int) -> DataFrame:
     return times.select(F.col("node").alias("a"), "b", "fits", (1000 * F.col("n") >= (100 - percent) * F.col("size")).alias("strong"))
 
 
-BLOCK_ENTRIES = 2_000_000
+BLOCK_ENTRIES, BLOCK_ROWS = 1_000_000, 8_192
+STRIP_CELLS, DENSE_CELLS = 2_000_000, 4_000_000
 
 
 def _family_product(percent: int):
-    """Links between a block of a family's open rows and a block of all its rows: no more than it takes to join their labels."""
+    """Links between a block of a family's open rows and a block of all its rows: no more than it takes to join their labels.
+
+    The product is taken in strips of rows, and each strip's some columns at a time, so it needs the same memory whatever the block.
+    """
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         node, size, label = (group.column(c).to_numpy() for c in ("node", "size", "label"))
         asks = group.column("asks").to_numpy(zero_copy_only=False).astype(bool)
         held = [np.frombuffer(c, np.int64) for c in group.column("columns").to_pylist()]
         rows, others = np.flatnonzero(asks), np.flatnonzero(~asks)
-        nothing = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        if not len(rows) or not len(others):
-            return nothing
-        columns = np.unique(np.concatenate([held[r] for r in rows]))
-        shared = np.zeros((len(rows), len(others)), np.float32)
-        sides = []
-        for side in (rows, others):
-            entry = np.concatenate([held[r] for r in side])
-            place = np.minimum(np.searchsorted(columns, entry), len(columns) - 1)
-            known = columns[place] == entry
-            of = np.repeat(np.arange(len(side)), [len(held[r]) for r in side])
-            order = np.argsort(place[known], kind="stable")
-            sides.append((place[known][order], of[known][order]))
-        # the product, some columns at a time
-        step = max(64, min(4096, 20_000_000 // (len(rows) + len(others))))
-        for at in range(0, len(columns), step):
-            dense = []
-            for (place, of), number in zip(sides, (len(rows), len(others)), strict=True):
-                lo, hi = np.searchsorted(place, (at, at + step))
-                part = np.zeros((number, step), np.float32)
-                part[of[lo:hi], place[lo:hi] - at] = 1
-                dense.append(part)
-            shared += dense[0] @ dense[1].T
-        union = size[rows][:, None] + size[others][None, :] - shared
-        x, y = np.nonzero((100 * shared >= percent * union) & (label[rows][:, None] != label[others][None, :]))
-        _, first = np.unique(np.stack([label[rows][x], label[others][y]], 1), axis=0, return_index=True)
-        x, y = x[first], y[first]
-        # links that join labels which others have joined already are left out
-        kept = spanning_forest(label[rows][x], label[others][y])
-        return pa.table({"a": pa.array(node[rows][x[kept]], pa.int64()), "b": pa.array(node[others][y[kept]], pa.int64())})
+        edges = [np.zeros((3, 0), np.int64)]
+        if len(rows) and len(others):
+            columns = np.unique(np.concatenate([held[r] for r in rows]))
+            there = _entries([held[r] for r in others], columns)
+            strip = max(1, STRIP_CELLS // len(others))
+            names, code = np.unique(label, return_inverse=True)
+            for at in range(0, len(rows), strip):
+                mine = rows[at : at + strip]
+                shared = _product(_entries([held[r] for r in mine], columns), there, len(mine), len(others), len(columns))
+                # 100 s >= p (a + b - s), in whole numbers
+                linked = (100 + percent) * shared >= percent * (size[mine][:, None] + size[others][None, :])
+                linked &= code[mine][:, None] != code[others][None, :]
+                x, y = np.nonzero(linked)
+                pairs, first = np.unique(code[mine][x] * len(names) + code[others][y], return_index=True)
+                found = np.stack([pairs, node[mine][x[first]], node[others][y[first]]])
+                # links that join labels which others have joined already are left out
+                found = np.concatenate([edges[0], found], 1)
+                edges[0] = found[:, spanning_forest(found[0] // len(names), found[0] % len(names))]
+        return pa.table({"a": pa.array(edges[0][1], pa.int64()), "b": pa.array(edges[0][2], pa.int64())})
 
     return run
 
 
+def _entries(held: list[np.ndarray], columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of rows in the given columns, as places of columns and rows, by column."""
+    entry = np.concatenate(held)
+    place = np.minimum(np.searchsorted(columns, entry), len(columns) - 1)
+    known = columns[place] == entry
+    of = np.repeat(np.arange(len(held), dtype=np.int32), [len(h) for h in held])[known]
+    place = place[known].astype(np.int32)
+    order = np.argsort(place, kind="stable")
+    return place[order], of[order]
+
+
+def _product(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], m: int, n: int, columns: int) -> np.ndarray:
+    """Overlaps of m rows and n others."""
+    shared = np.zeros((m, n), np.float32)
+    step = max(16, min(4096, DENSE_CELLS // (m + n)))
+    for at in range(0, columns, step):
+        dense = []
+        for (place, of), number in ((left, m), (right, n)):
+            lo, hi = np.searchsorted(place, (at, at + step))
+            part = np.zeros((number, step), np.float32)
+            part[of[lo:hi], place[lo:hi] - at] = 1
+            dense.append(part)
+        if dense[0].any():
+            shared += dense[0] @ dense[1].T
+    return shared.astype(np.int64)
+
+
 def _family_links(rows: DataFrame, percent: int) -> DataFrame:
     """Links inside families between rows of different labels, by blocked products.
 
-    Only rows outside a family's largest label are open; they meet all rows of the family. Blocks are bounded by their entries, a
+    Only rows outside a family's largest label are open; they meet all rows of the family. Blocks are bounded by their entries and rows, a
     row goes to as many tasks as the other side has blocks.
     """
     counted = rows.groupBy("family", "label").agg(F.count("*").alias("n"), F.sum("size").alias("entries"))
-    sums = counted.groupBy("family").agg(
-        F.max(F.struct("n", "label")).alias("main"), F.sum("entries").alias("all"), F.count("*").alias("labels"), F.max("entries").alias("most")
-    )
+    main = F.max(F.struct("n", "label", "entries"))
+    sums = counted.groupBy("family").agg(main.alias("main"), F.sum("entries").alias("all"), F.sum("n").alias("n"), F.count("*").alias("labels"))
+
+    def blocks(entries: Column, n: Column) -> Column:
+        return F.ceil(F.greatest(entries / BLOCK_ENTRIES, n / BLOCK_ROWS)).cast("int")
+
     sums = sums.where("labels > 1").select(
         "family",
         F.col("main.label").alias("main"),
-        F.ceil(F.col("all") / BLOCK_ENTRIES).cast("int").alias("blocks"),
-        F.ceil((F.col("all") - F.col("most")) / BLOCK_ENTRIES + 1).cast("int").alias("open_blocks"),
+        blocks(F.col("all"), F.col("n")).alias("blocks"),
+        blocks(F.col("all") - F.col("main.entries"), F.col("n") - F.col("main.n")).alias("open_blocks"),
     )
     dealt = rows.join(sums, "family")
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
