@@ -6,11 +6,13 @@ before a space that follows a character that is no white space never changes the
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 CUT = re.compile(r"(?<=\S)(?= )")
 DEPTH = 64
@@ -170,6 +172,20 @@ class PieceTable:
         return ids, np.array([len(ids)])
 
 
+def slices(column: pa.Array, most_rows: int = 500) -> Iterator[list]:
+    """The values of a column, some rows at a time, so that a batch's texts are not all there twice."""
+    for at in range(0, len(column), most_rows):
+        yield column.slice(at, most_rows).to_pylist()
+
+
+def release() -> None:
+    """Give memory that is free in this worker back to the system, for the stages that come next."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def in_groups(texts: list[str | None], most_chars: int = 1_000_000) -> Iterator[list[str]]:
     """Consecutive texts (null as empty), in groups of about ``most_chars`` characters at most or of one text."""
     group: list[str] = []

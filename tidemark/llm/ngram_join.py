@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import MIX, in_groups, run_hashes, words
+from tidemark.llm.chunks import MIX, in_groups, release, run_hashes, slices, words
 from tidemark.llm.components import components, spanning_forest
 from tidemark.plans.durable import cut_lineage
 
@@ -137,8 +137,7 @@ def _incidence(width: int, block_bits: int):
                     yield _row(LOCAL, b, number, _packed(mine[several]))
 
         for batch in batches:
-            texts = in_groups(batch.column(1).to_pylist())
-            found = (one for group in texts for one in shingle_sets(group, width))
+            found = (one for texts in slices(batch.column(1)) for group in in_groups(texts) for one in shingle_sets(group, width))
             for key, tie, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), found, strict=True):
                 sets.append(own)
                 ids.append(key)
@@ -150,6 +149,8 @@ def _incidence(width: int, block_bits: int):
                     sets, ids, ties, held = [], [], [], 0
         if sets:
             yield from flush()
+        sets.clear()
+        release()
 
     return run
 
@@ -172,6 +173,8 @@ def _count_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 held, parts = row["block"], []
             parts.append((row["flush"], _unpacked(row["entries"]), np.frombuffer(row["weights"], np.uint8)))
     yield from _counted(held, parts)
+    parts = []
+    release()
 
 
 def _counted(block: int | None, parts: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -212,6 +215,8 @@ def _documents(percent: int):
                 rows.append(row)
         if rows:
             yield _flush_documents(rows, percent)
+        rows = []
+        release()
 
     return run
 
@@ -380,9 +385,18 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame
     stay = linked.unionByName(found.where("size = 0").select("doc_id", "tie").distinct())
     stay = cut_lineage(stay.withColumnsRenamed({"doc_id": "__stay", "tie": "__stay_tie"}), "stay")
     tied = docs.withColumn("__tie", F.xxhash64(F.col("text").cast("string")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__stay")) & (F.col("__tie") == F.col("__stay_tie"))
-    once = Window.partitionBy("doc_id", "__tie").orderBy("__tie")
-    kept = tied.join(stay, same, "left_semi").withColumn("__place", F.row_number().over(once)).where("__place = 1")
+
+    def same(name: str) -> Column:
+        return F.col("doc_id").cast("long").eqNullSafe(F.col(name)) & (F.col("__tie") == F.col(f"{name}_tie"))
+
+    kept = tied.join(stay, same("__stay"), "left_semi")
+    repeated = found.groupBy(F.col("doc_id").alias("__again"), F.col("tie").alias("__again_tie")).count().where("count > 1").drop("count")
+    repeated = cut_lineage(repeated, "repeated")
+    if not repeated.isEmpty():
+        # only rows that are there several times are dealt by doc_id and text
+        once = Window.partitionBy("doc_id", "__tie").orderBy("__tie")
+        several = kept.join(repeated, same("__again"), "left_semi").withColumn("__place", F.row_number().over(once)).where("__place = 1")
+        kept = kept.join(repeated, same("__again"), "left_anti").unionByName(several.drop("__place"))
     return kept.select(*[f"`{name}`" for name in docs.columns])
 
 
@@ -434,6 +448,8 @@ def _family_product(percent: int):
                 # links that join labels which others have joined already are left out
                 found = np.concatenate([edges[0], found], 1)
                 edges[0] = found[:, spanning_forest(found[0] // len(names), found[0] % len(names))]
+            del held, there
+            release()
         return pa.table({"a": pa.array(edges[0][1], pa.int64()), "b": pa.array(edges[0][2], pa.int64())})
 
     return run
