@@ -42,7 +42,7 @@ def test_route_to_queue(spark):
             h.route_to_queue("id", n=bad)
 
 
-@pytest.mark.parametrize("digits", [1, 2, 3])
+@pytest.mark.parametrize("digits", [1, 2, 3, None])
 def test_route_by_hash_range(spark, digits):
     keys = [f"k{i}" for i in range(300)]
     edges = [0, 2**125, 2**127 - 3, 2**128]
@@ -55,6 +55,37 @@ def test_route_by_hash_range(spark, digits):
     assert got == {(k, i) for k in keys for i, lo, hi in shards if lo <= hashlib.md5(k.encode()).hexdigest() <= hi}
 
 
+def test_dyadic_cover_is_exact_and_small(spark):
+    draw, bits = random.Random(2), 8
+    ranges = [(f"r{i}", *sorted(draw.randrange(256) for _ in range(2))) for i in range(100)] + [("all", 0, 255), ("none", 9, 8)]
+    shards = spark.createDataFrame([(i, f"{a:02x}" + "0" * 30, f"{b:02x}" + "f" * 30) for i, a, b in ranges], "shard_id string, start_hash string, end_hash string")
+    found = {}
+    for row in x.dyadic_cover(shards, bits).collect():
+        found.setdefault(row.shard_id, []).append(range(row.node << row.level, (row.node + 1) << row.level))
+    for i, a, b in ranges:
+        places = [p for block in found.get(i, []) for p in block]
+        assert sorted(places) == list(range(a, b + 1)) and len(found.get(i, [])) <= 2 * bits
+    assert len(found["all"]) == 1
+
+
+def test_many_shards_are_one_candidate_per_prefix_length(spark):
+    n = 100_000
+    step = 2**128 // n
+    edges = spark.range(n).selectExpr("id AS shard_id")
+    # ranges that do not end at round prefixes
+    limits = F.udf(lambda i: [f"{i * step:032x}", f"{(i + 1) * step - 1 if i < n - 1 else 2**128 - 1:032x}"], "array<string>")
+    shards = edges.withColumn("r", limits("shard_id")).selectExpr("shard_id", "r[0] AS start_hash", "r[1] AS end_hash")
+    records = spark.range(3000).selectExpr("cast(id AS string) AS partition_key")
+    routed = x.route_by_hash_range(records, shards)
+    wanted = {str(i): int(hashlib.md5(str(i).encode()).hexdigest(), 16) // step for i in range(3000)}
+    assert {r.partition_key: min(r.shard_id, n - 1) for r in routed.collect()} == {k: min(v, n - 1) for k, v in wanted.items()}
+    cover = x.dyadic_cover(shards, n.bit_length() + 2)
+    # a prefix is in the cover of one shard, or of the two whose edge it holds
+    most = cover.groupBy("level", "node").count().agg(F.max("count"), F.count("*")).first()
+    assert most[0] <= 2 and most[1] < 20 * n
+    assert x.route_by_hash_range(records, shards.limit(0)).count() == 0
+
+
 def test_is_aggregated(spark):
     cases = [
         (framed(b"x"), True),

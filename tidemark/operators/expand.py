@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import effective_hash_key
+from tidemark.plans.durable import cut_lineage
 
 # The mark an aggregated record starts with, and the length of its md5 tail.
 AGGREGATE_MAGIC = "F3899AC2"
@@ -15,40 +16,63 @@ SMALLEST_HASH_KEY = "0" * 32
 LARGEST_HASH_KEY = "f" * 32
 
 
+# Bits that a long holds, in whole hex digits.
+MOST_BITS = 60
+
+
+def _leading_bits(hash_key: Column, bits: int) -> Column:
+    """The first ``bits`` bits of 32 hex digits as a number."""
+    return F.shiftright(F.conv(F.substring(hash_key, 1, MOST_BITS // 4), 16, 10).cast("long"), MOST_BITS - bits)
+
+
+def dyadic_cover(shards: DataFrame, bits: int) -> DataFrame:
+    """Each range (shard_id, start_hash, end_hash) as the fewest prefixes of up to ``bits`` bits that cover it: ``level`` bits fewer, ``node``.
+
+    A level adds a prefix at either end at most, so even the whole ring is one row and no range is more than 2 * ``bits``.
+    """
+    low, beyond = _leading_bits(F.col("start_hash"), bits), _leading_bits(F.col("end_hash"), bits) + 1
+    levels = shards.select("shard_id", "start_hash", "end_hash", low.alias("__low"), beyond.alias("__beyond")).where("__low < __beyond")
+    levels = levels.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(bits))))
+    # whole prefixes of this level inside the range: from the first one up to, not with, the last one
+    first, last = F.expr("shiftright(__low + shiftleft(1L, level) - 1, level)"), F.expr("shiftright(__beyond, level)")
+    ends = F.array_compact(F.array(F.when(F.col("__first") % 2 == 1, F.col("__first")), F.when(F.col("__last") % 2 == 1, F.col("__last") - 1)))
+    inside = levels.withColumn("__first", first).withColumn("__last", last).where("__first < __last")
+    return inside.select("shard_id", "start_hash", "end_hash", "level", F.explode(ends).alias("node"))
+
+
 def route_by_hash_range(
     records: DataFrame,
     shards: DataFrame,
     partition_key: str = "partition_key",
     explicit_hash_key: str | None = None,
-    digits: int = 2,
+    digits: int | None = None,
 ) -> DataFrame:
     """Records with every shard whose hash range, both ends included, contains their key.
 
-    ``shards``: shard_id, start_hash, end_hash as 32 hex digits. The range condition gets
-    an equality on the first ``digits`` hex digits, so that beyond broadcast size this is
-    a hash join: each shard is listed under the prefixes it covers, 16^digits at most.
-    Take more digits as the number of shards grows past 16^digits.
+    ``shards``: shard_id, start_hash, end_hash as 32 hex digits. Ranges become dyadic prefixes of mixed length
+    (:func:`dyadic_cover`), and a record looks up its own prefix of each length that occurs, so the join is one equality however many shards
+    there are and however wide. The longest prefix has two bits more than it takes to number the shards, or ``digits`` hex
+    digits; only shards whose edges fall into one such prefix are compared by their whole range.
     """
     keyed = records.withColumn("hash_key", effective_hash_key(partition_key, explicit_hash_key))
-
-    def prefix(hash_key: Column) -> Column:
-        return F.conv(F.substring(hash_key, 1, digits), 16, 10).cast("int")
-
-    listed = shards.select(
-        F.col("shard_id").alias("shard_id"),
-        F.col("start_hash").alias("__start"),
-        F.col("end_hash").alias("__end"),
-        F.explode(F.sequence(prefix(F.col("start_hash")), prefix(F.col("end_hash")))).alias("__prefix"),
-    )
+    bits = 4 * digits if digits else shards.count().bit_length() + 2
+    bits = min(bits, MOST_BITS)
+    names = {"start_hash": "__start", "end_hash": "__end", "level": "__level", "node": "__node"}
+    listed = cut_lineage(dyadic_cover(shards, bits).withColumnsRenamed(names), "cover")
+    # at most one more than the bits
+    levels = sorted(row[0] for row in listed.select("__level").distinct().collect())
+    # a shard_id the records bring along is kept as read_shard_id
+    if "shard_id" in records.columns:
+        keyed = keyed.withColumnRenamed("shard_id", "read_shard_id")
+    asked = keyed.withColumn("__bits", _leading_bits(F.col("hash_key"), bits))
+    asked = asked.withColumn("__asked", F.explode(F.array(*[F.lit(level) for level in levels]).cast("array<int>")))
     inside = (
-        (prefix(F.col("hash_key")) == F.col("__prefix"))
+        (F.col("__asked") == F.col("__level"))
+        & (F.expr("shiftright(__bits, __asked)") == F.col("__node"))
         & (F.col("hash_key") >= F.col("__start"))
         & (F.col("hash_key") <= F.col("__end"))
     )
-    # a shard_id the records bring along is kept as read_shard_id
-    if "shard_id" in records.columns:
-        keyed = keyed.withColumnRenamed("shard_id", "read_shard_id")
-    return keyed.join(listed, inside).drop("__start", "__end", "__prefix")
+    return asked.join(listed, inside).drop(*names.values(), "__bits", "__asked")
 
 
 def is_aggregated(data: Column | str) -> Column:
