@@ -415,7 +415,7 @@ def _pivots(met: DataFrame, percent: int) -> DataFrame:
     return times.select(F.col("node").alias("a"), "b", "fits", (1000 * F.col("n") >= (100 - percent) * F.col("size")).alias("strong"))
 
 
-BLOCK_ENTRIES, BLOCK_ROWS = 1_000_000, 8_192
+BLOCK_ENTRIES, BLOCK_ROWS = 1_000_000, 2_048
 STRIP_CELLS, DENSE_CELLS = 2_000_000, 4_000_000
 
 
@@ -507,7 +507,9 @@ def _family_links(rows: DataFrame, percent: int) -> DataFrame:
     wanted = ["family", "node", "size", "label", "columns"]
     asks = dealt.where("label <> main").select(*wanted, place("open_blocks").alias("x"), every("blocks").alias("y"), F.lit(True).alias("asks"))
     there = dealt.select(*wanted, every("open_blocks").alias("x"), place("blocks").alias("y"), F.lit(False).alias("asks"))
-    return asks.unionByName(there).groupBy("family", "x", "y").applyInArrow(_family_product(percent), "a long, b long")
+    # stated, because rows that the join left dealt by family alone would pass as dealt by block
+    blocked = asks.unionByName(there).repartition("family", "x", "y")
+    return blocked.groupBy("family", "x", "y").applyInArrow(_family_product(percent), "a long, b long")
 
 
 def _strangers(met: DataFrame, percent: int) -> DataFrame:
