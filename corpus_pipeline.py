@@ -30,7 +30,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``ids`` (packed little-endian unsigned 32-bit), ``n_tokens`` and digests of ids and decoded bytes."""
+    """``doc_id``, ``ids`` (packed little-endian unsigned 32-bit), ``n_tokens`` and digests of ids and decoded bytes; all other columns go."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     decoded = bpe.decode_documents(bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN), ranks, public_tokenizers.PATTERN)
     return bpe.digests(decoded, with_ids=True)
@@ -49,7 +49,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again by the next."""
+    """All stages over ``documents``, each written as Parquet and read again by the next.
+
+    A null or empty text fails the quality rules, so it never comes further; whole texts of any length are worked on. Null doc_id, lang and source
+    are values like any other. Of rows equal in doc_id and text, and of equal texts, one stays after the join, the smallest doc_id (null last). The
+    mix may take a document twice, so a doc_id can have two rows at the end. An empty table gives an empty one; extra columns go along up to the last stage.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = cut_lineage(stage(spark, docs, sf_dir), name.replace(" ", "-"))
