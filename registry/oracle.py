@@ -386,6 +386,20 @@ FROM j WHERE (ok AND op <> 'delete') OR (NOT ok AND alive)""",
        WHEN c.op = 'evict' THEN t.key IS NOT NULL AND t.owner IS NOT DISTINCT FROM c.expected_owner
        ELSE coalesce(t.version = c.expected_version, FALSE) END AS applied
 FROM fx_changes c LEFT JOIN fx_target t ON t.key = c.key""",
+    ),
+    # of two writers on one version the second changes nothing
+    "commit_merge_outcomes": _q(
+        ("fx_target", "fx_changes"),
+        """SELECT c.key, c.op, CASE WHEN c.op = 'create' THEN t.key IS NULL WHEN c.op = 'delete' THEN TRUE
+       WHEN c.op = 'evict' THEN t.key IS NOT NULL AND t.owner IS NOT DISTINCT FROM c.expected_owner
+       ELSE coalesce(t.version = c.expected_version, FALSE) END AS first_applied, FALSE AS late_applied
+FROM fx_changes c LEFT JOIN fx_target t ON t.key = c.key""",
+    ),
+    "diff_versions": _q(
+        ("fx_snapshot_old", "fx_snapshot_new"),
+        """SELECT coalesce(o.key, n.key) AS key, coalesce(o.version, -1) AS old_version, coalesce(n.version, -1) AS new_version,
+  CASE WHEN o.key IS NULL THEN 'added' WHEN n.key IS NULL THEN 'removed' ELSE 'changed' END AS status
+FROM fx_snapshot_old o FULL OUTER JOIN fx_snapshot_new n ON n.key = o.key WHERE o.version IS DISTINCT FROM n.version""",
     ),
     "versioned_merge_ordered": _q(
         ("fx_user_target", "fx_user_changes"),
@@ -475,6 +489,7 @@ FROM c, f WHERE (n = 1 AND owner IS NULL) OR next > us + 259200000000
 }
 
 ORACLE["append_journal_versions"] = ORACLE["stream_journal_versions"]
+ORACLE["commit_merge"] = ORACLE["versioned_merge"]
 ORACLE["unpack_stream"] = ORACLE["unpack_envelopes"]
 ORACLE["scan_records_at_sequence_number"] = ORACLE["start_position_at_sequence_number"]
 ORACLE["scan_records_after_sequence_number"] = ORACLE["start_position_after_sequence_number"]

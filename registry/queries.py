@@ -13,7 +13,7 @@ from tidemark.functions import hashing, sequence, text
 from tidemark.operators import consume, delivery, envelopes, expand, journal, lineage, monitor, state
 from tidemark.plans.durable import work_folder
 from tidemark.session import ROCKSDB_STATE_STORE
-from tidemark.sources import records, sinks, tables
+from tidemark.sources import records, sinks, tables, versions
 from tidemark.streaming import batches as stream_batches
 from tidemark.streaming import delivery as stream_delivery
 from tidemark.streaming import journal as stream_journals
@@ -628,6 +628,34 @@ def versioned_merge_outcomes(spark, sf):
     return _merge(spark, sf)[1]
 
 
+def _committed(spark, sf) -> tuple[str, DataFrame]:
+    """A table of versions after the changes' commit and that of a second writer on the same version, and the first one's outcomes."""
+    folder, changes = work_folder(spark, "versions"), view(spark, sf, "fx_changes")
+    versions.create_versions(view(spark, sf, "fx_target"), folder)
+    outcomes = versions.commit_merge(changes, folder, ["amount"], base=0)
+    late = versions.commit_merge(changes, folder, ["amount"], base=0)
+    return folder, outcomes.withColumnRenamed("applied", "first_applied").join(late.withColumnRenamed("applied", "late_applied"), ["key", "op"])
+
+
+@query
+def commit_merge(spark, sf):
+    return versions.read_version(spark, _committed(spark, sf)[0]).select("key", "version", _filled("owner", "").alias("owner"), "amount")
+
+
+@query
+def commit_merge_outcomes(spark, sf):
+    return _committed(spark, sf)[1]
+
+
+@query
+def diff_versions(spark, sf):
+    folder = work_folder(spark, "versions")
+    versions.create_versions(view(spark, sf, "fx_snapshot_old"), f"{folder}/old")
+    versions.create_versions(view(spark, sf, "fx_snapshot_new"), f"{folder}/new")
+    diff = versions.diff_versions(spark, (f"{folder}/old", None), (f"{folder}/new", None))
+    return diff.select("key", _filled("old_version").alias("old_version"), _filled("new_version").alias("new_version"), "status")
+
+
 def _merge_ordered(spark, sf) -> tuple[DataFrame, DataFrame]:
     return state.versioned_merge_ordered(
         view(spark, sf, "fx_user_target"), view(spark, sf, "fx_user_changes"), "seq", ["amount"]

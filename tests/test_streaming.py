@@ -85,6 +85,21 @@ def test_appended_versions_with_replays_and_a_restart(spark, said, tmp_path, row
     assert take() == sorted([*expected, *more])
 
 
+def test_positions_are_compacted(spark, tmp_path, rows):
+    said, out, sizes = str(tmp_path / "in"), str(tmp_path / "o"), []
+    for step in range(9):
+        new = [(e, 2 * step + i, f"m{step}") for e in (step % 3, 10 + step % 2, 40) for i in range(2)]
+        spark.createDataFrame(new, SAID).coalesce(1).write.mode("append").parquet(said)
+        source = stream(spark, said, SAID)
+        stream_journal.append_journal_versions(source, out, str(tmp_path / "c"), compact_every=2).awaitTermination()
+        sizes.append(len(list((tmp_path / "o" / "state").glob("*_id=*"))))
+        touched = spark.read.parquet(f"{out}/state/batch_id={step}")
+        assert touched.count() == 3
+    expected = rows(journal.journal_versions(spark.read.parquet(said)), "entity_id", "seq", "version", "line")
+    assert rows(spark.read.parquet(out + "/versions"), "entity_id", "seq", "version", "line") == expected
+    assert max(sizes) <= 5 and sizes[-1] == sizes[-3]
+
+
 def test_snapshots_per_batch(spark, said, tmp_path, rows):
     out = str(tmp_path / "o")
     state = stream_journal.stream_journal(stream(spark, said, SAID))

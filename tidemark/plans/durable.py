@@ -37,3 +37,22 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     path = work_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system that ``path`` is on, as Spark itself reaches it."""
+    return hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in ``folder``, sorted; none if it does not exist."""
+    files, place = file_system(spark, folder), hadoop_path(spark, folder)
+    return sorted(status.getPath().getName() for status in files.listStatus(place)) if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    file_system(spark, path).delete(hadoop_path(spark, path), True)
