@@ -160,6 +160,63 @@ def test_url_rules(spark):
     assert found[None].rule == "org/"
 
 
+def plain_rules(baskets, least, confidence):
+    """All least combinations of tokens, by trying every one that a bad page holds."""
+    held = {c for tokens, bad in baskets if bad for size in range(1, len(tokens) + 1) for c in itertools.combinations(sorted(tokens), size)}
+    good = {}
+    for tokens in held:
+        marks = [bad for own, bad in baskets if set(tokens) <= own]
+        if sum(marks) >= least and sum(marks) >= confidence * len(marks):
+            good[tokens] = sum(marks) / len(marks)
+    return {t: c for t, c in good.items() if not any(set(o) < set(t) for o in good)}
+
+
+def labelled_pages(spark, urls):
+    pages = spark.createDataFrame([(k, url) for k, (url, _) in enumerate(urls)], "page_id long, url string")
+    return pages, spark.createDataFrame([(k, 1 - bad, 0) for k, (_, bad) in enumerate(urls)], "doc_id long, quality long, toxic long")
+
+
+def test_url_rules_equal_all_least_combinations(spark):
+    rng = random.Random(5)
+    urls = []
+    for _ in range(150):
+        keys = rng.sample("abcdefg", 4)
+        bad = int({"a", "b"} <= set(keys) or ("c" in keys and rng.random() < 0.7) or rng.random() < 0.1)
+        urls.append((f"http://h{rng.randrange(3)}.com/?" + "&".join(f"{k}=1" for k in keys), bad))
+    pages, labels = labelled_pages(spark, urls)
+    tokens = {r.page_id: set(r.t) for r in pages.select("page_id", url_rules.url_tokens(F.col("url")).alias("t")).collect()}
+    # h:x and d:x are on the same pages and count as one
+    baskets = [({t for t in tokens[k] if not t.startswith("h:")}, bad) for k, (_, bad) in enumerate(urls)]
+    mined = url_rules.mine_rules(pages, labels)
+    rules = {tuple(sorted(r.tokens)): r.confidence for r in mined.collect()}
+    expected = plain_rules(baskets, 5, 0.6)
+    assert rules.keys() == expected.keys() and len(rules) > 3
+    assert all(abs(rules[t] - expected[t]) < 1e-12 for t in rules)
+    verdicts = {r.page_id: r.verdict for r in url_rules.judge(pages, [], mined).collect()}
+    assert verdicts == {k: "block" if any(set(t) <= tokens[k] for t in expected) else "allow" for k in tokens}
+
+
+def test_url_rules_of_many_keys_end(spark):
+    rng = random.Random(6)
+    urls = [("http://x.com/?" + "&".join(f"k{k}=1" for k in range(28) if rng.random() < 0.5), int(rng.random() < 0.4)) for _ in range(120)]
+    mined = url_rules.mine_rules(*labelled_pages(spark, [*urls, (None, 1), ("", 0), ("http://y.com/" + "a/" * 5_000, 1)]))
+    assert all(len(r.tokens) > 0 for r in mined.collect())
+    assert url_rules.judge(spark.createDataFrame([], "page_id long, url string"), [], mined).count() == 0
+
+
+def test_url_rules_hold_on_other_pages(spark):
+    rng = random.Random(7)
+    urls = []
+    for _ in range(400):
+        host, ad = f"s{rng.randrange(40)}", rng.random() < 0.3
+        urls.append((f"http://{host}.com/a{rng.randrange(9)}" + ("?aff=1&pop=2" if ad else "?aff=1" if rng.random() < 0.6 else "?q=1"), int(ad ^ (rng.random() < 0.05))))
+    pages, labels = labelled_pages(spark, urls)
+    mined = url_rules.mine_rules(pages, labels.where("doc_id < 250"))
+    verdicts = {r.page_id: r.verdict for r in url_rules.judge(pages, [], mined).collect()}
+    right = [(verdicts[k] == "block") == bool(bad) for k, (_, bad) in enumerate(urls) if k >= 250]
+    assert sum(right) / len(right) > 0.9
+
+
 def test_url_rules_are_mined(spark):
     pages, labels = [], []
     for k in range(400):

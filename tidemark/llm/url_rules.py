@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -42,35 +43,63 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(F.array_compact(single), in_path, keys))
 
 
-def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6) -> DataFrame:
+def with_anchor(rules: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rules`` with the rarest token of each as ``anchor``; ``sizes``: token, n."""
+    rare = rules.select(F.col("tokens").alias("all"), F.explode("tokens").alias("token")).join(sizes.select("token", "n"), "token")
+    anchors = rare.groupBy("all").agg(F.min(F.struct("n", "token")).alias("m")).select(F.col("all").alias("tokens"), F.col("m.token").alias("anchor"))
+    return rules.join(anchors, "tokens")
+
+
+def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, min_pages: int = 5) -> DataFrame:
     """Token combinations of labelled URLs that mean a bad page: ``tokens``, ``anchor`` (the rarest of them), ``confidence``, ``support``.
 
     A page is bad if its label says toxic or of low quality; labels join pages on doc_id = page_id, null ids and labels of
-    neither kind are left out. FP-growth runs over the whole labelled table. Tokens that occur on exactly the same pages count as one, so
-    copies of a URL don't multiply combinations. Rules below ``min_support`` (of all labelled pages) or ``min_confidence`` are pruned.
+    neither kind are left out. A rule holds on at least ``min_pages`` bad pages, and on ``min_support`` of all labelled ones, and of the
+    labelled pages with its tokens ``min_confidence`` are bad. Rules are minimal: as one that fits is enough, none contains another.
+    So FP-growth runs over the bad pages only, without tokens that are rules by themselves, and tokens on exactly the same
+    labelled pages are one; neither implied tokens nor copies of a URL multiply combinations. Pages of all kinds are then counted
+    for each combination. No labelled or no bad page gives no rules; long URLs are taken whole.
     """
     bad = F.max(((F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0)).cast("int"))
     judged = labels.where("toxic is not null or quality is not null").groupBy(F.col("doc_id").alias("page_id")).agg(bad.alias("bad"))
-    labelled = pages.join(judged, "page_id").select("page_id", "bad", url_tokens(F.col("url")).alias("tokens"))
+    labelled = pages.join(judged, "page_id").select("bad", url_tokens(F.col("url")).alias("tokens"))
     labelled = cut_lineage(labelled.withColumn("row", F.monotonically_increasing_id()), "labelled")
-    n = labelled.count()
-    empty = labelled.sparkSession.createDataFrame([], "tokens array<string>, anchor string, confidence double, support double")
-    if not n:
-        return empty
-    found = labelled.select("row", F.explode("tokens").alias("token"))
-    stats = found.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("pages"))
-    stats = cut_lineage(stats.where(F.col("n") >= min_support * n), "url-tokens")
-    kinds = stats.groupBy("n", "pages").agg(F.min("token").alias("item"))
-    items = stats.join(kinds, ["n", "pages"]).select("token", "item")
-    baskets = found.join(items, "token").groupBy("row").agg(F.collect_set("item").alias("items"))
-    sign = F.when(F.col("bad") == 1, F.array(F.lit("bad"))).otherwise(F.array().cast("array<string>"))
-    baskets = labelled.join(baskets, "row", "left").select(F.concat(F.coalesce("items", F.array().cast("array<string>")), sign).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == "bad"))
-    rules = cut_lineage(rules.select(F.col("antecedent").alias("tokens"), "confidence", "support"), "url-rules")
-    rare = rules.select(F.col("tokens").alias("all"), F.explode("tokens").alias("token")).join(stats.select("token", "n"), "token")
-    anchors = rare.groupBy("all").agg(F.min(F.struct("n", "token")).alias("m")).select(F.col("all").alias("tokens"), F.col("m.token").alias("anchor"))
-    return cut_lineage(rules.join(anchors, "tokens").select("tokens", "anchor", "confidence", "support"), "url-index")
+    n, n_bad = labelled.agg(F.count(F.lit(1)), F.sum("bad")).first()
+    least = max(min_pages, math.ceil(min_support * n))
+    if (n_bad or 0) < least:
+        return labelled.sparkSession.createDataFrame([], "tokens array<string>, anchor string, confidence double, support double")
+    found = labelled.select("row", "bad", F.explode("tokens").alias("token"))
+    counts = [F.count(F.lit(1)).alias("n"), F.sum("bad").alias("n_bad"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("pages")]
+    stats = cut_lineage(found.groupBy("token").agg(*counts).where(F.col("n_bad") >= least), "url-tokens")
+    kinds = stats.groupBy("n", "n_bad", "pages").agg(F.min("token").alias("token"))
+    sure = F.col("n_bad") >= min_confidence * F.col("n")
+    single = kinds.where(sure).select(F.array("token").alias("tokens"), "n", "n_bad")
+
+    items = kinds.where(~sure).select("token")
+    baskets = cut_lineage(found.join(items, "token").groupBy("row", "bad").agg(F.collect_set("token").alias("items")), "baskets")
+    # half a page less, so that rounding does not raise the least count
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_bad).fit(_bad_baskets(labelled, baskets))
+    several = model.freqItemsets.where(F.size("items") > 1).select(F.sort_array("items").alias("tokens"), F.col("freq").alias("n_bad"))
+    several = cut_lineage(with_anchor(several, stats), "combinations")
+    asked = baskets.select(F.col("items").alias("own"), F.explode("items").alias("anchor"))
+    held = asked.join(several, "anchor").where(F.size(F.array_except("tokens", "own")) == 0)
+    several = held.groupBy("tokens", "anchor", "n_bad").agg(F.count(F.lit(1)).alias("n")).where(sure)
+    several = cut_lineage(several, "combined")
+    # a rule is dropped if a smaller one is in it; that too is found by the smaller one's anchor
+    larger = several.select("tokens", F.explode("tokens").alias("anchor"))
+    smaller = several.select("anchor", F.col("tokens").alias("part"))
+    inside = (F.size("part") < F.size("tokens")) & (F.size(F.array_except("part", "tokens")) == 0)
+    implied = larger.join(smaller, "anchor").where(inside).select("tokens").distinct()
+    minimal = several.join(implied, "tokens", "left_anti").select("tokens", "anchor", "n", "n_bad")
+    rules = minimal.unionByName(single.withColumn("anchor", F.col("tokens")[0]))
+    confidence = (F.col("n_bad") / F.col("n")).alias("confidence")
+    return cut_lineage(rules.select("tokens", "anchor", confidence, (F.col("n_bad") / F.lit(n)).alias("support")), "url-index")
+
+
+def _bad_baskets(labelled: DataFrame, baskets: DataFrame) -> DataFrame:
+    """One basket for every bad page, those without a token left too, as the share of pages is taken from their number."""
+    rows = labelled.where("bad = 1").select("row").join(baskets.select("row", "items"), "row", "left")
+    return rows.select(F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def judge(pages: DataFrame, fixed: Sequence[tuple[str, str, str]], mined: DataFrame) -> DataFrame:
