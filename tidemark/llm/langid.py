@@ -235,21 +235,25 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def training_sample(docs: DataFrame, per_language: int = 300, most_chars: int = 30_000) -> list[tuple[str, str]]:
-    """At most ``per_language`` (language, text) of each language, by a hash of the text; texts of over ``most_chars`` are not among them.
+def training_sample(docs: DataFrame, per_language: int = 300, piece: int = 30_000) -> list[tuple[str, str]]:
+    """At most ``per_language`` different (language, text) of each language, by a hash of the text.
 
-    A language's rows are thinned by their hash to a few times the wanted number before any are ranked.
+    Of a text longer than ``piece`` code points a piece of that length is taken, whose place depends on its hash; so texts of any length
+    train. A language's rows are thinned by their hash, to a few times the wanted number of different texts, before any are ranked.
     """
-    usable = docs.where("lang is not null and text is not null").where(~held_out(F.col("doc_id"))).where(F.length("text") <= most_chars)
+    usable = docs.where("lang is not null and text is not null").where(~held_out(F.col("doc_id")))
     usable = usable.select(F.col("lang").cast("string"), F.col("text").cast("string")).withColumn("draw", F.xxhash64("text"))
     # one number per language, of which the model has a column each
-    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().toLocalIterator()}
+    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).toLocalIterator()}
     if not sizes:
         return []
-    shares = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, 4.0 * per_language / n))])
+    shares = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, 4.0 * per_language / max(n, 1)))])
     thinned = usable.where(F.pmod(F.col("draw"), F.lit(1 << 30)) < F.element_at(shares, F.col("lang")) * (1 << 30))
+    spare = F.length("text") - piece
+    first = F.when(spare > 0, F.pmod(F.xxhash64("draw"), F.greatest(spare, F.lit(0)) + 1)).otherwise(0).cast("int") + 1
+    pieces = thinned.select("lang", "draw", F.substring(F.col("text"), first, F.lit(piece)).alias("text"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    chosen = thinned.dropDuplicates(["lang", "draw"]).withColumn("place", place).where(F.col("place") <= per_language)
+    chosen = pieces.dropDuplicates(["lang", "draw"]).withColumn("place", place).where(F.col("place") <= per_language)
     return [(r.lang, r.text) for r in chosen.orderBy("lang", "draw").select("lang", "text").toLocalIterator()]
 
 
