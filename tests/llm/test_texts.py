@@ -58,6 +58,30 @@ def test_weak_secrets_need_their_complement(spark):
     assert found == {1: [], 2: ["weak_id", "weak_secret", "endpoint"], 3: [], 4: [], 5: ["weak_assign"]}
 
 
+def test_linked_credentials(spark):
+    weak = "aB3dE5gH7jK9mN1pQ3sT5vW7yZ9bC1dF3gHx"
+    texts = {
+        1: "see https://example.org/Data/Reports2024/QuarterlySummaryFinalVersion3 for more",
+        2: f"client_id = svc-44821 then {weak} at https://api.example.com/v1 or https://api.example.com/v2",
+        3: f"client_id = svc-44821, see https://example.org/Data/Reports2024/QuarterlySummaryFinalVersion3",
+        4: f"{weak} at https://example.com/x",
+        5: f"client_id = a-12345 account_id = b-12345 {weak} {weak[::-1]}",
+        6: "client_id = svc-44821 " + "y" * 372 + f" {weak} and 0123456789abcdef",
+        7: "client_id = svc-44821 " + "y" * 390 + f" {weak}",
+    }
+    table = spark.createDataFrame([*texts.items(), (8, None), (2, texts[2])], "doc_id long, text string").withColumn("kind", F.lit("x"))
+    linked = collections.Counter((r.doc_id, r.secret.kind, len(r.ids), len(r.endpoints)) for r in secrets.credentials(table).collect())
+    expected = {(2, "weak_secret", 1, 2): 2, (5, "weak_secret", 2, 0): 2, (6, "weak_secret", 1, 0): 1}
+    assert linked == expected
+    found = collections.Counter((r.doc_id, tuple(s["kind"] for s in r.spans)) for r in secrets.scan(table).collect())
+    assert found[2, ("weak_id", "weak_secret", "endpoint", "endpoint")] == 2
+    assert {k for k in found if k[0] in (1, 3, 4, 7, 8)} == {(k, ()) for k in (1, 3, 4, 7, 8)}
+    for r in secrets.scan(table).where("doc_id = 5").collect():
+        assert [s["kind"] for s in r.spans] == ["weak_id", "weak_id", "weak_secret", "weak_secret"]
+        assert texts[5][r.spans[2]["start"] : r.spans[2]["end"]] == weak
+    assert secrets.credentials(table.where("false")).count() == 0
+
+
 @pytest.mark.parametrize("text", ["a@b.c@d.e", "@b.c@d.e x", "a@b.c-d@e.f", "1.2.3.4.5.6.7.8", "000.00300.1.2", "9" * 400 + ".1.1.1", "a" * 3000 + "@x", "+1 5 5 5 (5) 5 5 5 5 5 5-"])
 def test_plain_personal_data_edge_cases(text):
     assert pii.plain_spans(text) == sorted(personal_spans(text))
@@ -253,3 +277,15 @@ def test_mix_of_many_documents_in_narrowed_ranges(spark, monkeypatch):
     monkeypatch.setattr(mixing, "DOCS_PER_RANGE", 3)
     monkeypatch.setattr(mixing, "SLOTS", 7)
     assert sorted(map(str, mixing.mix(docs).collect())) == whole
+
+
+def test_languages_of_long_texts_train(spark):
+    long = [(2 * k + 1, "fr", "le chat dort sur la table et il mange du pain avec nous " * 720) for k in range(40)]
+    short = [(2 * k, "en", "the cat sleeps on the table and it eats some bread with us " * 3) for k in range(40)]
+    copies = [(1000 + k, "de", "die katze liegt auf dem tisch " * 5) for k in range(400)] + [(2000 + k, "de", f"der hund {k} frisst das brot mit uns im garten {k}") for k in range(60)]
+    table = spark.createDataFrame([*long, *short, *copies], "doc_id long, lang string, text string")
+    sample = langid.training_sample(table)
+    counts = collections.Counter(lang for lang, _ in sample)
+    assert counts["fr"] == 1 and counts["de"] > 30 and max(len(t) for _, t in sample) == 30_000
+    found = {r.doc_id: r.lang_pred for r in langid.identify(table).collect()}
+    assert all(found[k] == lang for k, lang, _ in [*long, *short])

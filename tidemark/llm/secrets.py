@@ -1,8 +1,9 @@
 """Secret scan with multipart credential linking, in DataFrame operations only.
 
 Plain kinds are reported wherever they stand. Weak kinds, which mean little alone, are reported only if the parts they lack stand in
-their scope: at most ``SCOPE`` code points between the parts' starts. The join of the intervals is a sorted sweep: for each part the
-nearest identifier, secret and endpoint before and after it, so no pairs of parts are formed.
+their scope: at most ``SCOPE`` code points between the parts' starts, and no overlap. Secrets meet identifiers and endpoints in
+an interval join: parts of a text are dealt by stretches of ``SCOPE`` code points, and a secret asks its own stretch and both beside it. As
+matches of a kind do not overlap, what a stretch can hold is bounded, however many parts a text has.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.durable import cut_lineage
+
 SCOPE = 400
 
 # Kinds in the order in which spans of one start are listed, with their patterns; plain kinds first.
@@ -61,13 +64,11 @@ def _found(kind: str, pattern: str) -> Column:
     return F.when(text.rlike(HINTS[kind]) & (F.size(whole) > 0), zipped).otherwise(none)
 
 
-def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """Per row of ``docs``: ``doc_id`` and ``spans``, an array of (start, order, kind, end), sorted; positions count code points.
+IDS, SECRETS = ("access", "weak_id"), ("assign", "hex", "weak_assign", "weak_secret")
 
-    Matches of a kind are the leftmost ones that do not overlap; one that fails its kind's length is dropped, or kept as a weak candidate.
-    Weak candidates stay only if complemented in their scope: an identifier by a secret, a secret by an identifier or endpoint, an endpoint
-    by both. A null or empty text has no spans. Rows, repeated ones and those with a null doc_id too, all stay; other columns are ignored.
-    """
+
+def _parts(docs: DataFrame) -> DataFrame:
+    """All matches of ``docs`` as rows: row, doc_id, kind, start, end; a row without kind for a document that has none."""
     patterns = {k: p for k, p in (PLAIN | WEAK).items() if k != "weak_assign"}
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     parts = rows.select("row", "doc_id", F.explode_outer(F.concat(*[_found(k, p) for k, p in patterns.items()])).alias("p"))
@@ -76,30 +77,53 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     along = Window.partitionBy("row", "pattern").orderBy("place")
     placed = parts.withColumn("end", F.sum(F.col("gap") + F.col("length")).over(along)).withColumn("start", F.col("end") - F.col("length"))
     placed = placed.where("kind is not null or pattern is null or place = 0")
-    order = Window.partitionBy("row").orderBy("start", "end", "kind")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(1, Window.unboundedFollowing)
-
-    def near(*kinds: str) -> Column:
-        start = F.when(F.col("kind").isin(*kinds), F.col("start"))
-        ahead = F.first(start, ignorenulls=True).over(after)
-        behind = F.last(start, ignorenulls=True).over(before)
-        return F.coalesce(F.col("start") - behind <= scope, F.lit(False)) | F.coalesce(ahead - F.col("start") <= scope, F.lit(False))
-
-    linked = (
-        placed.withColumn("id", near("access", "weak_id"))
-        .withColumn("secret", near("assign", "hex", "weak_assign", "weak_secret"))
-        .withColumn("place_of_use", near("endpoint"))
-    )
-    reported = (
-        F.col("kind").isin(*PLAIN)
-        | ((F.col("kind") == "weak_id") & F.col("secret"))
-        | (F.col("kind").isin("weak_assign", "weak_secret") & (F.col("id") | F.col("place_of_use")))
-        | ((F.col("kind") == "endpoint") & F.col("id") & F.col("secret"))
-    )
+    # a path is no secret, whatever it looks like
+    earlier = Window.partitionBy("row").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    within = (F.col("kind") == "weak_secret") & (F.max(F.when(F.col("kind") == "endpoint", F.col("end"))).over(earlier) > F.col("start"))
+    kind = F.when(F.coalesce(within, F.lit(False)), None).otherwise(F.col("kind"))
+    return cut_lineage(placed.select("row", "doc_id", kind.alias("kind"), F.col("start").cast("int"), F.col("end").cast("int")), "parts")
+
+
+def _linked(parts: DataFrame, scope: int) -> DataFrame:
+    """A row per secret with parts in its scope: row, doc_id, secret, ids, endpoints (structs of start, end, kind, sorted)."""
+    span = F.struct("start", "end", "kind")
+    stretch = F.floor(F.col("start") / scope)
+    secrets = parts.where(F.col("kind").isin(*SECRETS)).select("row", "doc_id", span.alias("secret"), F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("stretch"))
+    partners = parts.where(F.col("kind").isin(*IDS, "endpoint")).select("row", span.alias("part"), stretch.alias("stretch"))
+    near = F.abs(F.col("part.start") - F.col("secret.start")) <= scope
+    apart = (F.col("part.end") <= F.col("secret.start")) | (F.col("secret.end") <= F.col("part.start"))
+    met = secrets.join(partners, ["row", "stretch"]).where(near & apart)
+    of = lambda test: F.sort_array(F.collect_list(F.when(test, F.col("part"))))
+    place = F.col("part.kind") == "endpoint"
+    linked = met.groupBy("row", "doc_id", "secret").agg(of(~place).alias("ids"), of(place).alias("endpoints"))
+    # a blob of signs is a secret only beside an identifier; a word that names one is enough for an endpoint
+    return linked.where((F.size("ids") > 0) | ~F.col("secret.kind").isin("weak_secret", "hex"))
+
+
+def credentials(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """Linked credentials: ``doc_id``, ``secret`` and the ``ids`` and ``endpoints`` in its scope, as (start, end, kind), sorted.
+
+    One row per secret that has a complement, of plain kinds too: an identifier, or for secrets that their text names an endpoint.
+    """
+    return _linked(_parts(docs), scope).drop("row")
+
+
+def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """Per row of ``docs``: ``doc_id`` and ``spans``, an array of (start, order, kind, end), sorted; positions count code points.
+
+    Matches of a kind are the leftmost ones that do not overlap; one that fails its kind's length is dropped, or kept as a weak candidate.
+    Weak candidates stay only as parts of ``credentials``, an endpoint only of one with an identifier. A null or empty text has no
+    spans. Rows, repeated ones and those with a null doc_id too, all stay; other columns are ignored. An empty table gives no rows.
+    """
+    parts = _parts(docs)
+    linked = cut_lineage(_linked(parts, scope), "credentials")
+    used = F.concat(F.array("secret"), "ids", F.when(F.size("ids") > 0, F.col("endpoints")).otherwise(F.slice("endpoints", 1, 0)))
+    confirmed = linked.select("row", F.explode(used).alias("p")).select("row", "p.*").where(F.col("kind").isin(*WEAK)).distinct()
+    marked = parts.join(confirmed.withColumn("linked", F.lit(True)), ["row", "kind", "start", "end"], "left")
     place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     span = F.struct("start", place.cast("int").alias("order"), "kind", "end")
-    return linked.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(F.when(reported, span))).alias("spans")).drop("row")
+    reported = F.col("kind").isin(*PLAIN) | F.col("linked")
+    return marked.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(F.when(reported, span))).alias("spans")).drop("row")
 
 
 def joined(spans: Column) -> Column:
