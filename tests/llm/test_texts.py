@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -106,6 +107,63 @@ def test_context_spans_are_added(spark):
     assert found[9][0][0] == "email"
 
 
+def test_unseen_identifiers_are_found(spark):
+    rng = random.Random(8)
+    seeds = [f"if lost please phone +1 (555) 555-{1000 + 7 * k} now" for k in range(12)] + [f"for help write to user{k}@mail.example.com today" for k in range(12)]
+    noise = [f"in the years {1900 + k}-{1950 + k} the well-{chr(97 + k % 26)}{chr(97 + k // 26)} town {'x' * 200}{k} had 12345{k} people" for k in range(30)]
+    planted = {
+        "Sie: please phone 555-0142 now": ["555-0142"],
+        "do please phone 020 7946 0011 now, or not": ["020 7946 0011"],
+        "or write to jane_at_home today": ["jane_at_home"],
+        "phone 555-0142 is what stood there": ["555-0142"],  # known from its other place
+        "please see file-0142 now": [],
+        "the phone well-ca now": [],
+        "please phone 4111 1111 1111 1112 now": [],  # the form of a card, but not one
+        "": [],
+    }
+    texts = [*seeds, *noise, *planted]
+    rng.shuffle(texts)
+    table = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (900, None)], "doc_id long, text string")
+    found = pii.find(table).collect()
+    assert len(found) == len(texts) + 2
+    for r in found:
+        if r.doc_id is not None and r.doc_id < 900:
+            text = texts[r.doc_id]
+            assert [text[s["start"] : s["end"]] for s in r.spans if s["kind"] == "context"] == planted.get(text, []), text
+    counts = {r.doc_id: (r.n_context, r.n_phone) for r in pii.digests(pii.find(table)).collect()}
+    assert counts[texts.index("Sie: please phone 555-0142 now")] == (1, 0) and counts[texts.index(seeds[0])] == (0, 1)
+
+
+def test_scores_equal_plain_ones(spark):
+    rng = random.Random(9)
+    edges = {(f"p{rng.randrange(12)}", i): 1.0 for i in range(60) for _ in range(3)} | {(f"shape {i % 4}", i): 0.5 for i in range(60)}
+    seeds = {i for i in range(60) if rng.random() < 0.6}
+    scores = {i: float(i in seeds) for i in range(60)}
+    for _ in range(pii.ROUNDS):
+        new = {}
+        for i in range(60):
+            said, weights, vouched = 0.0, 0.0, 0
+            for (p, own), weight in edges.items():
+                others = [scores[j] for q, j in edges if q == p and j != i]
+                if own == i and len(others) >= pii.MIN_SEEDS:
+                    sure = sum(others) / len(others) if sum(o >= 0.5 for o in others) >= pii.MIN_SEEDS else 0.0
+                    said, weights, vouched = said + weight * sure, weights + weight, vouched + (weight == 1 and sure >= 0.5)
+            new[i] = 1.0 if i in seeds else said / weights if vouched else 0.0
+        scores = new
+    table = spark.createDataFrame([(p, i, int(i in seeds), w) for (p, i), w in edges.items()], "pattern string, instance long, seed int, weight double")
+    found = {r.instance: r.score for r in pii.score_instances(table).collect()}
+    assert found.keys() == scores.keys() and all(abs(found[i] - scores[i]) < 1e-9 for i in found)
+
+
+def test_words_around():
+    text = "y" * 500 + " One, (two) x12345: " + "z" * 300 + " end"
+    at = text.index("x12345")
+    assert pii.around(text, at, at + 6) == ("one", "two", "z" * 300)
+    assert pii.around(text, 0, 500) == ("", "", "one") and pii.around("abc", 0, 3) == ("", "", "")
+    assert pii.around(text, len(text) - 3, len(text)) == ("x12345", "z" * 300, "")
+    assert len(set(pii.features(text, at, at + 6))) == 4 and all(len(f) <= 100 for f in pii.features(text, 0, 500))
+
+
 def test_redaction(docs):
     found = {r.doc_id: (r.text, r.n_chars) for r in pii.redacted_documents(docs).collect()}
     assert found[12][0] == "mail [email] from [ip] or [phone], card [card], bad 300.1.1.1"

@@ -1,9 +1,9 @@
 """Personal data: plain patterns, and identifiers that their contexts give away.
 
-The plain patterns' matches are the seeds. A lexical pattern is the word before an identifier and the identifier's shape (digits as 0,
-letters as a or A, runs as one). Patterns and instances are a graph: a pattern is as good as the share of its instances known
-to be personal, an instance as its patterns say. Spark scores the graph in rounds, and the identifiers which the
-patterns above the threshold hold are reported besides the plain matches.
+The plain patterns' matches are the seeds. Identifiers stand in lexical patterns: the word before, the two words before, the word before with
+the word after; their shape (digits as 0, letters as a or A, runs as one) is a feature beside these. Features and instances are a graph.
+A feature is as good as the share of its other instances known to be personal, an instance as the mean of its features says;
+Spark scores the graph in rounds. Instances that two lexical patterns or more vouch for are reported wherever they stand.
 """
 
 from __future__ import annotations
@@ -28,11 +28,17 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-# an identifier that no plain pattern need know: a word with two digits at least, or with a digit and an inner sign
-CANDIDATE = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
+# an identifier that no plain pattern need know: numbers in several words, or a word with a digit or an inner sign
+NUMBERS = re.compile(r"(?<![^\x20\x09-\x0D])[+(]?[0-9][0-9().-]*+(?:\x20[0-9(][0-9().-]*+){1,4}(?![^\x20\x09-\x0D])")
+CANDIDATE = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@_./:#=+-]*+[0-9@_./:#=+-][^\x20\x09-\x0D]*+")
+FORM = re.compile(r"[0-9]|[^\W_][@_./:#=+-][^\W_]")
+# numbers of a plain kind's form which failed its test are not candidates
+FAILED = re.compile(r"[0-9](?:[\x20-]?[0-9]){13,}|[0-9]+(?:\.[0-9]+){3}")
 EDGE = ".,;:!?()[]{}<>\"'"
 
-MIN_SEEDS, MIN_CONFIDENCE, ROUNDS = 3, 0.8, 3
+LEAST_CHARS = 6
+MIN_SEEDS, MIN_CONFIDENCE, MIN_PATTERNS, ROUNDS = 3, 0.7, 2, 3
+SHAPE_WEIGHT = 0.5
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -76,40 +82,77 @@ def plain_spans(text: str) -> list[tuple[int, int, str, int]]:
 def shape(word: str) -> str:
     """Digits as 0, letters as a or A, other characters as they are; runs of one sign as one."""
     signs = re.sub(r"[0-9]+", "0", word)
-    signs = re.sub(r"[^\W\d_A-Z]+", "a", re.sub(r"[A-Z]+", "A", signs))
-    return signs[:40]
-
+    return re.sub(r"[^\W\d_A-Z]+", "a", re.sub(r"[A-Z]+", "A", signs))
+
+
+def _word(word: str) -> str:
+    return word.strip(EDGE).lower()
+
+
+def around(text: str, start: int, end: int) -> tuple[str, str, str]:
+    """The two words before ``start`` and the one after ``end``, whole, lower-cased, without outer punctuation; empty at a text's ends."""
+    window = 64
+    # with a third word before them the last two are whole
+    while len(before := text[max(0, start - window) : start].split()) < 3 and window < start:
+        window *= 4
+    window = 32
+    while len(after := text[end : end + window].split(None, 2)) < 3 and end + window < len(text):
+        window *= 4
+    # what is left of the identifier's own word is not the next one
+    if after and end < len(text) and not text[end].isspace():
+        after = after[1:]
+    before = ["", "", *before]
+    return _word(before[-2]), _word(before[-1]), _word(after[0]) if after else ""
+
+
+def features(text: str, start: int, end: int) -> list[str]:
+    """Names of the lexical patterns that an identifier stands in, and last of its shape; long names as their digests."""
+    earlier, word, later = around(text, start, end)
+    names = [f"l:{word} _", f"l:{earlier} {word} _", f"l:{word} _ {later}", f"s:{shape(text[start:end])}"]
+    return [n if len(n) <= 100 else f"{n[:2]}#{xxhash.xxh3_128_hexdigest(n)}" for n in names]
+
+
+def other_spans(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Spans of candidates outside ``taken`` (sorted spans): first numbers in several words, then single words."""
+    if not FORM.search(text):
+        return
+
+    def free(spans: list[tuple[int, int]], used: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        at, last = 0, 0
+        for a, b in spans:
+            while at < len(used) and used[at][0] < b:
+                last = max(last, used[at][1])
+                at += 1
+            if last <= a:
+                yield a, b
 
-def cue(text: str, start: int) -> str:
-    """The word before ``start``, lower-cased, without outer punctuation; empty at a text's start."""
-    before = text[max(0, start - 80) : start].split()
-    return before[-1].strip(EDGE).lower()[:40] if before else ""
+    several = [m.span() for m in NUMBERS.finditer(text) if sum(map(str.isdigit, m[0])) >= LEAST_CHARS] if DIGITS.search(text) else []
+    several = list(free(several, taken))
+    words = []
+    for m in CANDIDATE.finditer(text):
+        word = m[0]
+        a, b = m.start() + len(word) - len(word.lstrip(EDGE)), m.start() + len(word.rstrip(EDGE))
+        if b - a >= LEAST_CHARS and FORM.search(text, a, b):
+            words.append((a, b))
+    for a, b in [*several, *free(words, sorted([*taken, *several]))]:
+        if not FAILED.fullmatch(text, a, b):
+            yield a, b
 
 
-def candidates(text: str, spans: list[tuple[int, int, str, int]]) -> list[tuple[str, int, int, int, bool]]:
-    """(pattern, instance, start, end, seed) of a text's identifiers: the plain matches, and other words with digits beside them."""
-    found = [(f"{cue(text, a)} {shape(text[a:b])}", xxhash.xxh3_64_intdigest(text[a:b]) >> 1, a, b, True) for a, _, _, b in spans]
-    ends = sorted((a, b) for a, _, _, b in spans)
-    at = 0
-    if DIGITS.search(text):
-        for m in CANDIDATE.finditer(text):
-            word = m[0]
-            left = len(word) - len(word.lstrip(EDGE))
-            a, b = m.start() + left, m.start() + len(word.rstrip(EDGE))
-            while at < len(ends) and ends[at][1] <= a:
-                at += 1
-            if b - a >= 6 and not (at < len(ends) and ends[at][0] < b):
-                found.append((f"{cue(text, a)} {shape(text[a:b])}", xxhash.xxh3_64_intdigest(text[a:b]) >> 1, a, b, False))
-    return found
+def candidates(text: str, spans: list[tuple[int, int, str, int]]) -> list[tuple[list[str], int, int, int, bool]]:
+    """(features, instance, start, end, seed) of a text's identifiers: the plain matches, and what else may be one."""
+    taken = sorted((a, b) for a, _, _, b in spans)
+    found = [(a, b, True) for a, b in taken] + [(a, b, False) for a, b in other_spans(text, taken)]
+    return [(features(text, a, b), xxhash.xxh3_64_intdigest(text[a:b]) >> 1, a, b, seed) for a, b, seed in found]
 
 
 FOUND = (
     "row long, doc_id long, tie long, spans array<struct<start:int,order:int,kind:string,end:int>>, "
-    "items array<struct<pattern:string,instance:long,start:int,end:int,seed:boolean>>"
+    "items array<struct<features:array<string>,instance:long,start:int,end:int,seed:boolean>>"
 )
 SPAN_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("order", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
 ITEM_ARROW = pa.list_(
-    pa.struct([("pattern", pa.string()), ("instance", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("seed", pa.bool_())])
+    pa.struct([("features", pa.list_(pa.string())), ("instance", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("seed", pa.bool_())])
 )
 
 
@@ -122,30 +165,62 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text = text or ""
                 mine = plain_spans(text)
                 spans.append([dict(zip(("start", "order", "kind", "end"), s, strict=True)) for s in mine])
-                items.append([dict(zip(("pattern", "instance", "start", "end", "seed"), c, strict=True)) for c in candidates(text, mine)])
+                items.append([dict(zip(("features", "instance", "start", "end", "seed"), c, strict=True)) for c in candidates(text, mine)])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(spans, SPAN_ARROW), pa.array(items, ITEM_ARROW)], ["row", "doc_id", "tie", "spans", "items"]
             )
 
 
-def score_patterns(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS) -> DataFrame:
-    """``pattern``, ``confidence`` and ``known`` of the graph ``edges`` (pattern, instance, n, seed: 1 if the instance is a plain match).
+def _judged(edges: DataFrame, scores: DataFrame, min_seeds: int) -> tuple[DataFrame, DataFrame]:
+    """Confidences of patterns by the scores of their instances, and the new scores of instances by their patterns."""
+    known = F.col("score") >= 0.5
+    sums = [F.sum("score").alias("s"), F.count(F.lit(1)).alias("n"), F.sum(known.cast("int")).alias("known")]
+    patterns = cut_lineage(edges.join(scores.select("instance", "score"), "instance").groupBy("pattern").agg(*sums), "patterns")
+    # what an instance itself adds to a pattern does not speak for it
+    met = edges.join(patterns, "pattern").join(scores.select("instance", "score"), "instance")
+    others = F.col("known") - known.cast("int")
+    sure = F.when(others >= min_seeds, (F.col("s") - F.col("score")) / (F.col("n") - 1)).otherwise(0.0)
+    met = met.where(F.col("n") > min_seeds).withColumn("sure", sure)
+    lexical = F.col("weight") == 1
+    judged = met.groupBy("instance").agg(
+        (F.sum(F.col("sure") * F.col("weight")) / F.sum("weight")).alias("mean"),
+        F.count_if(lexical & (F.col("sure") >= 0.5)).alias("vouched"),
+    )
+    seeds = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
+    vouched = F.coalesce("vouched", F.lit(0))
+    score = F.when(F.col("seed") == 1, 1.0).when(vouched > 0, F.col("mean")).otherwise(0.0)
+    new = seeds.join(judged, "instance", "left").select("instance", "seed", score.alias("score"), vouched.alias("vouched"))
+    return patterns, cut_lineage(new, "instances")
 
-    A pattern's confidence is the mean score of its different instances, but 0 while fewer than ``min_seeds`` of them score
-    0.5 or more. An instance's score is 1 for a seed, else one less the product of its patterns' doubts. Every round is two aggregates.
-    """
+
+def _scored(edges: DataFrame, rounds: int, min_seeds: int) -> tuple[DataFrame, DataFrame]:
+    if "weight" not in edges.columns:
+        edges = edges.withColumn("weight", F.lit(1.0))
+    edges = edges.select("pattern", "instance", "seed", "weight")
     scores = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
     patterns = None
-    for step in range(rounds):
-        joined = edges.join(scores, "instance")
-        patterns = joined.groupBy("pattern").agg(F.avg("score").alias("mean"), F.sum((F.col("score") >= 0.5).cast("int")).alias("known"))
-        patterns = patterns.select("pattern", F.when(F.col("known") >= min_seeds, F.col("mean")).otherwise(0.0).alias("confidence"), "known")
-        patterns = cut_lineage(patterns, "patterns")
-        if step < rounds - 1:
-            doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9))))
-            scores = edges.join(patterns, "pattern").groupBy("instance").agg(F.greatest(F.max("seed"), 1 - F.exp(doubt)).alias("score"))
-            scores = cut_lineage(scores, "instances")
-    return patterns
+    for _ in range(rounds):
+        patterns, scores = _judged(edges, scores, min_seeds)
+    return patterns, scores
+
+
+def score_patterns(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS) -> DataFrame:
+    """``pattern``, ``confidence`` and ``known`` of the graph ``edges`` (pattern, instance, seed: 1 if the instance is a plain match; weight).
+
+    A pattern's confidence is the mean score of its different instances, but 0 while fewer than ``min_seeds`` of them score 0.5 or more.
+    """
+    patterns, _ = _scored(edges, rounds, min_seeds)
+    return patterns.select("pattern", F.when(F.col("known") >= min_seeds, F.col("s") / F.col("n")).otherwise(0.0).alias("confidence"), "known")
+
+
+def score_instances(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS) -> DataFrame:
+    """``instance``, ``seed``, ``score`` and ``vouched`` of the same graph.
+
+    A seed scores 1. Another instance has the mean confidence of its patterns, each without the instance itself and by its ``weight``;
+    patterns of ``min_seeds`` other instances or fewer say nothing, and without a lexical one (weight 1) of 0.5 or more the score is 0.
+    ``vouched`` is the number of these. A round is two aggregates and joins with one row per pattern and instance.
+    """
+    return _scored(edges, rounds, min_seeds)[1]
 
 
 def _spans(docs: DataFrame, min_confidence: float) -> DataFrame:
@@ -153,36 +228,36 @@ def _spans(docs: DataFrame, min_confidence: float) -> DataFrame:
     chosen = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), F.col("text").cast("string"))
     found = cut_lineage(chosen.mapInArrow(_extract, FOUND), "identifiers")
     items = found.select("row", F.explode("items").alias("i")).select("row", "i.*")
-    edges = cut_lineage(items.groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max(F.col("seed").cast("int")).alias("seed")), "edges")
-    good = score_patterns(edges).where(F.col("confidence") >= min_confidence).select("pattern")
-    added = (
-        items.where("not seed")
-        .join(good, "pattern")
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("order"), F.lit("context").alias("kind"), "end")).alias("added"))
-    )
+    edges = items.select("instance", "seed", F.explode("features").alias("pattern")).groupBy("pattern", "instance").agg(F.max(F.col("seed").cast("int")).alias("seed"))
+    weight = F.when(F.col("pattern").startswith("s:"), SHAPE_WEIGHT).otherwise(1.0)
+    edges = cut_lineage(edges.withColumn("weight", weight), "edges")
+    good = score_instances(edges).where((F.col("seed") == 0) & (F.col("score") >= min_confidence) & (F.col("vouched") >= MIN_PATTERNS))
+    span = F.struct("start", F.lit(len(KINDS)).alias("order"), F.lit("context").alias("kind"), "end")
+    added = items.where("not seed").join(good.select("instance"), "instance").groupBy("row").agg(F.collect_list(span).alias("added"))
     both = found.join(added, "row", "left")
-    return both.select("row", "doc_id", "tie", F.sort_array(F.concat("spans", F.coalesce("added", F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")))).alias("spans"))
+    none = F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
+    return both.select("row", "doc_id", "tie", F.sort_array(F.concat("spans", F.coalesce("added", none))).alias("spans"))
 
 
 def find(docs: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Per row of ``docs``: ``doc_id`` and ``spans``, an array of (start, order, kind, end), sorted; positions count code points.
 
-    Kinds are the plain ones and ``context``: a word with digits, at least six characters long, whose pattern (word before it, shape) is known from
-    ``MIN_SEEDS`` different plain identifiers or more and holds little else. A null or empty text has no spans. Rows, repeated ones
-    and those with a null doc_id too, all stay; other columns are ignored.
+    Kinds are the plain ones and ``context``: numbers in two to five words, or a word with a digit or an inner sign, at least ``LEAST_CHARS``
+    characters long, whose instance ``score_instances`` gives ``min_confidence`` and ``MIN_PATTERNS`` lexical patterns that vouch for it.
+    Copies of a text add nothing, as instances of a pattern count once. A null or empty text has no spans; without seeds there are
+    no context spans. Rows, repeated ones and those with a null doc_id too, all stay; other columns are ignored.
     """
     return _spans(docs, min_confidence).select("doc_id", "spans")
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """Counts per plain kind, the SHA-256 of plain spans, and all spans as a string."""
+    """Counts per kind, the SHA-256 of plain spans, and all spans as a string."""
 
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     plain = F.filter("spans", lambda s: s["order"] < len(KINDS))
-    counts = [F.size(F.array_remove(F.transform("spans", lambda s: F.when(s["kind"] == kind, 1).otherwise(0)), 0)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    counts = [F.size(F.array_remove(F.transform("spans", lambda s: F.when(s["kind"] == kind, 1).otherwise(0)), 0)).cast("long").alias(f"n_{kind}") for kind in [*KINDS, "context"]]
     return found.select("doc_id", *counts, F.sha2(joined(plain), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
