@@ -348,6 +348,11 @@ FROM fx_key_rows k""",
 WHERE t.checkpoint = 'SHARD_END' AND x.n = x.tracked AND x.waiting = 0""",
     ),
     "order_keys": _q(("fx_tracked",), "SELECT id AS key FROM fx_tracked"),
+    "order_keys_positions": _q(
+        ("fx_tracked", "fx_torn_nodes"),
+        """SELECT t.id AS key, row_number() OVER (ORDER BY n.start_seq::HUGEINT NULLS LAST, t.id::VARCHAR) AS position
+FROM fx_tracked t LEFT JOIN fx_torn_nodes n ON n.id = t.id""",
+    ),
     "lineage_descendants": _closure("parent", "child"),
     "lineage_ancestors": _closure("child", "parent"),
     "lineage_backfill_latest": _backfill("LATEST"),
@@ -367,6 +372,9 @@ FROM fx_snapshot_old o FULL OUTER JOIN fx_snapshot_new n ON n.key = o.key""",
         ("fx_state", "fx_new_state"), "SELECT key, version FROM fx_state UNION ALL SELECT * FROM fx_new_state"
     ),
     "order_desc": _q(("fx_state",), "SELECT key, version FROM fx_state ORDER BY key DESC"),
+    "order_desc_positions": _q(
+        ("fx_state",), "SELECT key, version, row_number() OVER (ORDER BY key DESC) AS position FROM fx_state"
+    ),
     "versioned_merge": _q(
         ("fx_target", "fx_changes"),
         """, j AS (

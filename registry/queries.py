@@ -555,6 +555,11 @@ def order_keys(spark, sf):
     return lineage.order_keys(_tracked_state(spark, sf).select("key"), view(spark, sf, "fx_torn_nodes"))
 
 
+@query
+def order_keys_positions(spark, sf):
+    return lineage.order_keys(_tracked_state(spark, sf).select("key"), view(spark, sf, "fx_torn_nodes"), position="position")
+
+
 @query
 def lineage_descendants(spark, sf):
     return lineage.lineage_closure(view(spark, sf, "fx_nodes"), view(spark, sf, "fx_some_tracked"), "descendants")
@@ -613,6 +618,11 @@ def order_desc(spark, sf):
     return state.order_desc(view(spark, sf, "fx_state").select("key", "version"))
 
 
+@query
+def order_desc_positions(spark, sf):
+    return state.order_desc(view(spark, sf, "fx_state").select("key", "version"), position="position")
+
+
 def _merge(spark, sf) -> tuple[DataFrame, DataFrame]:
     return state.versioned_merge(view(spark, sf, "fx_target"), view(spark, sf, "fx_changes"), ["amount"])
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import delivery as d
 from tidemark.operators import monitor as m
+from tidemark.plans.hot_ranges import RANGE, find_hot_ranges
 
 T0 = dt.datetime(2024, 1, 1)
 EVENTS = "stream_id long, namespace string, ts timestamp_ntz, event_id long"
@@ -43,6 +45,21 @@ def test_consumed_count_equals_counted_deliveries(spark, rows, rows_per_range):
     assert counted == {r[0]: naive.get(r[0], 0) for r in subs.select("consumer").distinct().collect()}
 
 
+def test_deliver_of_a_hot_stream_in_ranges(spark, rows):
+    rng = random.Random(11)
+    events = spark.createDataFrame([(rng.choice([1, 1, 1, 2]), "n", at(rng.choice([rng.randrange(90), 5])), i) for i in range(600)] + [(1, "n", None, 600)], EVENTS)
+    data = [(f"c{k}", rng.randrange(1, 4), "n", at(rng.randrange(90)), at(rng.choice([None, rng.randrange(95)]))) for k in range(80)]
+    subs = spark.createDataFrame([*data, ("all", 1, "n", at(-5), None), ("never", 1, "n", None, None)], SUBS)
+    whole = rows(d.deliver(events, subs, rows_per_range=math.inf), "consumer", "event_id")
+    cut = d.deliver(events, subs, rows_per_range=40)
+    assert rows(cut, "consumer", "event_id") == whole and len(whole) > 1000
+    assert cut.columns == ["consumer", *events.columns]
+    # the share of a hot stream that one task sees
+    tagged = find_hot_ranges(events, ["stream_id"], ["ts"], 40).tag(events).groupBy("stream_id", RANGE).count()
+    distinct = tagged.where("stream_id = 1").count()
+    assert distinct >= 5
+
+
 @pytest.mark.parametrize("rows_per_range", [None, 2])
 def test_counter(spark, rows, rows_per_range):
     kinds = ["produce", "produce", "clear", "produce"]

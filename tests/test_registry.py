@@ -33,7 +33,7 @@ def test_entry(spark):
     ["journal_fold_events", "after_checkpoint", "checkpoint_commit", "consumed_count", "deaggregate", "versioned_merge", "versioned_merge_ordered", "stale_keys"]
     + ["filter_any", "unpack_envelopes", "filter_stream", "unpack_stream", "route_by_hash_range", "scan_records_at_sequence_number", "union_queues"]
     + ["scan_state", "scan_state_limited", "lookup_key", "is_state_empty", "tracked_keys", "order_desc", "stream_observer"]
-    + ["commit_merge", "commit_merge_outcomes", "diff_versions", "append_journal_versions"],
+    + ["commit_merge", "commit_merge_outcomes", "diff_versions", "append_journal_versions", "order_keys_positions", "order_desc_positions"],
 )
 def test_query_equals_sql(spark, connection, name):
     assert spark_rows(queries()[name](spark, SMOKE_DIR)) == duck_rows(connection, oracle_sql()[name])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import hot_ranges
 from tidemark.plans.hot_ranges import find_hot_keys, find_hot_ranges
 from tidemark.plans.lookup import join_one_per_key
+from tidemark.plans.positions import with_positions
 from tidemark.plans.running import (
     first_rows,
     greatest_before,
@@ -161,3 +162,13 @@ def test_rows_partitioned_by_key_are_spread_again(spark, events):
         assert same(df, running(joined, ["key"], ["pos"], {"n": row_count()}, None))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_positions(spark):
+    table = spark.range(5_000).select((F.col("id") * 7919 % 5_000).alias("v"), F.lit("x").alias("odd.name")).repartition(7)
+    placed = with_positions(table, F.col("v").desc(), name="place")
+    assert placed.columns == ["v", "odd.name", "place"]
+    assert placed.where("place <> 5000 - v").count() == 0 and placed.select("place").distinct().count() == 5_000
+    assert with_positions(table.where("false"), F.col("v")).count() == 0
+    ties = with_positions(spark.createDataFrame([(1,), (1,), (None,)], "v long"), F.col("v").asc_nulls_last()).collect()
+    assert sorted((r.position, r.v) for r in ties) == [(1, 1), (2, 1), (3, None)]

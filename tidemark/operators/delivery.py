@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.hot_ranges import find_hot_ranges
+from tidemark.plans.hot_ranges import RANGE, find_hot_ranges
 from tidemark.plans.lookup import join_one_per_key
 from tidemark.plans.running import running, running_since, total
 
@@ -15,22 +15,34 @@ ACKED, REDELIVER, PENDING = "acked", "redeliver", "pending"
 
 
 def deliver(
-    events: DataFrame, subscriptions: DataFrame, stream: Sequence[str] = ("stream_id",), ts: str = "ts"
+    events: DataFrame,
+    subscriptions: DataFrame,
+    stream: Sequence[str] = ("stream_id",),
+    ts: str = "ts",
+    rows_per_range: float | None = None,
 ) -> DataFrame:
     """One row per event and subscription that was live at the event's time, start included, stop excluded.
 
-    Two live subscriptions of a consumer to a stream deliver an event twice.
+    Two live subscriptions of a consumer to a stream deliver an event twice. The timeline of a stream with more than
+    ``rows_per_range`` events is cut into ranges, and a subscription meets the ranges it was live in: no task holds all
+    events of a hot stream, and events are not compared with subscriptions of other times. ``math.inf`` saves the count of events.
     """
     live = subscriptions.select(
         *[F.col(s).alias(f"__{s}") for s in stream],
         "consumer",
-        F.col("start_ts").alias("__start"),
-        F.col("stop_ts").alias("__stop"),
-    )
+        F.col("start_ts").cast(events.schema[ts].dataType).alias("__start"),
+        F.col("stop_ts").cast(events.schema[ts].dataType).alias("__stop"),
+    ).where(F.col("__stop").isNull() | (F.col("__start") < F.col("__stop")))
     match = (F.col(ts) >= F.col("__start")) & (F.col("__stop").isNull() | (F.col(ts) < F.col("__stop")))
     for s in stream:
         match = match & (F.col(s) == F.col(f"__{s}"))
-    return events.join(live, match).select("consumer", *events.columns)
+    ranges = find_hot_ranges(events, list(stream), [ts], rows_per_range)
+    if ranges is None:
+        return events.join(live, match).select("consumer", *events.columns)
+    spread = ranges.tag_spans(live, [f"__{s}" for s in stream], {ts: "__start"}, {ts: "__stop"}, "__live_in")
+    # null for streams that are not cut
+    match = match & F.col(RANGE).eqNullSafe(F.col("__live_in"))
+    return ranges.tag(events).join(spread, match).select("consumer", *events.columns)
 
 
 def consumed_count(

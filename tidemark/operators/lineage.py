@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.sequence import AT_TIMESTAMP, INITIAL_POSITIONS, LATEST, SHARD_END, TRIM_HORIZON, seq_key
 from tidemark.plans.durable import cut_lineage, work_folder
+from tidemark.plans.positions import with_positions
 
 # Levels per round: fewer rounds for some repeated work on nodes that were found before.
 HOPS_PER_ROUND = 3
@@ -122,15 +123,17 @@ def finished_keys(state: DataFrame, edges: DataFrame) -> DataFrame:
     return state.where(F.col("checkpoint") == SHARD_END).select("key").join(by_parent, "key", "left_semi")
 
 
-def order_keys(state: DataFrame, nodes: DataFrame, key: str = "key") -> DataFrame:
-    """State rows by their node's starting sequence as a number, then by id as text; rows without a node last."""
+def order_keys(state: DataFrame, nodes: DataFrame, key: str = "key", position: str | None = None) -> DataFrame:
+    """State rows by their node's starting sequence as a number, then by id as text; rows without a node last.
+
+    With ``position`` the place is a column of that name, from 1, and the rows come in no order.
+    """
     starts = nodes.select(F.col("id").alias(key), F.col("start_seq").alias("__start"))
     start_key = F.when(F.col("__start").isNotNull(), seq_key("__start"))
-    return (
-        state.join(starts, key, "left")
-        .orderBy(start_key.asc_nulls_last(), F.col(key).cast("string"))
-        .drop("__start")
-    )
+    order = [start_key.asc_nulls_last(), F.col(key).cast("string")]
+    started = state.join(starts, key, "left")
+    placed = with_positions(started, *order, name=position) if position else started.orderBy(*order)
+    return placed.drop("__start")
 
 
 def _reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from tidemark.operators import transitions
 from tidemark.operators.transitions import CREATE, EVICT, REMOVE, RENEW, TAKE, UPDATE
 from tidemark.plans.durable import cut_lineage
 from tidemark.plans.hot_ranges import RANGE, find_hot_ranges
+from tidemark.plans.positions import with_positions
 from tidemark.plans.running import latest, previous, running, running_since, total
 
 ADDED, REMOVED, CHANGED, UNCHANGED = "added", "removed", "changed", "unchanged"
@@ -48,8 +49,10 @@ def tracked_keys(current: DataFrame | None, new: DataFrame) -> DataFrame:
     return new if current is None else current.unionByName(new)
 
 
-def order_desc(state: DataFrame, key: str = "key") -> DataFrame:
-    return state.orderBy(F.col(key).desc())
+def order_desc(state: DataFrame, key: str = "key", position: str | None = None) -> DataFrame:
+    """Rows by descending key; with ``position`` the place is a column of that name, from 1, and the rows come in no order."""
+    order = F.col(key).desc()
+    return with_positions(state, order, name=position) if position else state.orderBy(order)
 
 
 def versioned_merge(target: DataFrame, changes: DataFrame, payload: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:

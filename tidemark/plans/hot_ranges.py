@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +48,20 @@ class HotRanges:
         met = df.withColumn(AT, F.struct(*self.order)).join(self.table, same_key(self.keys), "left")
         return met.withColumn(RANGE, _edges_up_to(F.col("__cuts"), F.col(AT))).drop(*hot_names(self.keys), "__cuts", AT)
 
+    def tag_spans(self, df: DataFrame, keys: Sequence[str], first: dict[str, str], last: dict[str, str], name: str) -> DataFrame:
+        """A row of ``df`` for every range from its first to its last position, with the range's number; one row, null, for other keys.
+
+        ``keys`` are the columns of ``df`` that hold the keys. ``first`` and ``last`` name its column for each order column; a
+        null last position is the end.
+        """
+        place = lambda columns: F.struct(*[F.col(columns[o]).alias(o) for o in self.order])
+        open_end = reduce(Column.__or__, [F.col(c).isNull() for c in last.values()])
+        met = df.join(self.table, same_key(keys), "left")
+        low = _edges_up_to(F.col("__cuts"), place(first))
+        high = F.when(open_end, F.size("__cuts")).otherwise(_edges_up_to(F.col("__cuts"), place(last)))
+        crossed = F.when(F.col("__cuts").isNotNull(), F.sequence(low, F.greatest(low, high)))
+        return met.withColumn(name, F.explode_outer(crossed)).drop(*hot_names(self.keys), "__cuts")
+
 
 def _edges_up_to(cuts: Column, at: Column) -> Column:
     """How many of the sorted ``cuts`` are not above ``at``, by halving; null without cuts."""
