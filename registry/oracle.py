@@ -353,6 +353,7 @@ WHERE t.checkpoint = 'SHARD_END' AND x.n = x.tracked AND x.waiting = 0""",
         """SELECT t.id AS key, row_number() OVER (ORDER BY n.start_seq::HUGEINT NULLS LAST, t.id::VARCHAR) AS position
 FROM fx_tracked t LEFT JOIN fx_torn_nodes n ON n.id = t.id""",
     ),
+    "consume_by_position": _q(("fx_records",), "SELECT shard_id, sequence_number, sub_sequence, partition_key FROM fx_records"),
     "lineage_descendants": _closure("parent", "child"),
     "lineage_ancestors": _closure("child", "parent"),
     "lineage_backfill_latest": _backfill("LATEST"),

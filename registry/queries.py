@@ -17,6 +17,7 @@ from tidemark.sources import records, sinks, tables, versions
 from tidemark.streaming import batches as stream_batches
 from tidemark.streaming import delivery as stream_delivery
 from tidemark.streaming import journal as stream_journals
+from tidemark.streaming import positions as stream_positions
 from tidemark.streaming import stale as stream_stale
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -589,6 +590,21 @@ def lineage_backfill_at_timestamp(spark, sf):
     return _backfill(spark, sf, sequence.AT_TIMESTAMP)
 
 
+@query
+def consume_by_position(spark, sf):
+    """Two runs of one consumer with limits per shard; the second finds more records of old shards and a new shard."""
+    folder, records_of = work_folder(spark, "consumer"), view(spark, sf, "fx_records")
+    consumer = stream_positions.ShardConsumer(spark, f"{folder}/records", f"{folder}/consumer", limit=1_000_000)
+    take = lambda batch, number: batch.drop("data").write.mode("overwrite").parquet(f"{folder}/out/batch_id={number}")
+    # a shard's first records by number, as they would arrive; nothing is left out over both writes
+    early = F.col("arrival_ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    records.write_records(records_of.where(early & (F.col("shard_id") < 7)), f"{folder}/records")
+    consumer.run(take)
+    records.write_records(records_of.where(~(early & (F.col("shard_id") < 7))), f"{folder}/records")
+    consumer.run(take)
+    return spark.read.parquet(f"{folder}/out").select("shard_id", "sequence_number", "sub_sequence", "partition_key")
+
+
 # ---- keyed state
 
 

@@ -21,6 +21,7 @@ MAX_RECORDS_PER_READ = 10_000
 SEQ_LENGTH, SEQ_DIGITS = "seq_length", "seq_digits"
 # Beside the records; Spark's readers skip folders that begin so.
 INDEX = "_sequence_index"
+SHARD_INDEX = "_shard_index"
 INDEX_SCHEMA = "file string, least_length int, least_digits string, most_length int, most_digits string"
 
 
@@ -55,6 +56,10 @@ def write_records(
         .select("file", *[F.col(f"{side}.seq_{part}").alias(f"{side}_{part}") for side in ("least", "most") for part in ("length", "digits")])
     )
     bounds.write.mode("append").parquet(f"{path.rstrip('/')}/{INDEX}")
+    # the last record of each shard in each file, for reads from a position per shard
+    of_shard = spark.read.parquet(batch).groupBy(F.col("_metadata.file_path").alias("file"), F.col(shard).alias("shard"))
+    last = F.max_by(F.struct(F.col(sequence_number).alias("sequence_number"), F.col(sub_sequence).alias("sub_sequence")), key)
+    of_shard.agg(last.alias("m")).select("file", "shard", "m.*").write.mode("append").parquet(f"{path.rstrip('/')}/{SHARD_INDEX}")
 
 
 def _from_plain_columns(position: str, seq: str, sub: int, sub_sequence: str) -> Column:
@@ -83,6 +88,30 @@ def _files_from(spark: SparkSession, records: DataFrame, path: str, seq: str) ->
     return [file for file in records.inputFiles() if urllib.parse.urlsplit(file).path not in passed]
 
 
+def _place(file: str) -> str:
+    return urllib.parse.urlsplit(file).path
+
+
+def files_beyond(spark: SparkSession, path: str, marks: DataFrame) -> list[str]:
+    """Files that :func:`write_records` wrote below ``path`` and that hold records beyond ``marks`` (shard_id, sequence_number, sub_sequence).
+
+    A shard without a mark is read from its first record. A file that no index names is among them.
+    """
+    there = spark.read.parquet(path).inputFiles()
+    try:
+        index = spark.read.parquet(f"{path.rstrip('/')}/{SHARD_INDEX}")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return list(there)
+    mark = marks.select(F.col("shard_id").alias("shard"), s.seq_key("sequence_number", "sub_sequence").alias("__mark"))
+    beyond = F.col("__mark").isNull() | (s.seq_key("sequence_number", "sub_sequence") > F.col("__mark"))
+    # names of files, of which the reader's own listing holds as many
+    wanted = {_place(r["file"]) for r in index.join(mark, "shard", "left").where(beyond).select("file").distinct().toLocalIterator()}
+    named = {_place(r["file"]) for r in index.select("file").distinct().toLocalIterator()}
+    return [file for file in there if _place(file) in wanted or _place(file) not in named]
+
+
 def start_position(
     records: DataFrame,
     position: str,
