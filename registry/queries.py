@@ -758,8 +758,10 @@ def failure_streaks(spark, sf):
 
 
 def _read_stream(spark, sf, name: str) -> DataFrame:
+    """A table, one file or a folder of many, as a stream."""
     schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    # a stream takes a file by a pattern only; this one fits just the table, and of a folder all files below it
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
 def _stream_of_files(df: DataFrame, label: str, files: int = 4) -> DataFrame:

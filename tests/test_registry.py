@@ -37,3 +37,16 @@ def test_entry(spark):
 )
 def test_query_equals_sql(spark, connection, name):
     assert spark_rows(queries()[name](spark, SMOKE_DIR)) == duck_rows(connection, oracle_sql()[name])
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["append_journal_versions", "resume_stream", "process_batches", "publish_stream"],
+)
+def test_streams_read_tables_of_several_files(spark, connection, tmp_path, name):
+    """A table may be a folder of files; as one file it is what the other tests read."""
+    for table in ("events", "conversations"):
+        spark.read.parquet(f"{SMOKE_DIR}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    expected = duck_rows(connection, oracle_sql()[name])
+    assert spark_rows(queries()[name](spark, str(tmp_path))) == expected
+    assert spark_rows(queries()[name](spark, SMOKE_DIR)) == expected
