@@ -41,7 +41,7 @@ def test_query_equals_sql(spark, connection, name):
 
 @pytest.mark.parametrize(
     "name",
-    ["stream_journal", "append_journal_versions", "resume_stream", "process_batches", "publish_stream"],
+    ["stream_journal", "stream_journal_versions", "append_journal_versions", "resume_stream", "process_batches", "publish_stream"],
 )
 def test_streams_read_tables_of_several_files(spark, connection, tmp_path, name):
     """A table may be a folder of files; as one file it is what the other tests read."""
