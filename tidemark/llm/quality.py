@@ -2,8 +2,10 @@
 
 The model is of character n-grams, so it has no unknown words and its tables stay small. Tasks count the n-grams of whole texts, Spark adds
 the counts up, and the discounts, continuation counts, probabilities and back-off weights are joins and aggregates. A language's model is
-a few arrays sorted by a hash of the n-gram. Characters are the ``CLASSES`` most frequent of the language, all others one class
-more, so an order's table has a proven bound (64 ** 4 entries); languages are scored in groups whose models together stay below ``MODEL_BYTES``.
+a few arrays sorted by a hash of the n-gram. Its symbols are 6 bits wide, so an order's table has a proven bound (64 ** 4 entries), and yet no
+character is left out or taken for another: the ``CLASSES`` most frequent UTF-16 units of a language are a symbol each, all others are
+spelled as four hexadecimal digits, which are symbols of their own. Languages are scored in groups whose models together stay below
+``MODEL_BYTES``, or alone.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from tidemark.plans.durable import cut_lineage
 
 ORDER = 4
 CLASS_BITS = 6
-CLASSES = (1 << CLASS_BITS) - 2  # class 0 is the margin before a text, the last class all other characters
-OTHER = (1 << CLASS_BITS) - 1
+DIGIT = (1 << CLASS_BITS) - 16  # the symbol of digit 0; the last 16 symbols are digits
+DIGITS = 4  # of a unit of 16 bits that is spelled
+CLASSES = DIGIT - 1  # symbol 0 is the margin before a text
+GRAM = (1 << (CLASS_BITS * ORDER)) - 1
 MODEL_BYTES = 192_000_000
 BIN = 0.005  # of log perplexity, for the quantiles
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -72,9 +76,9 @@ def counts(text: str | None) -> tuple[int, int, int, int, int]:
 
 
 def _points(texts: list[str]) -> np.ndarray:
-    """Code points of lower-cased texts, each after a margin of zeros; those beyond 16 bits are one value."""
+    """UTF-16 units of lower-cased texts, each after a margin of zeros."""
     joined = ("\0" * (ORDER - 1)) + ("\0" * (ORDER - 1)).join(texts)
-    return np.minimum(np.frombuffer(joined.lower().encode("utf-32-le"), "<u4"), 0xFFFF).astype(np.uint64)
+    return np.frombuffer(joined.lower().encode("utf-16-le"), "<u2")
 
 
 def _by_lang(langs: list, texts: list) -> Iterator[tuple[str, list[int]]]:
@@ -110,7 +114,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts = (pair for batch in batches for pair in zip(slices(batch.column(0)), slices(batch.column(1)), strict=True))
     for langs, texts in parts:
         for lang, places in _by_lang(langs, texts):
-            points = _points([texts[p] for p in places])
+            points = _points([texts[p] for p in places]).astype(np.uint64)
             grams = points[ORDER - 1 :].copy()
             for k in range(1, ORDER):
                 grams |= points[ORDER - 1 - k : len(points) - k] << np.uint64(16 * k)
@@ -129,10 +133,33 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _point(gram: Column, back: int) -> Column:
-    """The code point ``back`` places before the last of a packed n-gram."""
+    """The UTF-16 unit ``back`` places before the last of a packed n-gram."""
     return F.shiftrightunsigned(gram, 16 * back).bitwiseAND(0xFFFF)
 
 
+def _spelled(point: Column, digits: int = DIGITS) -> Column:
+    """The first ``digits`` symbols of a spelled unit, packed."""
+    packed = F.lit(0).cast("long")
+    for k in range(digits):
+        digit = F.shiftright(point, 4 * (DIGITS - 1 - k)).bitwiseAND(0xF) + DIGIT
+        packed = packed.bitwiseOR(F.shiftleft(digit.cast("long"), CLASS_BITS * (digits - 1 - k)))
+    return packed
+
+
+def _symbol_grams(gram: Column, classes: Column) -> Column:
+    """The n-grams of symbols that end in the last unit of a packed n-gram of units: one, or one per digit of a spelled unit."""
+    context = F.lit(0).cast("long")
+    for back in range(ORDER - 1, -1, -1):
+        point = _point(gram, back)
+        symbol = F.when(point == 0, 0).otherwise(F.try_element_at(classes, point)).cast("long")
+        after = F.shiftleft(context, CLASS_BITS).bitwiseOR(symbol).bitwiseAND(GRAM)
+        if back:
+            # the digits of a unit are a whole n-gram, so what went before is out of sight
+            context = F.when(symbol.isNull(), _spelled(point)).otherwise(after)
+    along = [F.shiftleft(context, CLASS_BITS * k).bitwiseOR(_spelled(point, k)).bitwiseAND(GRAM) for k in range(1, DIGITS + 1)]
+    return F.when(symbol.isNull(), F.array(*along)).otherwise(F.array(after))
+
+
 def train(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Tables of the model: (lang, n, gram, value, kind) with kind ``p`` (log probability) or ``b`` (log back-off weight), and (lang, point, class).
 
@@ -144,17 +171,13 @@ def train(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     raw = cut_lineage(raw, "grams")
     by_use = Window.partitionBy("lang").orderBy(F.desc("n"), "point")
     used = raw.groupBy("lang", _point(F.col("gram"), 0).alias("point")).agg(F.sum("n").alias("n"))
-    # at most 2 ** 16 rows per language
+    # at most 2 ** 16 rows per language; units beyond the CLASSES most frequent are spelled
     classes = cut_lineage(used.withColumn("class", F.row_number().over(by_use)).where(F.col("class") <= CLASSES).select("lang", "point", "class"), "classes")
     # written, so that their size is known and the n-grams need not be dealt by language alone
     maps = cut_lineage(classes.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("point", "class"))).alias("classes")), "maps")
     parts = raw.join(maps, "lang")
-    packed = F.lit(0).cast("long")
-    for back in range(ORDER):
-        point = _point(F.col("gram"), back)
-        of = F.when(point == 0, 0).otherwise(F.coalesce(F.try_element_at("classes", point), F.lit(OTHER)))
-        packed = packed.bitwiseOR(F.shiftleft(of.cast("long"), CLASS_BITS * back))
-    top = parts.groupBy("lang", packed.alias("gram")).agg(F.sum("n").alias("c"))
+    symbols = parts.select("lang", F.explode(_symbol_grams(F.col("gram"), F.col("classes"))).alias("gram"), "n")
+    top = symbols.groupBy("lang", "gram").agg(F.sum("n").alias("c"))
     tables = {ORDER: cut_lineage(top, "grams-top")}
     for n in range(ORDER - 1, 0, -1):
         # a lower order counts the different characters that precede its n-grams
@@ -199,9 +222,13 @@ class SortedModel:
             hashes = self.hashed(grams)
             order = np.argsort(hashes)
             self.tables[n, kind] = hashes[order], values[order].astype(np.float32)
-        self.classes = np.full(1 << 16, OTHER, np.uint8)
-        self.classes[0] = 0
-        self.classes[points] = classes
+        units = np.arange(1 << 16, dtype=np.uint32)
+        # each unit's symbols, packed, and their number
+        self.symbols, self.lengths = np.zeros(1 << 16, np.uint32), np.full(1 << 16, DIGITS, np.uint8)
+        for k in range(DIGITS):
+            self.symbols |= (((units >> (4 * k)) & 0xF) + DIGIT) << (CLASS_BITS * k)
+        self.symbols[0], self.lengths[0] = 0, 1
+        self.symbols[points], self.lengths[points] = classes, 1
 
     @staticmethod
     def hashed(grams: np.ndarray) -> np.ndarray:
@@ -231,13 +258,13 @@ class SortedModel:
         return result
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        """Mean negative log probability per character of each text, its log perplexity."""
+        """Mean negative log probability per character of each text, its log perplexity; a spelled character's is the sum over its digits."""
         points = _points(texts)
-        classes = self.classes[points].astype(np.uint64)
-        grams = classes[ORDER - 1 :].copy()
+        symbols, ends = self.spelled(points)
+        grams = symbols[ORDER - 1 :].copy()
         for k in range(1, ORDER):
-            grams |= classes[ORDER - 1 - k : len(classes) - k] << np.uint64(CLASS_BITS * k)
-        scored = points[ORDER - 1 :] != 0
+            grams |= symbols[ORDER - 1 - k : len(symbols) - k] << (CLASS_BITS * k)
+        scored = symbols[ORDER - 1 :] != 0
         # each different n-gram is looked up once
         seen = np.zeros(1 << (CLASS_BITS * ORDER), bool)
         seen[grams[scored]] = True
@@ -247,13 +274,25 @@ class SortedModel:
         if len(distinct):
             values[scored] = self.log_probability(distinct)[place]
         # lower() may lengthen a text
-        lengths = np.array([len(t.lower()) for t in texts])
+        lengths = np.array([len(t.lower().encode("utf-16-le")) // 2 for t in texts])
         starts = np.cumsum(lengths + ORDER - 1) - lengths - (ORDER - 1)
-        starts[0] = 0
-        total = np.add.reduceat(np.append(values, 0.0), np.minimum(starts, len(values)))
-        number = np.add.reduceat(np.append(scored, False).astype(np.int64), np.minimum(starts, len(values)))
+        total = np.add.reduceat(np.append(values, 0.0), ends[starts + ORDER - 2] - (ORDER - 1))
+        # the second unit of a pair belongs to the character of the first
+        characters = (points[ORDER - 1 :] != 0) & (points[ORDER - 1 :] >> 10 != 0x37)
+        number = np.add.reduceat(np.append(characters, False).astype(np.int64), starts)
         return -total / np.maximum(number, 1)
 
+    def spelled(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of units, and after how many symbols each unit ends."""
+        lengths = self.lengths[points]
+        ends = np.cumsum(lengths, dtype=np.int64)
+        symbols = np.repeat(self.symbols[points], lengths)
+        wide = np.flatnonzero(np.repeat(lengths > 1, lengths))
+        # the units' digits come in fours
+        symbols[wide] >>= (CLASS_BITS * (DIGITS - 1 - np.arange(len(wide)) % DIGITS)).astype(np.uint32)
+        symbols[wide] &= (1 << CLASS_BITS) - 1
+        return symbols, ends
+
     @staticmethod
     def _places(distinct: np.ndarray, grams: np.ndarray) -> np.ndarray:
         table = np.zeros(1 << (CLASS_BITS * ORDER), np.uint32)
@@ -275,7 +314,7 @@ def _collected(model: DataFrame, classes: DataFrame, langs: list[str]) -> dict[s
 
 
 def _groups(model: DataFrame) -> list[list[str]]:
-    """Languages in groups that stay below ``MODEL_BYTES`` together; a single language always does, by the bound on its n-grams."""
+    """Languages in groups that stay below ``MODEL_BYTES`` together, or alone; a single language has the bound on its n-grams."""
     groups: list[list[str]] = []
     room = 0
     for row in model.groupBy("lang").count().orderBy("lang").toLocalIterator():
