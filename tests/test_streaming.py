@@ -5,11 +5,12 @@ import random
 import time
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.operators import delivery, envelopes, journal
 from tidemark.sources import records, sinks
-from tidemark.streaming import batches, stale
+from tidemark.streaming import batches, parts, stale
 from tidemark.streaming import delivery as stream_delivery
 from tidemark.streaming import journal as stream_journal
 
@@ -257,6 +258,40 @@ def test_unpack_stream_numbers_over_parts(spark, parted, tmp_path):
     assert [r.event_index for r in got.where("batch = 4").orderBy("event_index").collect()] == [0, 1]
 
 
+def test_unpack_stream_numbers_many_early_parts(spark, tmp_path, rows):
+    """Parts in falling order, more than are held in memory, over two micro-batches and with repeated ones."""
+    path, count = str(tmp_path / "in"), 2 * parts.EARLY + 300
+    falling = [part(1, p, count, [p % 100] * 2) for p in range(count - 1, -1, -1)]
+    files(spark, path, [falling[:-200], [*falling[100:110], *falling[-200:]]])
+    read = stream_delivery.unpack_stream(stream(spark, path, PARTS), None, ["batch"])
+    got = run(read, str(tmp_path / "o"), str(tmp_path / "c")).select("event_index", "event.n")
+    assert rows(got) == [(i, i // 2 % 100) for i in range(2 * count)]
+
+
+@pytest.mark.parametrize("order, most_calls", [([0, 1, 2, 3], 1), ([3, 1, 0, 2], 1), ([2, 3, 1], 5)])
+def test_parts_of_one_micro_batch_hardly_touch_the_state(order, most_calls):
+    """Each call to the state is a round trip of a task; what comes together needs none but the look for earlier parts."""
+    calls = []
+
+    class State:
+        def __getattr__(self, name):
+            return lambda *given: calls.append(name)
+
+    class Handle:
+        def getValueState(self, *given):
+            return State()
+
+        def getMapState(self, *given):
+            return State()
+
+    handler = parts._Numbering(timed=False)
+    handler.init(Handle())
+    given = [Row(part=p, parts=4, payload=str(p), n=2, event_ms=0) for p in order]
+    passed = [(r.payload, r.before) for r in handler.handleInputRows((1,), iter(given), None)]
+    assert passed == ([(str(p), 2 * p) for p in range(4)] if 0 in order else [])
+    assert len(calls) <= most_calls
+
+
 def test_parts_wait_over_a_restart(spark, tmp_path, rows):
     path, out, checkpoint = (str(tmp_path / n) for n in "ioc")
     files(spark, path, [[part(1, 0, 2, [1])]])

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -41,25 +40,15 @@ class _Versions(StatefulProcessor):
         kind = T.StructType([T.StructField("version", T.LongType()), T.StructField("last", T.LongType())])
         self.state = handle.getValueState("position", kind)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        version, last = self.state.get() if self.state.exists() else (0, None)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        version, last = known = self.state.get() or (0, None)
         # an entity's share of one micro-batch; the trigger's size limit bounds it
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
-        batch = batch.drop_duplicates(self.order)
-        if last is not None:
-            batch = batch[batch[self.order] > last]
-        if batch.empty:
-            return
-        versions = range(version + 1, version + 1 + len(batch))
-        self.state.update((versions[-1], int(batch[self.order].iloc[-1])))
-        yield pd.DataFrame(
-            {
-                self.entity: batch[self.entity],
-                self.order: batch[self.order],
-                self.message: batch[self.message],
-                "version": versions,
-            }
-        )
+        for row in sorted(rows, key=lambda r: r[self.order]):
+            if last is None or row[self.order] > last:
+                version, last = version + 1, row[self.order]
+                yield Row(**{self.entity: row[self.entity], self.order: last, self.message: row[self.message], "version": version})
+        if (version, last) != tuple(known):
+            self.state.update((version, last))
 
     def close(self) -> None:
         pass
@@ -72,7 +61,7 @@ def stream_journal_versions(
     names = [entity, order, message]
     slim = stream.select(*names)
     schema = T.StructType([*[slim.schema[n] for n in names], T.StructField("version", T.LongType())])
-    numbered = slim.groupBy(entity).transformWithStateInPandas(
+    numbered = slim.groupBy(entity).transformWithState(
         statefulProcessor=_Versions(entity, order, message),
         outputStructType=schema,
         outputMode="Append",

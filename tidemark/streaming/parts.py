@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -21,27 +20,20 @@ EXACT = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "ignoreNullFields": "false",
 }
-ROWS_OUT = 1000
+# early parts of a batch held in memory within a micro-batch; more go to the state at once
+EARLY = 1000
 
 
 class _Parts(StatefulProcessor):
-    """What both handlers share: the number of distinct parts seen, and an event-time timer that closes a batch."""
+    """What both handlers share: an event-time timer that closes a batch. Each call to the state is a round trip, so there are few."""
 
     def __init__(self, timed: bool):
         self.timed = timed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "part long", "times long")
         self.state = handle.getValueState("state", self.kind)
 
-    def note(self, part: int, known: int) -> int:
-        """The number of distinct parts with this one; ``known`` without it."""
-        if self.seen.containsKey((part,)):
-            return known
-        self.seen.updateValue((part,), (1,))
-        return known + 1
-
     def close_after(self, event_ms: int | None) -> None:
         if self.timed and event_ms is not None:
             timers = list(self.handle.listTimers())
@@ -54,10 +46,6 @@ class _Parts(StatefulProcessor):
         pass
 
 
-def _texts(payloads: list[str], before: list[int]) -> pd.DataFrame:
-    return pd.DataFrame({"payload": payloads, "before": pd.array(before, dtype="int64")})
-
-
 class _Matching(_Parts):
     """Holds a batch's parts until one of them matches; then passes on all of them."""
 
@@ -65,43 +53,44 @@ class _Matching(_Parts):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
+        self.seen = handle.getMapState("seen", "part long", "times long")
         self.held = handle.getListState("held", "payload string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        matched, seen = self.state.get() if self.state.exists() else (False, 0)
+    def note(self, part: int, known: int) -> int:
+        """The number of distinct parts with this one; ``known`` without it."""
+        if self.seen.containsKey((part,)):
+            return known
+        self.seen.updateValue((part,), (1,))
+        return known + 1
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        matched, seen = self.state.get() or (False, 0)
         latest, parts = None, None
-        for chunk in rows:
-            out: list[str] = []
-            for row in chunk.itertuples(index=False):
-                seen = self.note(int(row.part), seen)
-                latest = row.event_ms if latest is None else max(latest, row.event_ms)
-                parts = row.parts
-                if row.hit and not matched:
-                    matched = True
-                    for (payload,) in self.held.get():
-                        out.append(payload)
-                        if len(out) >= ROWS_OUT:
-                            yield _texts(out, [0] * len(out))
-                            out = []
-                    self.held.clear()
-                if matched:
-                    out.append(row.payload)
-                else:
-                    self.held.appendValue((row.payload,))
-            if out:
-                yield _texts(out, [0] * len(out))
+        for row in rows:
+            seen = self.note(row.part, seen)
+            latest = row.event_ms if latest is None or row.event_ms > latest else latest
+            parts = row.parts
+            if row.hit and not matched:
+                matched = True
+                for (payload,) in self.held.get():
+                    yield Row(payload=payload, before=0)
+                self.held.clear()
+            if matched:
+                yield Row(payload=row.payload, before=0)
+            else:
+                self.held.appendValue((row.payload,))
         if not self.timed and seen >= parts:
             # complete; without event time nothing else would end the state
             self._forget()
         else:
             self.state.update((matched, seen))
-            self.close_after(None if latest is None else int(latest))
+            self.close_after(latest)
 
     def _forget(self) -> None:
         for state in (self.state, self.seen, self.held):
             state.clear()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self._forget()
         return iter(())
 
@@ -115,44 +104,55 @@ class _Numbering(_Parts):
         super().init(handle)
         self.waiting = handle.getMapState("waiting", "part long", "payload string, n long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        expected, before, seen = self.state.get() if self.state.exists() else (0, 0, 0)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known = self.state.get()
+        expected, before, seen = known or (0, 0, 0)
+        # parts that wait in the state; all those before the expected one have been passed on
+        waiting = stored = seen - expected
+        early: dict[int, tuple[str, int]] = {}
         latest, parts = None, None
-        for chunk in rows:
-            for row in chunk.itertuples(index=False):
-                known, seen = seen, self.note(int(row.part), seen)
-                latest = row.event_ms if latest is None else max(latest, row.event_ms)
-                parts = row.parts
-                if seen > known:
-                    self.waiting.updateValue((int(row.part),), (row.payload, int(row.n)))
-        payloads, offsets = [], []
-        while self.waiting.containsKey((expected,)):
-            payload, n = self.waiting.getValue((expected,))
-            self.waiting.removeKey((expected,))
-            payloads.append(payload)
-            offsets.append(before)
-            expected, before = expected + 1, before + n
-            if len(payloads) >= ROWS_OUT:
-                yield _texts(payloads, offsets)
-                payloads, offsets = [], []
-        if payloads:
-            yield _texts(payloads, offsets)
+        for row in rows:
+            part, parts = row.part, row.parts
+            latest = row.event_ms if latest is None or row.event_ms > latest else latest
+            if 0 <= part < expected or part in early or (waiting and self.waiting.containsKey((part,))):
+                continue
+            seen += 1
+            if part == expected:
+                yield Row(payload=row.payload, before=before)
+                expected, before = expected + 1, before + row.n
+            elif len(early) < EARLY:
+                early[part] = (row.payload, row.n)
+            else:
+                self.waiting.updateValue((part,), (row.payload, row.n))
+                waiting, stored = waiting + 1, stored + 1
+            while expected in early or (waiting and self.waiting.containsKey((expected,))):
+                if expected in early:
+                    payload, n = early.pop(expected)
+                else:
+                    payload, n = self.waiting.getValue((expected,))
+                    self.waiting.removeKey((expected,))
+                    waiting -= 1
+                yield Row(payload=payload, before=before)
+                expected, before = expected + 1, before + n
         if not self.timed and seen >= parts:
-            self._forget()
-        else:
-            self.state.update((expected, before, seen))
-            self.close_after(None if latest is None else int(latest))
+            if known or stored:
+                self._forget()
+            return
+        for part, (payload, n) in early.items():
+            self.waiting.updateValue((part,), (payload, n))
+        self.state.update((expected, before, seen))
+        self.close_after(latest)
 
     def _forget(self) -> None:
-        for state in (self.state, self.seen, self.waiting):
+        for state in (self.state, self.waiting):
             state.clear()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # parts behind a gap that has not been filled
         _, before, _ = self.state.get()
         for (part,) in sorted(self.waiting.keys()):
             payload, n = self.waiting.getValue((part,))
-            yield _texts([payload], [before])
+            yield Row(payload=payload, before=before)
             before += n
         self._forget()
 
@@ -177,7 +177,7 @@ def _through_state(
         F.to_json(F.struct(*envelopes.columns), EXACT).alias("payload"),
         *[column.alias(name) for name, column in measures.items()],
     )
-    passed = slim.groupBy(*[f"__key_{i}" for i in range(len(keys))]).transformWithStateInPandas(
+    passed = slim.groupBy(*[f"__key_{i}" for i in range(len(keys))]).transformWithState(
         statefulProcessor=processor(event_time is not None),
         outputStructType="payload string, before long",
         outputMode="Append",
