@@ -27,6 +27,27 @@ def test_simple8b_round_trip(ids):
     assert len(offsets) == -(-len(ids) // simple8b.BLOCK)
 
 
+
+def test_words_hold_as_many_ids_as_fit():
+    """Word by word against a plain greedy packing, block ends and escapes included; a segment is packed without a step per word."""
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 2**63, 5000).astype(np.uint64) >> np.repeat(rng.integers(0, 64, 500), 10).astype(np.uint64)
+    ids[100], ids[2047] = 2**61, 2**64 - 1
+    words, offsets, escaped = simple8b.encode_ids(ids)
+    plain, begun, place = [], [], 0
+    while place < len(ids):
+        if place % simple8b.BLOCK == 0:
+            begun.append(len(plain))
+        end = min(len(ids), (place // simple8b.BLOCK + 1) * simple8b.BLOCK)
+        for selector in range(1, 16):
+            held = ids[place : min(place + int(simple8b.COUNTS[selector]), end)] if selector < 15 else ids[place : place + 1]
+            if selector == 15 or int(held.max()) < 1 << int(simple8b.WIDTHS[selector]):
+                break
+        plain.append((simple8b.ESCAPE if selector == 15 else selector, len(held)))
+        place += len(held)
+    assert [int(w) >> 60 for w in words] == [s for s, _ in plain] and offsets.tolist() == begun
+    assert len(escaped) >= 2 and np.array_equal(simple8b.decode_ids(words, offsets, escaped, len(ids)), ids)
+
 def test_small_ids_take_less_room():
     words, _, _ = simple8b.encode_ids(np.ones(2048, np.uint64))
     assert len(words) == 35

@@ -28,6 +28,9 @@ SEGMENT_IDS = 262_144
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0], np.int64)
 WIDTHS = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 0], np.uint64)
 ESCAPE = 0
+# the widths of ids there are, and the least id too wide for each; 64 stands for an id that is escaped
+ID_WIDTHS = np.append(np.unique(WIDTHS[1:15]), np.uint64(64)).astype(np.uint8)
+TOO_WIDE = np.uint64(1) << np.unique(WIDTHS[1:15])
 
 SEGMENTS = (
     "shard int, segment int, first_id long, n_ids long, doc_ids array<bigint>, n_tokens array<bigint>, "
@@ -37,36 +40,37 @@ SEGMENTS = (
 
 def _selectors(ids: np.ndarray) -> np.ndarray:
     """For each place of each block, a row of ``ids``, the selector of the word that would begin there."""
-    bits = np.full(ids.shape, 64, np.uint8)
-    for width in np.unique(WIDTHS[1:15])[::-1]:
-        bits[ids < (np.uint64(1) << width)] = width
-    chosen = np.zeros(ids.shape, np.uint8)
-    widest, span = bits.copy(), 1
+    widest = ID_WIDTHS[np.searchsorted(TOO_WIDE, ids, side="right")]
+    chosen, span = np.zeros(ids.shape, np.uint8), 1
     for selector in range(14, 0, -1):
         while span < COUNTS[selector]:
-            # what a word holds past its block is padding and fits any width
-            np.maximum(widest[:, :-span], bits[:, span:], out=widest[:, :-span])
-            span += 1
-        chosen[widest <= WIDTHS[selector]] = selector
+            # two overlapping runs make a longer one; what a word holds past its block is padding and fits any width
+            step = min(span, int(COUNTS[selector]) - span)
+            widest = np.concatenate([np.maximum(widest[:, :-step], widest[:, step:]), widest[:, -step:]], axis=1)
+            span += step
+        np.copyto(chosen, selector, where=widest <= WIDTHS[selector].astype(np.uint8))
     return chosen
 
 
 def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, the first word of each block, and the escaped ids of unsigned 64-bit ``ids``."""
     n, blocks = len(ids), -(-len(ids) // BLOCK)
-    padded = np.zeros(blocks * BLOCK, np.uint64)
+    # a word may look past the last block
+    padded = np.zeros(blocks * BLOCK + int(COUNTS.max()), np.uint64)
     padded[:n] = ids
-    selectors = _selectors(padded.reshape(blocks, BLOCK)).reshape(-1)
-    places = np.arange(n)
-    block_end = np.minimum((places // BLOCK + 1) * BLOCK, n)
-    following = np.minimum(places + COUNTS[selectors[:n]], block_end).tolist()
-    begun, place = [], 0
-    while place < n:
-        begun.append(place)
-        place = following[place]
-    begin = np.array(begun, np.int64)
+    selectors = _selectors(padded[: blocks * BLOCK].reshape(blocks, BLOCK)).reshape(-1)
+    # words of all blocks are found side by side
+    starts = np.arange(blocks) * BLOCK
+    at, end, begun = starts, np.minimum(starts + BLOCK, n), []
+    while len(at):
+        begun.append(at)
+        at = at + COUNTS[selectors[at]]
+        left = at < end
+        if not left.all():
+            at, end = at[left], end[left]
+    begin = np.sort(np.concatenate([np.zeros(0, np.int64), *begun]))
     selector = selectors[begin]
-    offsets = np.searchsorted(begin, np.arange(blocks) * BLOCK).astype(np.uint32)
+    offsets = np.searchsorted(begin, starts).astype(np.uint32)
     words = selector.astype(np.uint64) << np.uint64(60)
     escaped = padded[begin[selector == ESCAPE]]
     for s in np.unique(selector):
@@ -74,14 +78,13 @@ def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if s == ESCAPE:
             words[of] |= np.arange(len(of), dtype=np.uint64)
             continue
-        at = begin[of]
-        cut = at + COUNTS[s] > block_end[at]
-        whole, last = ~cut, np.flatnonzero(cut)
-        for k in range(COUNTS[s]):
-            shift = WIDTHS[s] * np.uint64(k)
-            words[of[whole]] |= padded[at[whole] + k] << shift
-            inside = last[at[last] + k < block_end[at[last]]]
-            words[of[inside]] |= padded[at[inside] + k] << shift
+        along = np.arange(COUNTS[s])
+        held = padded[begin[of, None] + along]
+        room = BLOCK - begin[of] % BLOCK
+        cut = np.flatnonzero(room < COUNTS[s])
+        # ids of the next block are not this one's
+        held[cut] *= along < room[cut, None]
+        words[of] |= np.bitwise_or.reduce(held << (WIDTHS[s] * along.astype(np.uint64)), axis=1)
     return words, offsets, escaped
 
 
