@@ -247,6 +247,20 @@ def test_characters_beyond_the_most_frequent_tell_texts_apart(spark, first):
     assert sum(found[k] for k in range(120)) >= 119
 
 
+
+def test_pipeline_tells_texts_of_rare_characters_apart(spark):
+    import random
+
+    import corpus_pipeline
+
+    draw = random.Random(10)
+    words = ["".join(chr(0x4E00 + draw.randrange(2000)) for _ in range(3)) for _ in range(300)]
+    clean = [(k, " ".join(draw.choice(words) for _ in range(150)), "zh", "web") for k in range(120)]
+    junk = [(1000 + k, " ".join("".join(chr(0x4E00 + draw.randrange(2000)) for _ in range(3)) for _ in range(150)), "zh", "web") for k in range(3)]
+    docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
+    assert len(kept) >= 119 and not kept & {1000, 1001, 1002}
+
 def test_spelled_texts_keep_every_character(spark):
     """Symbols lead back to the text, and training counts the n-grams of symbols that scoring looks up."""
     import random
