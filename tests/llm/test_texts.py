@@ -233,6 +233,13 @@ def test_model_is_a_distribution(sample):
         assert abs(total - 1) < 2e-3
 
 
+@pytest.mark.parametrize("groups", [3, 5, 6, 11, 500])
+def test_numbers_of_any_number_of_words_are_candidates(groups):
+    """A number is one candidate however many words it is in, and no word of it is left out."""
+    number = " ".join(str(10 + k % 90) for k in range(groups))
+    assert list(pii.other_spans(f"quote {number} please", [])) == [(6, 6 + len(number))]
+
+
 @pytest.mark.parametrize("first", [0x4E00, 0x20000])
 def test_characters_beyond_the_most_frequent_tell_texts_apart(spark, first):
     """Languages of thousands of characters, those beyond 16 bits too: texts of words the model knows stay, texts of as rare characters in no order go."""

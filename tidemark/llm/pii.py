@@ -29,10 +29,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # an identifier that no plain pattern need know: numbers in several words, or a word with a digit or an inner sign
-NUMBERS = re.compile(r"(?<![^\x20\x09-\x0D])[+(]?[0-9][0-9().-]*+(?:\x20[0-9(][0-9().-]*+){1,4}(?![^\x20\x09-\x0D])")
+NUMBERS = re.compile(r"(?<![^\x20\x09-\x0D])[+(]?[0-9][0-9().-]*+(?:\x20[0-9(][0-9().-]*+)+(?![^\x20\x09-\x0D])")
 CANDIDATE = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@_./:#=+-]*+[0-9@_./:#=+-][^\x20\x09-\x0D]*+")
 FORM = re.compile(r"[0-9]|[^\W_][@_./:#=+-][^\W_]")
-# numbers of a plain kind's form which failed its test are not candidates
+# numbers of a plain kind's form which failed its test are not candidates; a card is in five words at most
 FAILED = re.compile(r"[0-9](?:[\x20-]?[0-9]){13,}|[0-9]+(?:\.[0-9]+){3}")
 EDGE = ".,;:!?()[]{}<>\"'"
 
@@ -135,7 +135,7 @@ def other_spans(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int,
         if b - a >= LEAST_CHARS and FORM.search(text, a, b):
             words.append((a, b))
     for a, b in [*several, *free(words, sorted([*taken, *several]))]:
-        if not FAILED.fullmatch(text, a, b):
+        if text.count(" ", a, b) > 4 or not FAILED.fullmatch(text, a, b):
             yield a, b
 
 
@@ -242,7 +242,7 @@ def _spans(docs: DataFrame, min_confidence: float) -> DataFrame:
 def find(docs: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Per row of ``docs``: ``doc_id`` and ``spans``, an array of (start, order, kind, end), sorted; positions count code points.
 
-    Kinds are the plain ones and ``context``: numbers in two to five words, or a word with a digit or an inner sign, at least ``LEAST_CHARS``
+    Kinds are the plain ones and ``context``: numbers in two or more words, or a word with a digit or an inner sign, at least ``LEAST_CHARS``
     characters long, whose instance ``score_instances`` gives ``min_confidence`` and ``MIN_PATTERNS`` lexical patterns that vouch for it.
     Copies of a text add nothing, as instances of a pattern count once. A null or empty text has no spans; without seeds there are
     no context spans. Rows, repeated ones and those with a null doc_id too, all stay; other columns are ignored.
